@@ -1,0 +1,291 @@
+"""Pair kernels in numpy, run inside ``mapInPandas`` tasks on candidate
+pairs that Spark has already partitioned (grid join) and pre-filtered
+(bounding boxes, cheap measure filters). Nothing here sees more than one
+pair (or one polygon) at a time.
+
+Core idea: cut every edge of one polygon at its crossings with the other
+polygon's boundary and classify each piece (inside, outside, on the other
+boundary in the same or the opposite direction). Areas of intersections
+and unions then follow from Green's theorem over the kept pieces, with no
+polygon clipping library: ``area = ½ Σ cross(p0, p1)`` over the pieces.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+OUT, IN, SAME, OPP = 0, 1, 2, 3
+EPS = 1e-9
+
+
+class Poly:
+    """Edges of a (multi)polygon, shells CCW and holes CW, relative to an
+    origin chosen by the caller (keeps cross products small)."""
+
+    __slots__ = ("ax", "ay", "bx", "by", "rings")
+
+    def __init__(self, xs, ys, rs, rk, ox=0.0, oy=0.0):
+        xs = np.asarray(xs, dtype=float) - ox
+        ys = np.asarray(ys, dtype=float) - oy
+        ax, ay, bx, by, rings = [], [], [], [], []
+        start = 0
+        for size, shell in zip(rs, rk):
+            rx, ry = xs[start:start + size], ys[start:start + size]
+            start += size
+            if size < 4:
+                continue
+            a2 = np.sum(rx[:-1] * ry[1:] - rx[1:] * ry[:-1])
+            if (a2 > 0) != bool(shell):
+                rx, ry = rx[::-1], ry[::-1]
+            rings.append((rx, ry))
+            ax.append(rx[:-1]); ay.append(ry[:-1]); bx.append(rx[1:]); by.append(ry[1:])
+        cat = lambda v: np.concatenate(v) if v else np.zeros(0)
+        self.ax, self.ay, self.bx, self.by = cat(ax), cat(ay), cat(bx), cat(by)
+        self.rings = rings
+
+    @property
+    def n(self):
+        return len(self.ax)
+
+    def area(self):
+        return 0.5 * float(np.sum(self.ax * self.by - self.bx * self.ay))
+
+
+def contains_points(p: Poly, px, py):
+    """Even-odd test; returns (inside, on_boundary) boolean arrays."""
+    px = np.asarray(px, dtype=float)[:, None]
+    py = np.asarray(py, dtype=float)[:, None]
+    ax, ay, bx, by = p.ax[None, :], p.ay[None, :], p.bx[None, :], p.by[None, :]
+    dx, dy = bx - ax, by - ay
+    ln2 = dx * dx + dy * dy
+    t = np.clip(((px - ax) * dx + (py - ay) * dy) / np.where(ln2 > 0, ln2, 1), 0, 1)
+    d2 = (ax + t * dx - px) ** 2 + (ay + t * dy - py) ** 2
+    scale = max(1.0, float(np.max(np.abs(np.concatenate([p.ax, p.ay])))) if p.n else 1.0)
+    on = np.any(d2 <= (EPS * scale) ** 2, axis=1)
+    cond = (ay > py) != (by > py)
+    xint = ax + (py - ay) * dx / np.where(dy != 0, dy, 1)
+    crossing = cond & (px < xint)
+    inside = (np.sum(crossing, axis=1) % 2 == 1) & ~on
+    return inside, on
+
+
+def pieces(p: Poly, q: Poly):
+    """Cut p's edges at q's boundary. Returns (edge index, t0, t1, class)."""
+    n, m = p.n, q.n
+    if n == 0:
+        return np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, int)
+    rx, ry = (p.bx - p.ax)[:, None], (p.by - p.ay)[:, None]
+    sx, sy = (q.bx - q.ax)[None, :], (q.by - q.ay)[None, :]
+    qpx, qpy = q.ax[None, :] - p.ax[:, None], q.ay[None, :] - p.ay[:, None]
+    den = rx * sy - ry * sx
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (qpx * sy - qpy * sx) / den
+        u = (qpx * ry - qpy * rx) / den
+        ok = (den != 0) & (t > 0) & (t < 1) & (u >= -EPS) & (u <= 1 + EPS)
+        tc = np.where(ok, t, np.nan)
+        r2 = rx * rx + ry * ry
+        col = (den == 0) & (np.abs(qpx * ry - qpy * rx) <= EPS * np.sqrt(r2) * (1 + np.abs(qpx) + np.abs(qpy)))
+        tq0 = (qpx * rx + qpy * ry) / r2
+        tq1 = ((q.bx[None, :] - p.ax[:, None]) * rx + (q.by[None, :] - p.ay[:, None]) * ry) / r2
+    c0 = np.where(col & (tq0 > 0) & (tq0 < 1), tq0, np.nan)
+    c1 = np.where(col & (tq1 > 0) & (tq1 < 1), tq1, np.nan)
+    cuts = np.concatenate([np.zeros((n, 1)), tc, c0, c1, np.ones((n, 1))], axis=1)
+    cuts = np.sort(cuts, axis=1)
+    lo, hi = cuts[:, :-1], cuts[:, 1:]
+    keep = np.isfinite(hi) & (hi - lo > 1e-12)
+    ei = np.nonzero(keep)[0]
+    t0, t1 = lo[keep], hi[keep]
+    mt = 0.5 * (t0 + t1)
+    mx = p.ax[ei] + mt * (p.bx - p.ax)[ei]
+    my = p.ay[ei] + mt * (p.by - p.ay)[ei]
+    inside, on = contains_points(q, mx, my)
+    cls = np.where(inside, IN, OUT)
+    if np.any(on):
+        idx = np.nonzero(on)[0]
+        # direction of the q edge the midpoint lies on
+        dx, dy = sx[0], sy[0]
+        ln2 = dx * dx + dy * dy
+        px_, py_ = mx[idx][:, None], my[idx][:, None]
+        tt = np.clip(((px_ - q.ax[None, :]) * dx + (py_ - q.ay[None, :]) * dy) / np.where(ln2 > 0, ln2, 1), 0, 1)
+        d2 = (q.ax[None, :] + tt * dx - px_) ** 2 + (q.ay[None, :] + tt * dy - py_) ** 2
+        j = np.argmin(d2, axis=1)
+        dot = (p.bx - p.ax)[ei[idx]] * dx[j] + (p.by - p.ay)[ei[idx]] * dy[j]
+        cls[idx] = np.where(dot > 0, SAME, OPP)
+    return ei, t0, t1, cls
+
+
+def _cross(p: Poly, ei, t0, t1):
+    """½·cross(P(t0), P(t1)) summed: the Green's-theorem area term."""
+    c = p.ax[ei] * p.by[ei] - p.bx[ei] * p.ay[ei]
+    return 0.5 * float(np.sum((t1 - t0) * c))
+
+
+def inter_area(a: Poly, b: Poly) -> float:
+    """``ST_Area(ST_Intersection(a, b))``."""
+    if a.n == 0 or b.n == 0:
+        return 0.0
+    ei, t0, t1, c = pieces(a, b)
+    k = (c == IN) | (c == SAME)
+    s = _cross(a, ei[k], t0[k], t1[k])
+    ej, u0, u1, d = pieces(b, a)
+    k2 = d == IN
+    s += _cross(b, ej[k2], u0[k2], u1[k2])
+    return max(0.0, s)
+
+
+def _seg_cross(ax, ay, bx, by, cx, cy, dx, dy):
+    o = lambda px, py, qx, qy, rx, ry: np.sign((qx - px) * (ry - py) - (qy - py) * (rx - px))
+    o1, o2 = o(ax, ay, bx, by, cx, cy), o(ax, ay, bx, by, dx, dy)
+    o3, o4 = o(cx, cy, dx, dy, ax, ay), o(cx, cy, dx, dy, bx, by)
+    proper = (o1 * o2 <= 0) & (o3 * o4 <= 0)
+    colin = (o1 == 0) & (o2 == 0)
+    ovx = (np.minimum(ax, bx) <= np.maximum(cx, dx)) & (np.minimum(cx, dx) <= np.maximum(ax, bx))
+    ovy = (np.minimum(ay, by) <= np.maximum(cy, dy)) & (np.minimum(cy, dy) <= np.maximum(ay, by))
+    return np.where(colin, ovx & ovy, proper)
+
+
+def _pt_seg_d2(px, py, ax, ay, bx, by):
+    dx, dy = bx - ax, by - ay
+    ln2 = dx * dx + dy * dy
+    t = np.clip(((px - ax) * dx + (py - ay) * dy) / np.where(ln2 > 0, ln2, 1), 0, 1)
+    return (ax + t * dx - px) ** 2 + (ay + t * dy - py) ** 2
+
+
+def distance(a: Poly, b: Poly) -> float:
+    """``ST_Distance`` for polygons (0 when they intersect)."""
+    if a.n == 0 or b.n == 0:
+        return float("inf")
+    if intersects(a, b):
+        return 0.0
+    d1 = _pt_seg_d2(a.ax[:, None], a.ay[:, None], b.ax[None, :], b.ay[None, :], b.bx[None, :], b.by[None, :])
+    d2 = _pt_seg_d2(b.ax[:, None], b.ay[:, None], a.ax[None, :], a.ay[None, :], a.bx[None, :], a.by[None, :])
+    return float(np.sqrt(min(d1.min(), d2.min())))
+
+
+def intersects(a: Poly, b: Poly) -> bool:
+    """``ST_Intersects`` (G11): boundaries meet, or one holds the other."""
+    if a.n == 0 or b.n == 0:
+        return False
+    hit = _seg_cross(a.ax[:, None], a.ay[:, None], a.bx[:, None], a.by[:, None],
+                     b.ax[None, :], b.ay[None, :], b.bx[None, :], b.by[None, :])
+    if np.any(hit):
+        return True
+    ins, on = contains_points(b, a.ax[:1], a.ay[:1])
+    if ins[0] or on[0]:
+        return True
+    ins, on = contains_points(a, b.ax[:1], b.ay[:1])
+    return bool(ins[0] or on[0])
+
+
+def point_distance(a: Poly, x: float, y: float) -> float:
+    """Distance from a point to a polygon (0 inside or on it)."""
+    if a.n == 0:
+        return float("inf")
+    ins, on = contains_points(a, [x], [y])
+    if ins[0] or on[0]:
+        return 0.0
+    return float(np.sqrt(np.min(_pt_seg_d2(x, y, a.ax, a.ay, a.bx, a.by))))
+
+
+def _norm_ring(rx, ry):
+    x, y = rx[:-1], ry[:-1]
+    keep = np.ones(len(x), bool)
+    keep[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    if len(x) > 1 and x[0] == x[-1] and y[0] == y[-1]:
+        keep[-1] = False
+    x, y = x[keep], y[keep]
+    changed = True
+    while changed and len(x) >= 3:
+        px, py = np.roll(x, 1), np.roll(y, 1)
+        nx, ny = np.roll(x, -1), np.roll(y, -1)
+        col = (x - px) * (ny - py) - (y - py) * (nx - px) == 0
+        changed = bool(np.any(col))
+        if changed:
+            first = np.nonzero(col)[0][0]
+            x, y = np.delete(x, first), np.delete(y, first)
+    k = int(np.lexsort((y, x))[0])
+    return tuple(zip(np.roll(x, -k).tolist(), np.roll(y, -k).tolist()))
+
+
+def equals(a: Poly, b: Poly) -> bool:
+    """``ST_Equals`` (G18) up to vertex order, start point and collinear
+    or repeated vertices: the same set of normalised rings."""
+    ra = sorted(_norm_ring(x, y) for x, y in a.rings)
+    rb = sorted(_norm_ring(x, y) for x, y in b.rings)
+    return ra == rb
+
+
+def _convex(rx, ry) -> bool:
+    x, y = rx[:-1], ry[:-1]
+    cr = (np.roll(x, -1) - x) * (np.roll(y, -2) - np.roll(y, -1)) - (np.roll(y, -1) - y) * (np.roll(x, -2) - np.roll(x, -1))
+    return bool(np.all(cr >= 0) or np.all(cr <= 0))
+
+
+def _clip_halfplane(x, y, nx, ny, c):
+    """Keep points with nx*x + ny*y >= c (Sutherland-Hodgman, one plane)."""
+    ox, oy = [], []
+    k = len(x)
+    for i in range(k):
+        j = (i + 1) % k
+        vi, vj = nx * x[i] + ny * y[i] - c, nx * x[j] + ny * y[j] - c
+        if vi >= 0:
+            ox.append(x[i]); oy.append(y[i])
+        if (vi >= 0) != (vj >= 0):
+            t = vi / (vi - vj)
+            ox.append(x[i] + t * (x[j] - x[i])); oy.append(y[i] + t * (y[j] - y[i]))
+    return np.array(ox), np.array(oy)
+
+
+def erode(a: Poly, d: float):
+    """``ST_Buffer(a, -d)`` for convex hole-free parts (exact: the eroded
+    part is the intersection of the inward-shifted edge half-planes).
+    Returns (Poly or None, supported)."""
+    xs, ys, rs, rk = [], [], [], []
+    shells = [r for r in a.rings if np.sum(r[0][:-1] * r[1][1:] - r[0][1:] * r[1][:-1]) > 0]
+    if len(shells) != len(a.rings):
+        return None, False
+    for rx, ry in shells:
+        if not _convex(rx, ry):
+            return None, False
+        x, y = rx[:-1].copy(), ry[:-1].copy()
+        ex, ey = rx[1:] - rx[:-1], ry[1:] - ry[:-1]
+        for i in range(len(ex)):
+            ln = np.hypot(ex[i], ey[i])
+            if ln == 0 or len(x) < 3:
+                continue
+            nx, ny = -ey[i] / ln, ex[i] / ln
+            x, y = _clip_halfplane(x, y, nx, ny, nx * rx[i] + ny * ry[i] + d)
+        if len(x) >= 3:
+            area2 = np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)
+            if area2 > 1e-12:
+                xs.extend(list(x) + [x[0]]); ys.extend(list(y) + [y[0]])
+                rs.append(len(x) + 1); rk.append(1)
+    if not rs:
+        return None, True
+    return Poly(xs, ys, rs, rk), True
+
+
+def contains_eroded(b: Poly, r: Poly, d: float = 0.5):
+    """``ST_Contains(b, ST_Buffer(r, -d))`` (G16 + G17). Returns
+    (result, supported); an empty erosion contains nothing."""
+    e, ok = erode(r, d)
+    if not ok:
+        return False, False
+    if e is None:
+        return False, True
+    ae = e.area()
+    return bool(ae > 0 and inter_area(e, b) >= ae * (1 - 1e-9) - 1e-9), True
+
+
+def cover_pieces(p: Poly, q: Poly, q_first: bool):
+    """Pieces of p's boundary that q hides in a union of both: strictly
+    inside q, on q's boundary in the opposite direction, or (when q ranks
+    first) in the same direction, so a shared piece is counted once."""
+    ei, t0, t1, c = pieces(p, q)
+    k = (c == IN) | (c == OPP) | ((c == SAME) & q_first)
+    return ei[k], t0[k], t1[k]
+
+
+def edge_terms(p: Poly):
+    """Per edge: ½·cross(a, b) (area term) and length."""
+    return 0.5 * (p.ax * p.by - p.bx * p.ay), np.hypot(p.bx - p.ax, p.by - p.ay)

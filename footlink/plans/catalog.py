@@ -171,3 +171,112 @@ def links_drop_destroyed(spark, sf_dir):
     """O3: rebuild lists naming buildings destroyed in the last 8 days."""
     gone = LK.destroyed_since(FX.destroyed_buildings(spark, sf_dir), FX.AS_OF, 8)
     return LK.drop_destroyed_links(FX.links(spark, sf_dir), gone)
+
+
+# -- G / J / M: geometry, spatial joins, matching stages ----------------------
+
+from footlink.operators import matching as M  # noqa: E402
+from footlink.operators import spatial as S  # noqa: E402
+from footlink.plans import jobs as JB  # noqa: E402
+from footlink.sources import boxes as BX  # noqa: E402
+
+
+def _pools(spark, sf_dir):
+    R = BX.registry_pool(BX.registry_rows(spark, sf_dir))
+    B = BX.topo_pool(BX.topo_rows(spark, sf_dir))
+    return R, B
+
+
+def _r4(c):
+    return F.round(F.col(c), 4)
+
+
+@query
+def geom_measures(spark, sf_dir):
+    """Parse (E)WKT and measure every footprint."""
+    R, B = _pools(spark, sf_dir)
+    cols = lambda df, key: df.select(F.col(key).alias("id"), _r4("area").alias("area"),
+                                     _r4("perim").alias("perim"), F.col("npts").cast("long").alias("npts"),
+                                     _r4("xmin").alias("xmin"), _r4("ymin").alias("ymin"),
+                                     _r4("xmax").alias("xmax"), _r4("ymax").alias("ymax"))
+    return cols(R, "cleabs").unionByName(cols(B, "cleabs"))
+
+
+@query
+def pairs_intersect(spark, sf_dir):
+    """J5 + G10 + G11: every intersecting (registry, building) pair with the
+    area of the intersection."""
+    R, B = _pools(spark, sf_dir)
+    pairs = S.candidate_pairs(S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs"))
+    m = S.pair_measures(pairs, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
+    return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), _r4("inter").alias("inter"))
+
+
+@query
+def pairs_within_20(spark, sf_dir):
+    """J6 + G12: every (registry, building) pair within 20 m, with distance."""
+    R, B = _pools(spark, sf_dir)
+    pairs = S.candidate_pairs(S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs"), 20.0)
+    m = S.pair_measures(pairs, ["dist"], ["l_id", "r_id"]).filter(F.col("dist") <= 20.0)
+    return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), _r4("dist").alias("dist"))
+
+
+def _stage(fn):
+    def run(spark, sf_dir):
+        R, B = _pools(spark, sf_dir)
+        return fn(R.select(*M.R_COLS, *M.MEAS), B.select("cleabs", "geometrie", *M.MEAS))
+    return run
+
+
+QUERIES["match_equal"] = _stage(M.equal)
+QUERIES["match_identical"] = _stage(M.identical)
+QUERIES["match_similar"] = _stage(lambda R, B: M.similar(R, B, same_npoints=True))
+QUERIES["match_similar_nbp"] = _stage(lambda R, B: M.similar(R, B, same_npoints=False))
+QUERIES["match_dissolved"] = _stage(M.dissolved)
+QUERIES["match_contained"] = _stage(M.contained)
+QUERIES["match_balcony"] = _stage(M.balcony)
+QUERIES["match_point"] = _stage(M.point_in_building)
+QUERIES["match_semantic"] = _stage(M.semantic)
+QUERIES["unmatchable"] = _stage(M.unmatchable)
+
+
+@query
+def candidates_100m(spark, sf_dir):
+    """Live buildings within 100 m of a registry point."""
+    R, B = _pools(spark, sf_dir)
+    return JB.near_registry_points(R, B, 100.0).select("cleabs")
+
+
+@query
+def candidates_registry_100m(spark, sf_dir):
+    """Live registry rows whose point is within 100 m of a building."""
+    R, B = _pools(spark, sf_dir)
+    return JB.registry_near_buildings(R, B, 100.0).select("cleabs")
+
+
+def _link_table(spark, sf_dir):
+    return BX.registry_rows(spark, sf_dir).select("cleabs", "liens_vers_batiment")
+
+
+@query
+def job_registry_change(spark, sf_dir):
+    """O1 end to end."""
+    R, B = _pools(spark, sf_dir)
+    out, _ = JB.job_registry_change(R, _link_table(spark, sf_dir), B, FX.AS_OF)
+    return out
+
+
+@query
+def job_topo_created(spark, sf_dir):
+    """O2 end to end (M15, cascade, F2)."""
+    R, B = _pools(spark, sf_dir)
+    out, _ = JB.job_topo_created(R, _link_table(spark, sf_dir), B, FX.AS_OF)
+    return out
+
+
+@query
+def stage_counts(spark, sf_dir):
+    """M17 re-aimed: claims per stage of the O1 cascade."""
+    R, B = _pools(spark, sf_dir)
+    _, res = JB.job_registry_change(R, _link_table(spark, sf_dir), B, FX.AS_OF)
+    return res.claims.groupBy("stage", "traitement").agg(F.count(F.lit(1)).alias("n"))
