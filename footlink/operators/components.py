@@ -30,6 +30,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     """``nodes(id)``, ``edges(a, b)`` → ``(id, comp)`` with ``comp`` the
     smallest id of the node's component."""
     e = cut_lineage(_norm(edges))
+    if e.limit(1).count() == 0:
+        return nodes.select("id").distinct().withColumn("comp", F.col("id"))
     for _ in range(max_rounds):
         # large star: link every larger neighbour to the smallest of N(u)+u
         sym = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -41,7 +43,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         small = _norm(large.join(m2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                       .unionByName(m2.select("a", F.col("m").alias("b"))))
         small = cut_lineage(small)
-        changed = (small.exceptAll(e).limit(1).count() + e.exceptAll(small).limit(1).count())
+        changed = small.exceptAll(e).unionByName(e.exceptAll(small)).limit(1).count()
         e = small
         if changed == 0:
             break

@@ -247,7 +247,8 @@ def dissolved(R, B, p: Params = Params()):
     parts = d.parts.join(origin, "comp")
     um = union_measures(parts, d.covers)
     cov = d.covers.groupBy("id").agg(F.collect_list(F.struct("e", "t0", "t1")).alias("cov"))
-    ps = side(parts, "l_", "id", ["comp"]).join(cov.withColumnRenamed("id", "l_id"), "l_id", "left")
+    ps = side(parts, "l_", "id", ["comp"]).join(
+        cov.select(F.col("id").alias("l_id"), F.col("cov").alias("l_cov")), "l_id", "left")
     bs = side(B, "r_", "cleabs", ["area", "perim"])
     pairs = candidate_pairs(ps, bs, 0.0, p.cell)
     schema = ("comp string, b string, b_area double, b_perim double, hit boolean, delta double, "
@@ -323,15 +324,17 @@ def empty_treated(R: DataFrame, B: DataFrame) -> tuple[DataFrame, DataFrame]:
 def update_pools(pools: Pools, X: DataFrame) -> Pools:
     """Move claimed footprints from the pools to the treated sets.
 
-    BT += claimed B keys present in B; B −= BT keys (≠ ''); RT += claims
+    BT += claimed B keys present in B; B −= those keys (≠ ''); RT += claims
     joined to their R rows; R −= claimed ids (≠ ''). All anti/semi joins.
+    Removing only this stage's keys from B equals the source's "keys in
+    all of BT", since earlier keys already left B.
     """
     R, B, RT, BT = pools.R, pools.B, pools.RT, pools.BT
     xb = (X.select(F.explode(to_array("liens_vers_batiment")).alias("cleabs"), "traitement", "identifiant_rnb")
           .distinct())
     add_bt = xb.join(B.select("cleabs", "geometrie"), "cleabs").filter(F.col("geometrie").isNotNull())
     BT = BT.unionByName(add_bt.select(*BT.columns))
-    B = B.join(BT.filter(F.col("cleabs") != "").select("cleabs").distinct(), "cleabs", "left_anti")
+    B = B.join(add_bt.filter(F.col("cleabs") != "").select("cleabs").distinct(), "cleabs", "left_anti")
     add_rt = (X.join(R, "identifiant_rnb").filter(F.col("geometrie").isNotNull())
               .select(*RT.columns).distinct())
     RT = RT.unionByName(add_rt)

@@ -40,7 +40,10 @@ CASCADE = [
 
 
 def _cut(pools: M.Pools) -> M.Pools:
-    return M.Pools(*(cut_lineage(d) for d in (pools.R, pools.B, pools.RT, pools.BT)))
+    """Checkpoint the pools the next stage reads (R, B). RT and BT are
+    unions of per-stage additions whose inputs are already checkpointed,
+    so their lineage stays one level deep per stage."""
+    return M.Pools(cut_lineage(pools.R), cut_lineage(pools.B), pools.RT, pools.BT)
 
 
 def run_cascade(R: DataFrame, B: DataFrame, p: M.Params = M.Params(),
@@ -56,7 +59,8 @@ def run_cascade(R: DataFrame, B: DataFrame, p: M.Params = M.Params(),
         pools = _cut(M.update_pools(pools, X))
     X = cut_lineage(M.balcony(pools.R, pools.B, p, RT=pools.RT))
     claims.append(X.withColumn("stage", F.lit(7)))
-    pools = _cut(M.update_pools_balcony(pools, X, compat_delete))
+    pools = M.update_pools_balcony(pools, X, compat_delete)
+    pools = M.Pools(pools.R, pools.B, cut_lineage(pools.RT), pools.BT)
     allx = claims[0]
     for c in claims[1:]:
         allx = allx.unionByName(c)
