@@ -80,7 +80,8 @@ def union_measures(parts: DataFrame, covers: DataFrame) -> DataFrame:
                 pp.append(float(np.sum((1 - covered) * ln)))
             yield pd.DataFrame({"comp": cs, "a": aa, "p": pp})
 
-    return (rows.select("id", "comp", "xs", "ys", "rs", "rk", "ox", "oy", "cov")
+    from footlink.operators.spatial import spread
+    return (spread(rows.select("id", "comp", "xs", "ys", "rs", "rk", "ox", "oy", "cov"))
             .mapInPandas(run, schema)
             .groupBy("comp").agg(F.sum("a").alias("u_area"), F.sum("p").alias("u_perim")))
 

@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from footlink.functions import planar as P
 from footlink.functions.lists import agg_distinct_sorted, to_array
 from footlink.operators.components import connected_components, covered_fraction, union_measures
-from footlink.operators.spatial import DEFAULT_CELL, GEO, candidate_pairs, cover_intervals, pair_measures, side
+from footlink.operators.spatial import (DEFAULT_CELL, GEO, candidate_pairs, cover_intervals, pair_measures, side,
+                                        spread)
+from footlink.session import cut_lineage
 from footlink.sources.fixtures import LABELS
 
 X_COLS = ["liens_vers_batiment", "identifiant_rnb", "traitement"]
@@ -183,7 +185,7 @@ def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params(),
     """Components of parts sharing a piece of area or boundary (a
     single touching point does not merge), and the attachment of every
     row to each component it intersects (point touch included)."""
-    parts = explode_parts(pool, key, geom)
+    parts = cut_lineage(explode_parts(pool, key, geom))
     sp = side(parts, "l_", "id", ["row_key"])
     sq = side(parts, "r_", "id", ["row_key"])
     pairs = candidate_pairs(sp, sq, 0.0, p.cell, self_join=True)
@@ -272,7 +274,7 @@ def dissolved(R, B, p: Params = Params()):
                             [{"e": int(e), "t0": float(x), "t1": float(y)} for e, x, y in zip(bj, u0, u1)]))
             yield pd.DataFrame(out, columns=["comp", "b", "b_area", "b_perim", "hit", "delta", "bcov"])
 
-    per_pair = pairs.mapInPandas(run, schema)
+    per_pair = spread(pairs).mapInPandas(run, schema)
     per_cb = (per_pair.groupBy("comp", "b")
               .agg(F.max("hit").alias("hit"), F.sum("delta").alias("delta"),
                    F.flatten(F.collect_list("bcov")).alias("bcov"),
@@ -293,7 +295,7 @@ def dissolved(R, B, p: Params = Params()):
                 out.append((r["comp"], r["b"], r["b_area"], r["b_perim"], r["b_area"] + r["delta"] - exposed))
             yield pd.DataFrame(out, columns=["comp", "b", "b_area", "b_perim", "inter"])
 
-    inter = rows.mapInPandas(expose, schema2).join(um, "comp")
+    inter = spread(rows).mapInPandas(expose, schema2).join(um, "comp")
     ok = inter.filter((F.abs(_fl("inter")) > 3)
                       & (F.abs(_fl("b_area") - _fl("u_area")) < 3)
                       & (F.abs(_fl("b_perim") - _fl("u_perim")) < 3))

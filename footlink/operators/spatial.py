@@ -66,6 +66,16 @@ def candidate_pairs(left: DataFrame, right: DataFrame, distance: float = 0.0,
 
 # -- kernels over pairs --------------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows round-robin over ``spark.sql.shuffle.partitions`` tasks
+    before a Python kernel. Kernel cost is per pair, not per byte, so the
+    byte-based split of a scan or an AQE-coalesced shuffle can leave a few
+    tasks with all the work; an explicit-count repartition is not coalesced,
+    and it also splits the pairs of one crowded grid cell across tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
 MEASURES = {
     "inter": T.DoubleType(),        # area of the intersection
     "hits": T.BooleanType(),        # intersects (touching counts)
@@ -138,7 +148,7 @@ def pair_measures(pairs: DataFrame, measures: list[str], keep: list[str],
                 res[m] = out[m]
             yield res
 
-    return pairs.mapInPandas(run, schema)
+    return spread(pairs).mapInPandas(run, schema)
 
 
 def cover_intervals(pairs: DataFrame, lp: str = "l_", rp: str = "r_") -> DataFrame:
@@ -161,4 +171,4 @@ def cover_intervals(pairs: DataFrame, lp: str = "l_", rp: str = "r_") -> DataFra
                     a0.extend(t0.tolist()); a1.extend(t1.tolist())
             yield pd.DataFrame({"id": ids, "e": es, "t0": a0, "t1": a1})
 
-    return pairs.mapInPandas(run, schema)
+    return spread(pairs).mapInPandas(run, schema)

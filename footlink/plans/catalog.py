@@ -182,8 +182,12 @@ from footlink.sources import boxes as BX  # noqa: E402
 
 
 def _pools(spark, sf_dir):
-    R = BX.registry_pool(BX.registry_rows(spark, sf_dir))
-    B = BX.topo_pool(BX.topo_rows(spark, sf_dir))
+    """Parse and measure both footprint tables once and materialise them:
+    every later join reads plain columns (bbox, flat coordinates, measures)
+    instead of re-deriving them from text in pushed-down filters."""
+    from footlink.session import cut_lineage
+    R = cut_lineage(BX.registry_pool(BX.registry_rows(spark, sf_dir)))
+    B = cut_lineage(BX.topo_pool(BX.topo_rows(spark, sf_dir)))
     return R, B
 
 

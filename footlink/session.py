@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint and return the new plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table under the checkpoint folder and
+    return a scan of it.
+
+    One pass writes it (an RDD checkpoint would compute the plan twice
+    unless cached), the result survives executor loss (shared folder), and
+    later plans get column pruning, pushed filters and file statistics for
+    AQE's join choices.
+    """
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/footlink-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 _SHIPPED: set[str] = set()

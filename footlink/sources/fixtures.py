@@ -24,7 +24,14 @@ AS_OF = "2024-02-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan a driver table. A scan with fewer splits than the cluster has
+    cores (one small file) is spread round-robin so the row-wise parsing
+    above it uses every core; a wide scan is returned as is (no shuffle)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _pick(values, idx: Column) -> Column:
