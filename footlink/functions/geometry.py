@@ -143,3 +143,37 @@ def point_to_wkt(p) -> Column:
     p = _col(p)
     return F.concat(F.lit("POINT("), F.format_string("%.10g", p.getField("x")), F.lit(" "),
                     F.format_string("%.10g", p.getField("y")), F.lit(")"))
+
+
+def point_distance(px, py, g) -> Column:
+    """Distance from a point to a polygonal geometry, JVM-side: 0 when the
+    point is inside (even-odd crossing count over every ring) or on the
+    boundary, else the smallest point-to-segment distance."""
+    px, py, g = _col(px), _col(py), _col(g)
+    inf = F.lit(float("inf"))
+
+    def seg_d2(r, i):
+        ax, ay = r.getItem(i).getField("x"), r.getItem(i).getField("y")
+        bx, by = r.getItem(i + 1).getField("x"), r.getItem(i + 1).getField("y")
+        dx, dy = bx - ax, by - ay
+        l2 = dx * dx + dy * dy
+        t = F.when(l2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / l2))) \
+             .otherwise(F.lit(0.0))
+        return (ax + t * dx - px) ** 2 + (ay + t * dy - py) ** 2
+
+    def crosses(r, i):
+        ax, ay = r.getItem(i).getField("x"), r.getItem(i).getField("y")
+        bx, by = r.getItem(i + 1).getField("x"), r.getItem(i + 1).getField("y")
+        straddle = (ay > py) != (by > py)
+        xint = ax + (py - ay) * (bx - ax) / (by - ay)
+        return F.when(straddle & (px < xint), F.lit(1)).otherwise(F.lit(0))
+
+    segs = lambda r: F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0)))
+    ok = lambda r: F.size(r) >= 2
+    rings = F.flatten(g)
+    d2 = F.aggregate(rings, inf, lambda acc, r: F.when(ok(r), F.least(acc, F.aggregate(
+        segs(r), inf, lambda a, i: F.least(a, seg_d2(r, i))))).otherwise(acc))
+    n = F.aggregate(rings, F.lit(0), lambda acc, r: F.when(ok(r), acc + F.aggregate(
+        segs(r), F.lit(0), lambda a, i: a + crosses(r, i))).otherwise(acc))
+    return F.when(g.isNull(), F.lit(None).cast("double")) \
+            .when((n % 2 == 1) | (d2 == 0), F.lit(0.0)).otherwise(F.sqrt(d2))

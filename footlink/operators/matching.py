@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footlink.functions import planar as P
+from footlink.functions.geometry import point_distance
 from footlink.functions.lists import agg_distinct_sorted, to_array
 from footlink.operators.components import connected_components, covered_fraction, union_measures
 from footlink.operators.spatial import (DEFAULT_CELL, GEO, candidate_pairs, cover_intervals, pair_measures, side,
@@ -127,20 +128,22 @@ def balcony(R, B, p: Params = Params(), RT: DataFrame | None = None):
 
 def point_in_building(R, B, p: Params = Params()):
     """M8 ``ST_Intersects(b, r.geometrie)`` (registry point in building)."""
-    pairs = point_pairs(R, B, 0.0, p)
-    m = pair_measures(pairs, ["pdist"], _KEEP)
+    m = point_pairs(R, B, 0.0, p)
     return _claims(m.filter(F.col("pdist") <= 0.0), LABELS["point"])
 
 
 def point_pairs(R, B, distance: float, p: Params = Params()) -> DataFrame:
-    """Registry points against building polygons, boxes grown by ``distance``."""
+    """Registry points against building polygons, boxes grown by
+    ``distance``, with the exact point-to-polygon distance ``pdist``
+    (a JVM expression: no Python on this path)."""
     left = R.select(F.col("cleabs").alias("l_id"), F.col("identifiant_rnb").alias("l_identifiant_rnb"),
                     F.col("geometrie.x").alias("l_px"), F.col("geometrie.y").alias("l_py"),
                     F.col("geometrie.x").alias("l_xmin"), F.col("geometrie.x").alias("l_xmax"),
                     F.col("geometrie.y").alias("l_ymin"), F.col("geometrie.y").alias("l_ymax")) \
         .filter(F.col("l_px").isNotNull())
-    right = side(B, "r_", "cleabs")
-    return candidate_pairs(left, right, distance, p.cell)
+    right = side(B, "r_", "cleabs", ["geometrie"])
+    pairs = candidate_pairs(left, right, distance, p.cell)
+    return pairs.withColumn("pdist", point_distance("l_px", "l_py", "r_geometrie")).drop("r_geometrie")
 
 
 EXT_IDS_T = "array<map<string,string>>"

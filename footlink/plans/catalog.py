@@ -284,3 +284,32 @@ def stage_counts(spark, sf_dir):
     R, B = _pools(spark, sf_dir)
     _, res = JB.job_registry_change(R, _link_table(spark, sf_dir), B, FX.AS_OF)
     return res.claims.groupBy("stage", "traitement").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- W2/W4-W8: localised work tables ------------------------------------------
+
+from footlink.operators import localise as LO  # noqa: E402
+from footlink.sources.territories import territories as _territories  # noqa: E402
+
+
+def _last_changes(spark, sf_dir):
+    """The ``rnb_last_changes`` table: latest rows with D7 dates, blanks
+    read back as NULL (K1 loads unquoted empty fields as NULL)."""
+    lc = D.created_updated(_latest(spark, sf_dir))
+    return lc.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" else F.col(c)
+                       for c, t in lc.dtypes])
+
+
+@query
+def work_changed(spark, sf_dir):
+    """W2 (+W5-W8): localised update list with the moved flag."""
+    out = LO.changed_to_update(_last_changes(spark, sf_dir), FX.link_table_geo(spark, sf_dir),
+                               _territories(spark))
+    return out.drop("geometrie", "geometrie_enveloppe")
+
+
+@query
+def work_new(spark, sf_dir):
+    """W4 (+W5, W6, W8): localised insert list."""
+    out = LO.new_to_insert(_last_changes(spark, sf_dir), FX.link_table(spark, sf_dir), _territories(spark))
+    return out.drop("geometrie", "geometrie_enveloppe")

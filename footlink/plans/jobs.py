@@ -86,8 +86,7 @@ def near_registry_points(R: DataFrame, buildings: DataFrame, distance: float,
     """Live buildings within ``distance`` of a registry point
     (the union of point buffers only removes duplicates → ``distinct``)."""
     live = buildings.filter(~F.col("gcms_detruit"))
-    pairs = M.point_pairs(R, live, distance, p)
-    near = M.pair_measures(pairs, ["pdist"], ["r_id"]).filter(F.col("pdist") <= distance)
+    near = M.point_pairs(R, live, distance, p).filter(F.col("pdist") <= distance)
     keys = near.select(F.col("r_id").alias("cleabs")).distinct()
     return live.join(keys, "cleabs", "left_semi")
 
@@ -96,8 +95,7 @@ def registry_near_buildings(link_rows: DataFrame, B: DataFrame, distance: float,
                             p: M.Params = M.Params()) -> DataFrame:
     """Live link rows whose point is within ``distance`` of a building."""
     live = link_rows.filter(~F.col("gcms_detruit"))
-    pairs = M.point_pairs(live, B, distance, p)
-    near = M.pair_measures(pairs, ["pdist"], ["l_id"]).filter(F.col("pdist") <= distance)
+    near = M.point_pairs(live, B, distance, p).filter(F.col("pdist") <= distance)
     keys = near.select(F.col("l_id").alias("cleabs")).distinct()
     return live.join(keys, "cleabs", "left_semi")
 

@@ -409,3 +409,38 @@ SELECT stage, traitement, count(*) AS n FROM (
                 WHEN 5 THEN 'Batiments BDTOPO balcon' END AS traitement
   FROM (SELECT k, c FROM rb WHERE c <> 8 UNION ALL SELECT k, c FROM lots WHERE c = 8)
   WHERE c <> 6) GROUP BY stage, traitement"""
+
+
+# -- W2/W4: territory by construction (users 0-7 mod 10 mainland, 8 Réunion,
+# 9 at sea), moved flag by construction (the latest version crept east
+# unless event_id % 3 = 0).
+
+LAST = """lc AS (
+  SELECT l.*,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S')
+         || CASE WHEN microsecond(ts) % 1000000 = 0 THEN ''
+                 ELSE '.' || lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') END
+         || '+00:00' AS d,
+         CASE WHEN user_id % 10 < 8 THEN 2154 WHEN user_id % 10 = 8 THEN 2975 END AS srid
+  FROM latest l),
+lc2 AS (
+  SELECT *, '{"ext_ids": ' || coalesce(ext_ids, '') || ', "created_at": "'
+            || CASE WHEN action = 'create' THEN d ELSE '' END || '", "updated_at": "'
+            || CASE WHEN action = 'create' THEN '' ELSE d END || '", "identifiants_ban": '
+            || coalesce(addresses_id, '') || '}' AS informations_rnb,
+         CASE WHEN event_id::BIGINT % 4 = 0 THEN '[]' END AS parent_buildings
+  FROM lc WHERE srid IS NOT NULL)"""
+
+ORACLES["work_changed"] = _with(DIFF, LATEST, LINK_TABLE, LAST) + """
+SELECT l.cleabs, CAST(NULL AS VARCHAR) AS gcms_fingerprint, r.rnb_id AS identifiant_rnb,
+       r.informations_rnb, r.status, r.event_type, r.parent_buildings, CAST(r.srid AS BIGINT) AS srid,
+       CASE WHEN r.pos % 3 <> 0 THEN 'to_link' ELSE '' END AS commentaire_centralise
+FROM lc2 r JOIN link_table l ON l.identifiant_rnb = r.rnb_id
+WHERE r.action = 'update' OR (r.action = 'create' AND r.event_type = 'reactivation')"""
+
+ORACLES["work_new"] = _with(DIFF, LATEST, LINK_TABLE, LAST) + """
+SELECT r.rnb_id AS identifiant_rnb, r.informations_rnb, r.status, r.event_type, r.parent_buildings,
+       CAST(r.srid AS BIGINT) AS srid
+FROM lc2 r
+WHERE NOT EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id)
+  AND ((r.action = 'update' AND r.status = 'constructed') OR r.action = 'create')"""

@@ -65,23 +65,34 @@ def feed_lonlat(events: DataFrame) -> DataFrame:
     b = u % 10
     lon = (F.when(b < 8, -1000000 + (u * 37 % 800) * 10000)
            .when(b == 8, 55300000 + (u % 40) * 10000)
-           .otherwise(-30000000)) + (e % 3) * 20
+           .otherwise(-30000000)) + (e % 3) * 120
     lat = (F.when(b < 8, 43500000 + (u * 53 % 500) * 10000)
            .when(b == 8, -21300000 + (u % 50) * 10000)
            .otherwise(40000000))
     return events.withColumn("_lon", lon).withColumn("_lat", lat)
 
 
+def _pt_text(x: Column, y: Column) -> Column:
+    return F.concat(_deg(x), F.lit(" "), _deg(y))
+
+
+def square_wkt(lon: Column, lat: Column) -> Column:
+    """A 100 × 100 micro-degree footprint with its south-west corner at
+    (lon, lat), as lon/lat WKT."""
+    lon2, lat2 = lon + 100, lat + 100
+    pt = _pt_text
+    return F.concat(F.lit("POLYGON(("), pt(lon, lat), F.lit(", "), pt(lon2, lat), F.lit(", "),
+                    pt(lon2, lat2), F.lit(", "), pt(lon, lat2), F.lit(", "), pt(lon, lat), F.lit("))"))
+
+
 def diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change feed (A2 columns, all strings) from ``events``; ``pos`` is the
     feed position (``event_id``), used only for ties."""
     ev = feed_lonlat(table(spark, sf_dir, "events"))
     e = F.col("event_id")
     lon, lat = F.col("_lon"), F.col("_lat")
-    lon2, lat2 = lon + 100, lat + 100
-    pt = lambda x, y: F.concat(_deg(x), F.lit(" "), _deg(y))
-    shape = F.concat(F.lit("POLYGON(("), pt(lon, lat), F.lit(", "), pt(lon2, lat), F.lit(", "),
-                     pt(lon2, lat2), F.lit(", "), pt(lon, lat2), F.lit(", "), pt(lon, lat), F.lit("))"))
+    pt = _pt_text
+    shape = square_wkt(lon, lat)
     return ev.select(
         F.when(F.col("event_type") == "signup", "create").otherwise("update").alias("action"),
         F.col("user_id").cast("string").alias("rnb_id"),
@@ -151,6 +162,25 @@ def link_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def link_table_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link table with the old localised envelope of each registry id: the
+    footprint at the user's base position (no creep), projected in its
+    territory and snapped to 0.1 m. Ids outside every territory get NULL."""
+    from footlink.functions import crs
+    from footlink.functions.geometry import from_wkt, point_from_wkt
+    from footlink.sources.territories import locate, territories
+
+    base = feed_lonlat(table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.lit(0).cast("long").alias("event_id")))
+    base = base.select(F.concat(F.lit("L"), F.lpad(F.col("user_id").cast("string"), 10, "0")).alias("cleabs"),
+                       point_from_wkt(F.concat(F.lit("POINT("), _pt_text(F.col("_lon"), F.col("_lat")), F.lit(")")))
+                       .alias("_pt"),
+                       from_wkt(square_wkt(F.col("_lon"), F.col("_lat"))).alias("_shape"))
+    env = locate(base, "_pt", territories(spark)).select(
+        "cleabs", crs.transform_geom("_shape", grid=0.1).alias("geometrie_enveloppe"))
+    return link_table(spark, sf_dir).join(env, "cleabs", "left")
+
+
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link table with id lists, from ``lineitem``: ``cleabs`` = order key,
     ``liens_vers_batiment`` = sorted distinct part keys joined by ``/``;
