@@ -33,8 +33,10 @@ def latest_per_key(feed: DataFrame, key: str = "rnb_id", period: str = "sys_peri
     """
     df = feed.withColumn("updated_at", range_start(period, strict=False))
     cols = [c for c in df.columns if c != key]
-    rank = F.struct(F.col("updated_at").isNotNull(), F.col("updated_at"), -F.col(pos))
-    agg = [F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_w"),
+    # smallest key wins: parsed before unparsed, newest first, then first seen
+    # (``pos`` may be a number or a struct such as (file, block, row)).
+    rank = F.struct(F.col("updated_at").isNull(), -F.unix_micros("updated_at"), F.col(pos))
+    agg = [F.min_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_w"),
            F.min(F.col(pos)).alias("first_pos")]
     if strict:
         agg.append(F.count(F.lit(1)).alias("_n"))

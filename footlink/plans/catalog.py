@@ -313,3 +313,77 @@ def work_new(spark, sf_dir):
     """W4 (+W5, W6, W8): localised insert list."""
     out = LO.new_to_insert(_last_changes(spark, sf_dir), FX.link_table(spark, sf_dir), _territories(spark))
     return out.drop("geometrie", "geometrie_enveloppe")
+
+
+# -- S / K / D8: CSV feed end to end, staging load ----------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from footlink.functions.geometry import npoints as _npoints  # noqa: E402
+from footlink.operators.constraints import srid_violations as _srid_violations  # noqa: E402
+from footlink.plans import sync as SY  # noqa: E402
+from footlink.session import ensure_checkpoint_dir as _ckpt  # noqa: E402
+from footlink.sources import feed as FD  # noqa: E402
+from footlink.sources import sinks as SK  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{_ckpt(spark).rstrip('/')}/{name}-{_uuid.uuid4().hex}"
+
+
+@query
+def sync_csv(spark, sf_dir):
+    """S1 + D8 + K1/K2/K7: the feed exported as CSV (quotes doubled), read
+    back with the feed scan, synced, published and read from the pointer."""
+    src = _scratch(spark, "feed")
+    SK.export_csv(FX.diff(spark, sf_dir).drop("pos"), src)
+    out = _scratch(spark, "sync")
+    last, removed = SY.sync_from_file(spark, src, out, run_date="2024-02-01")
+    flag = removed.select("rnb_id", F.lit(True).alias("removed"))
+    return (last.join(flag, "rnb_id", "left")
+            .select("rnb_id", "event_id", "action", "created_at", "updated_at",
+                    F.coalesce("removed", F.lit(False)).alias("removed")))
+
+
+def _staging(spark, sf_dir):
+    """49 text columns derived from ``events`` (blanks and spellings as in
+    ``diff_text``; geometry as lon/lat WKT, every 5th with an SRID prefix,
+    every 11th blank)."""
+    t = FX.diff_text(spark, sf_dir)
+    ev = FX.feed_lonlat(FX.table(spark, sf_dir, "events")).select(
+        F.concat(F.lit("BATIMENT"), F.lpad(F.col("event_id").cast("string"), 16, "0")).alias("cleabs"),
+        (F.col("event_id") % 5).alias("m5"), (F.col("event_id") % 11).alias("m11"),
+        FX.square_wkt(F.col("_lon"), F.col("_lat")).alias("wkt"))
+    t = t.join(ev, "cleabs")
+    geo = (F.when(F.col("m11") == 10, F.lit(""))
+           .when(F.col("m5") == 0, F.concat(F.lit("SRID=4326;"), F.col("wkt"))).otherwise(F.col("wkt")))
+    cols = []
+    for name, _kind in FD.BUILDING_COLUMNS:
+        if name == "geometrie":
+            cols.append(geo.alias(name))
+        elif name in t.columns:
+            cols.append(F.col(name))
+        else:
+            cols.append(F.lit("").alias(name))
+    return t.select(*cols)
+
+
+@query
+def staging_load(spark, sf_dir):
+    """S4 + T1-T7: the staging CSV written, scanned as text and typed."""
+    path = _scratch(spark, "staging")
+    SK.export_csv(_staging(spark, sf_dir), path)
+    b = FD.typed_buildings(FD.read_building_staging(spark, path))
+    return b.select("cleabs", "construction_legere", "gcms_detruit",
+                    F.col("hauteur").cast("string").alias("hauteur"), "nombre_de_logements",
+                    "metadonnees_unification", "geometrie_srid",
+                    _npoints("geometrie").cast("long").alias("npts"))
+
+
+@query
+def srid_violations(spark, sf_dir):
+    """C4: typed buildings whose geometry SRID is not 0."""
+    path = _scratch(spark, "staging")
+    SK.export_csv(_staging(spark, sf_dir), path)
+    b = FD.typed_buildings(FD.read_building_staging(spark, path))
+    return _srid_violations(b, "cleabs", "geometrie_srid")

@@ -444,3 +444,41 @@ SELECT r.rnb_id AS identifiant_rnb, r.informations_rnb, r.status, r.event_type,
 FROM lc2 r
 WHERE NOT EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id)
   AND ((r.action = 'update' AND r.status = 'constructed') OR r.action = 'create')"""
+
+
+ORACLES["sync_csv"] = _with(DIFF, LATEST, REMOVED) + """
+, iso AS (SELECT rnb_id, event_id, action,
+        strftime(ts, '%Y-%m-%dT%H:%M:%S')
+        || CASE WHEN microsecond(ts) % 1000000 = 0 THEN ''
+                ELSE '.' || lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') END
+        || '+00:00' AS d
+  FROM latest)
+SELECT i.rnb_id, i.event_id, i.action,
+       CASE WHEN action = 'create' THEN d END AS created_at,
+       CASE WHEN action = 'create' THEN NULL ELSE d END AS updated_at,
+       r.rnb_id IS NOT NULL AS removed
+FROM iso i LEFT JOIN removed r ON r.rnb_id = i.rnb_id"""
+
+STAGING = """st AS (
+  SELECT 'BATIMENT' || lpad(CAST(event_id AS VARCHAR), 16, '0') AS cleabs,
+         (['T','true','1','f','FALSE','0','x',''])[(event_id % 8) + 1] AS cl,
+         (['T','true','1','f','FALSE','0','x',''])[((event_id + 3) % 8) + 1] AS gd,
+         event_id % 11 AS m, event_id % 5 AS m5, value, user_id, event_type
+  FROM events)"""
+
+ORACLES["staging_load"] = _with(STAGING) + """
+SELECT cleabs,
+  CASE WHEN lower(nullif(cl, '')) IN ('true','t','1') THEN true
+       WHEN lower(nullif(cl, '')) IN ('false','f','0') THEN false END AS construction_legere,
+  CASE WHEN lower(nullif(gd, '')) IN ('true','t','1') THEN true
+       WHEN lower(nullif(gd, '')) IN ('false','f','0') THEN false END AS gcms_detruit,
+  CASE WHEN m = 5 THEN NULL
+       ELSE CAST(CAST(floor(value * 100) AS BIGINT) / 100.0 AS DECIMAL(6,2))::VARCHAR END AS hauteur,
+  CASE WHEN m = 6 THEN NULL ELSE CAST(user_id AS INTEGER) END AS nombre_de_logements,
+  CASE WHEN m IN (8, 9) THEN NULL ELSE event_type END AS metadonnees_unification,
+  CASE WHEN m = 10 THEN NULL WHEN m5 = 0 THEN 4326 ELSE 0 END AS geometrie_srid,
+  CASE WHEN m = 10 THEN NULL ELSE CAST(5 AS BIGINT) END AS npts
+FROM st"""
+
+ORACLES["srid_violations"] = _with(STAGING) + """
+SELECT 'srid' AS "check", cleabs AS key, CAST(1 AS BIGINT) AS n FROM st WHERE m <> 10 AND m5 = 0"""
