@@ -81,20 +81,20 @@ def area(g) -> Column:
 
 def _ring_area2(r: Column) -> Column:
     n = F.size(r)
-    x0, y0 = r.getItem(0).getField("x"), r.getItem(0).getField("y")
+    x0, y0 = r[0].getField("x"), r[0].getField("y")
     return F.when(n < 4, F.lit(0.0)).otherwise(F.aggregate(
         F.sequence(F.lit(1), n - 2), F.lit(0.0),
         lambda acc, i: acc
-        + (r.getItem(i).getField("x") - x0) * (r.getItem(i + 1).getField("y") - y0)
-        - (r.getItem(i + 1).getField("x") - x0) * (r.getItem(i).getField("y") - y0)))
+        + (r[i].getField("x") - x0) * (r[i + 1].getField("y") - y0)
+        - (r[i + 1].getField("x") - x0) * (r[i].getField("y") - y0)))
 
 
 def _ring_len(r: Column) -> Column:
     n = F.size(r)
     return F.when(n < 2, F.lit(0.0)).otherwise(F.aggregate(
         F.sequence(F.lit(0), n - 2), F.lit(0.0),
-        lambda acc, i: acc + F.hypot(r.getItem(i + 1).getField("x") - r.getItem(i).getField("x"),
-                                     r.getItem(i + 1).getField("y") - r.getItem(i).getField("y"))))
+        lambda acc, i: acc + F.hypot(r[i + 1].getField("x") - r[i].getField("x"),
+                                     r[i + 1].getField("y") - r[i].getField("y"))))
 
 
 def perimeter(g) -> Column:
@@ -153,8 +153,8 @@ def point_distance(px, py, g) -> Column:
     inf = F.lit(float("inf"))
 
     def seg_d2(r, i):
-        ax, ay = r.getItem(i).getField("x"), r.getItem(i).getField("y")
-        bx, by = r.getItem(i + 1).getField("x"), r.getItem(i + 1).getField("y")
+        ax, ay = r[i].getField("x"), r[i].getField("y")
+        bx, by = r[i + 1].getField("x"), r[i + 1].getField("y")
         dx, dy = bx - ax, by - ay
         l2 = dx * dx + dy * dy
         t = F.when(l2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / l2))) \
@@ -162,8 +162,8 @@ def point_distance(px, py, g) -> Column:
         return (ax + t * dx - px) ** 2 + (ay + t * dy - py) ** 2
 
     def crosses(r, i):
-        ax, ay = r.getItem(i).getField("x"), r.getItem(i).getField("y")
-        bx, by = r.getItem(i + 1).getField("x"), r.getItem(i + 1).getField("y")
+        ax, ay = r[i].getField("x"), r[i].getField("y")
+        bx, by = r[i + 1].getField("x"), r[i + 1].getField("y")
         straddle = (ay > py) != (by > py)
         xint = ax + (py - ay) * (bx - ax) / (by - ay)
         return F.when(straddle & (px < xint), F.lit(1)).otherwise(F.lit(0))
