@@ -11,6 +11,7 @@ from footlink.functions import crs
 from footlink.functions.geometry import from_wkt, point_from_wkt, with_measures
 from footlink.operators import worktables as W
 from footlink.operators.spatial import pair_measures
+from footlink.session import cut_lineage
 from footlink.sources.territories import locate
 
 GRID = 0.1
@@ -51,6 +52,9 @@ def changed_to_update(last_changes: DataFrame, link_table: DataFrame, terr: Data
     j = j.select("cleabs", F.lit(None).cast("string").alias("gcms_fingerprint"),
                  F.col("rnb_id").alias("identifiant_rnb"), "geometrie", "geometrie_enveloppe",
                  "informations_rnb", "status", "event_type", "parent_buildings", "srid", "_old")
+    # materialise once: the flag reads these rows twice (kernel input and
+    # the join back), and a work table is written here in the source too
+    j = cut_lineage(j)
     return moved_flag(j, ["cleabs", "srid"], "geometrie_enveloppe", "_old").drop("_old")
 
 

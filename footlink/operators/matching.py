@@ -134,8 +134,9 @@ def point_in_building(R, B, p: Params = Params()):
 
 def point_pairs(R, B, distance: float, p: Params = Params()) -> DataFrame:
     """Registry points against building polygons, boxes grown by
-    ``distance``, with the exact point-to-polygon distance ``pdist``
-    (a JVM expression: no Python on this path)."""
+    ``distance``. ``pdist`` is the exact point-to-polygon distance (a JVM
+    expression: no Python on this path), except that pairs certainly within
+    ``distance`` get 0 — callers only test ``pdist <= distance``."""
     left = R.select(F.col("cleabs").alias("l_id"), F.col("identifiant_rnb").alias("l_identifiant_rnb"),
                     F.col("geometrie.x").alias("l_px"), F.col("geometrie.y").alias("l_py"),
                     F.col("geometrie.x").alias("l_xmin"), F.col("geometrie.x").alias("l_xmax"),
@@ -143,7 +144,15 @@ def point_pairs(R, B, distance: float, p: Params = Params()) -> DataFrame:
         .filter(F.col("l_px").isNotNull())
     right = side(B, "r_", "cleabs", ["geometrie"])
     pairs = candidate_pairs(left, right, distance, p.cell)
-    return pairs.withColumn("pdist", point_distance("l_px", "l_py", "r_geometrie")).drop("r_geometrie")
+    exact = point_distance("l_px", "l_py", "r_geometrie")
+    if distance > 0:
+        # every point of a polygon lies in its bbox, so the farthest bbox
+        # corner bounds the distance: pairs inside that bound skip the exact
+        # (per-vertex) evaluation; CASE evaluates the exact branch lazily.
+        far = F.sqrt(F.greatest((F.col("l_px") - F.col("r_xmin")) ** 2, (F.col("l_px") - F.col("r_xmax")) ** 2)
+                     + F.greatest((F.col("l_py") - F.col("r_ymin")) ** 2, (F.col("l_py") - F.col("r_ymax")) ** 2))
+        exact = F.when(far <= distance, F.lit(0.0)).otherwise(exact)
+    return pairs.withColumn("pdist", exact).drop("r_geometrie")
 
 
 EXT_IDS_T = "array<map<string,string>>"

@@ -387,3 +387,23 @@ def srid_violations(spark, sf_dir):
     SK.export_csv(_staging(spark, sf_dir), path)
     b = FD.typed_buildings(FD.read_building_staging(spark, path))
     return _srid_violations(b, "cleabs", "geometrie_srid")
+
+
+@query
+def candidates_500m(spark, sf_dir):
+    """M13 (dormant in the source): live buildings within 500 m of a
+    registry point."""
+    R, B = _pools(spark, sf_dir)
+    return JB.near_registry_points(R, B, 500.0).select("cleabs")
+
+
+@query
+def initial_pool(spark, sf_dir):
+    """M16 (dormant in the source): the registry pool as the set union of
+    the insert and update lists (no ``cleabs`` column)."""
+    lc = _last_changes(spark, sf_dir)
+    terr = _territories(spark)
+    cols = ["identifiant_rnb", "geometrie", "geometrie_enveloppe", "informations_rnb"]
+    ins = LO.new_to_insert(lc, FX.link_table(spark, sf_dir), terr).select(*cols)
+    upd = LO.changed_to_update(lc, FX.link_table_geo(spark, sf_dir), terr).select(*cols)
+    return ins.unionByName(upd).distinct().select("identifiant_rnb", "informations_rnb")

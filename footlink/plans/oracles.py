@@ -482,3 +482,13 @@ FROM st"""
 
 ORACLES["srid_violations"] = _with(STAGING) + """
 SELECT 'srid' AS "check", cleabs AS key, CAST(1 AS BIGINT) AS n FROM st WHERE m <> 10 AND m5 = 0"""
+
+ORACLES["candidates_500m"] = ORACLES["candidates_100m"].replace("<= 100", "<= 500")
+
+ORACLES["initial_pool"] = _with(DIFF, LATEST, LINK_TABLE, LAST) + """
+SELECT DISTINCT r.rnb_id AS identifiant_rnb, r.informations_rnb
+FROM lc2 r
+WHERE (NOT EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id)
+       AND ((r.action = 'update' AND r.status = 'constructed') OR r.action = 'create'))
+   OR (EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id)
+       AND (r.action = 'update' OR (r.action = 'create' AND r.event_type = 'reactivation')))"""

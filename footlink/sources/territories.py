@@ -34,9 +34,20 @@ TERRITORIES = [
 ]
 
 
+_CACHE: dict[str, DataFrame] = {}
+
+
 def territories(spark: SparkSession) -> DataFrame:
     """The 14 literal rows, with projection constants and the lon/lat
-    quadrilateral (``quad``) and its bbox."""
+    quadrilateral (``quad``) and its bbox. Built once per application and
+    cached (14 rows; rebuilt from the literals if a cached block is lost)."""
+    app = spark.sparkContext.applicationId
+    if app not in _CACHE:
+        _CACHE[app] = _build(spark).cache()
+    return _CACHE[app]
+
+
+def _build(spark: SparkSession) -> DataFrame:
     t = spark.createDataFrame(TERRITORIES, ["nom", "code", "dep", "srid", "bx0", "by0", "bx1", "by1"])
     t = t.join(crs.projection_table(spark), "srid")
     corners = [("bx0", "by0"), ("bx1", "by0"), ("bx1", "by1"), ("bx0", "by1"), ("bx0", "by0")]
