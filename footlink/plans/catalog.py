@@ -407,3 +407,21 @@ def initial_pool(spark, sf_dir):
     ins = LO.new_to_insert(lc, FX.link_table(spark, sf_dir), terr).select(*cols)
     upd = LO.changed_to_update(lc, FX.link_table_geo(spark, sf_dir), terr).select(*cols)
     return ins.unionByName(upd).distinct().select("identifiant_rnb", "informations_rnb")
+
+
+# -- streaming: landing folder → stock ----------------------------------------
+
+from footlink.streaming import landing as ST  # noqa: E402
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    """S2/D2/K8 as a stream: the feed's first half lands, a micro-batch
+    runs; the second half lands, another runs; the stock is returned."""
+    feed = FX.diff(spark, sf_dir).drop("pos")
+    start = F.substring("sys_period", 3, 10)
+    landing, stock, ckpt = _scratch(spark, "landing"), _scratch(spark, "stock"), _scratch(spark, "stream-ckpt")
+    for i, part in enumerate([feed.filter(start < "2024-01-16"), feed.filter(start >= "2024-01-16")]):
+        SK.export_csv(part, f"{landing}/d{i}")
+        ST.start(spark, f"{landing}/*/", stock, ckpt).awaitTermination()
+    return ST.current_stock(spark, stock).select("rnb_id", "event_id")

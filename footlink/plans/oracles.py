@@ -492,3 +492,5 @@ WHERE (NOT EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id
        AND ((r.action = 'update' AND r.status = 'constructed') OR r.action = 'create'))
    OR (EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id)
        AND (r.action = 'update' OR (r.action = 'create' AND r.event_type = 'reactivation')))"""
+
+ORACLES["stream_upsert"] = "SELECT rnb_id, event_id FROM (" + ORACLES["diff_upsert"] + ")"
