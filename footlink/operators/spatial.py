@@ -49,6 +49,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, distance: float = 0.0,
     ``self_join`` only pairs with ``l_id < r_id`` are produced.
     """
     d = float(distance)
+    # a cell at least as wide as the search distance bounds how many cells
+    # a grown box covers (at most 3 × 3 for a point), whatever the distance
+    cell = max(float(cell), d)
     lc = _cells(left, lp, d, cell)
     rc = _cells(right, rp, 0.0, cell)
     l = lambda n: F.col(lp + n)
