@@ -22,7 +22,7 @@ class Poly:
     """Edges of a (multi)polygon, shells CCW and holes CW, relative to an
     origin chosen by the caller (keeps cross products small)."""
 
-    __slots__ = ("ax", "ay", "bx", "by", "rings")
+    __slots__ = ("ax", "ay", "bx", "by", "rings", "_convex")
 
     def __init__(self, xs, ys, rs, rk, ox=0.0, oy=0.0):
         xs = np.asarray(xs, dtype=float) - ox
@@ -42,6 +42,7 @@ class Poly:
         cat = lambda v: np.concatenate(v) if v else np.zeros(0)
         self.ax, self.ay, self.bx, self.by = cat(ax), cat(ay), cat(bx), cat(by)
         self.rings = rings
+        self._convex = 0
 
     @property
     def n(self):
@@ -120,10 +121,95 @@ def _cross(p: Poly, ei, t0, t1):
     return 0.5 * float(np.sum((t1 - t0) * c))
 
 
+def _ring_is_convex(x, y) -> bool:
+    n = len(x) - 1
+    sign = 0
+    for i in range(n):
+        j, k = (i + 1) % n, (i + 2) % n
+        cr = (x[j] - x[i]) * (y[k] - y[j]) - (y[j] - y[i]) * (x[k] - x[j])
+        if cr != 0:
+            s = 1 if cr > 0 else -1
+            if sign and s != sign:
+                return False
+            sign = s
+    return True
+
+
+def convex_parts(p: Poly):
+    """The parts as CCW vertex lists when every ring is a convex shell
+    (no holes), else None. Cached on the polygon."""
+    cached = getattr(p, "_convex", 0)
+    if cached != 0:
+        return cached
+    parts = []
+    for rx, ry in p.rings:
+        x, y = rx.tolist(), ry.tolist()
+        area2 = sum(x[i] * y[i + 1] - x[i + 1] * y[i] for i in range(len(x) - 1))
+        if area2 <= 0 or not _ring_is_convex(x, y):
+            parts = None
+            break
+        parts.append(list(zip(x[:-1], y[:-1])))
+    p._convex = parts
+    return parts
+
+
+def _clip_area(subject, clip) -> float:
+    """Signed area of ``subject`` (closed ring as a vertex list) clipped by
+    the convex CCW polygon ``clip`` (Sutherland-Hodgman). The signed area of
+    the output is exact even for a concave subject."""
+    out = subject
+    k = len(clip)
+    for i in range(k):
+        ax, ay = clip[i]
+        bx, by = clip[(i + 1) % k]
+        ex, ey = bx - ax, by - ay
+        if ex == 0 and ey == 0:
+            continue
+        inp, out = out, []
+        if not inp:
+            return 0.0
+        sx, sy = inp[-1]
+        s_in = ex * (sy - ay) - ey * (sx - ax) >= 0
+        for px, py in inp:
+            p_in = ex * (py - ay) - ey * (px - ax) >= 0
+            if p_in != s_in:
+                dx, dy = px - sx, py - sy
+                den = ex * dy - ey * dx
+                t = (ex * (ay - sy) - ey * (ax - sx)) / den if den else 0.0
+                out.append((sx + t * dx, sy + t * dy))
+            if p_in:
+                out.append((px, py))
+            sx, sy, s_in = px, py, p_in
+    n = len(out)
+    return 0.5 * sum(out[i][0] * out[(i + 1) % n][1] - out[(i + 1) % n][0] * out[i][1] for i in range(n))
+
+
+def _inter_area_convex(clip_parts, other: Poly) -> float:
+    total = 0.0
+    for rx, ry in other.rings:
+        ring = list(zip(rx[:-1].tolist(), ry[:-1].tolist()))
+        for part in clip_parts:
+            total += _clip_area(ring, part)
+    return max(0.0, total)
+
+
 def inter_area(a: Poly, b: Poly) -> float:
-    """``ST_Area(ST_Intersection(a, b))``."""
+    """``ST_Area(ST_Intersection(a, b))`` (G10). When either side is made
+    of convex hole-free parts, clip the other by it (fast path); otherwise
+    integrate the boundary pieces (Green's theorem)."""
     if a.n == 0 or b.n == 0:
         return 0.0
+    ca = convex_parts(a)
+    if ca is not None:
+        return _inter_area_convex(ca, b)
+    cb = convex_parts(b)
+    if cb is not None:
+        return _inter_area_convex(cb, a)
+    return inter_area_general(a, b)
+
+
+def inter_area_general(a: Poly, b: Poly) -> float:
+    """Intersection area by boundary pieces, any valid polygons."""
     ei, t0, t1, c = pieces(a, b)
     k = (c == IN) | (c == SAME)
     s = _cross(a, ei[k], t0[k], t1[k])

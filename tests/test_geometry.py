@@ -89,3 +89,26 @@ def test_point_distance_expression(spark):
     got = [r.d for r in df.select(G.point_distance("x", "y", holed).alias("d")).collect()]
     assert got == [pytest.approx(1.0), 0.0, pytest.approx(3.0), pytest.approx(1.0)]
     assert df.select(G.point_distance("x", "y", g).alias("d")).first().d is None
+
+
+def test_convex_fast_path_matches_general():
+    rng = np.random.default_rng(11)
+
+    def angles(k):
+        while True:
+            ang = np.sort(rng.uniform(0, 2 * np.pi, k))
+            if np.diff(np.concatenate([ang, [ang[0] + 2 * np.pi]])).max() < 0.95 * np.pi:
+                return ang
+
+    def mk(cx, cy, r, k, star):
+        ang = angles(k)
+        rad = rng.uniform(0.3 * r, r, k) if star else np.full(k, r)
+        xs = list(cx + rad * np.cos(ang)) + [cx + rad[0] * np.cos(ang[0])]
+        ys = list(cy + rad * np.sin(ang)) + [cy + rad[0] * np.sin(ang[0])]
+        return P.Poly(xs, ys, [len(xs)], [1])
+
+    for i in range(400):
+        a = mk(0, 0, 10, int(rng.integers(3, 9)), False)
+        b = mk(rng.uniform(-8, 8), rng.uniform(-8, 8), 8, int(rng.integers(3, 12)), i % 2 == 1)
+        assert P.inter_area(a, b) == pytest.approx(P.inter_area_general(a, b), abs=1e-9)
+        assert P.inter_area(b, a) == pytest.approx(P.inter_area_general(a, b), abs=1e-9)
