@@ -112,3 +112,28 @@ def test_convex_fast_path_matches_general():
         b = mk(rng.uniform(-8, 8), rng.uniform(-8, 8), 8, int(rng.integers(3, 12)), i % 2 == 1)
         assert P.inter_area(a, b) == pytest.approx(P.inter_area_general(a, b), abs=1e-9)
         assert P.inter_area(b, a) == pytest.approx(P.inter_area_general(a, b), abs=1e-9)
+
+
+@pytest.mark.parametrize("boxes,area,perim", [
+    ([(0, 0, 4, 4), (2, 0, 6, 4)], 24, 20),                    # overlap
+    ([(0, 0, 4, 4), (2, 0, 6, 4), (1, 1, 5, 3)], 24, 20),      # triple overlap
+    ([(0, 0, 4, 4), (0, 0, 4, 4)], 16, 16),                    # duplicates
+    ([(0, 0, 10, 10), (2, 2, 3, 3)], 100, 40),                 # nested
+    ([(0, 0, 2, 2), (2, 0, 4, 2), (0, 2, 2, 4)], 12, 16),      # edge-sharing L
+    ([(0, 0, 1, 1), (1, 1, 2, 2)], 2, 8),                      # corner touch
+])
+def test_union_measures_from_pair_covers(boxes, area, perim):
+    from footlink.operators.components import covered_fraction
+    polys = [box(*b) for b in boxes]
+    a_tot = p_tot = 0.0
+    for i, p in enumerate(polys):
+        iv = []
+        for j, q in enumerate(polys):
+            if i != j:
+                ei, t0, t1 = P.cover_pieces(p, q, q_first=j < i)
+                iv += list(zip(ei.tolist(), t0.tolist(), t1.tolist()))
+        cov = covered_fraction(p.n, None, iv)
+        cr, ln = P.edge_terms(p)
+        a_tot += float(np.sum((1 - cov) * cr))
+        p_tot += float(np.sum((1 - cov) * ln))
+    assert (a_tot, p_tot) == (pytest.approx(area), pytest.approx(perim))
