@@ -32,7 +32,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     e = cut_lineage(_norm(edges))
     if e.limit(1).count() == 0:
         return nodes.select("id").distinct().withColumn("comp", F.col("id"))
-    for _ in range(max_rounds):
+    for _round in range(max_rounds):
         # large star: link every larger neighbour to the smallest of N(u)+u
         sym = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         m = sym.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -47,6 +47,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         e = small
         if changed == 0:
             break
+    else:
+        # O(log n) rounds are expected; never return unfinished stars
+        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     star = e.groupBy("a").agg(F.min("b").alias("comp"))
     return (nodes.select("id").distinct().join(star.withColumnRenamed("a", "id"), "id", "left")
             .select("id", F.coalesce("comp", "id").alias("comp")))
