@@ -36,3 +36,23 @@ def test_snap_half_up(spark):
     df = spark.createDataFrame([(1.25,), (1.24,), (-1.25,)], "v double")
     got = [round(r.s, 6) for r in df.select(crs.snap(F.col("v"), 0.1).alias("s")).collect()]
     assert got == [1.3, 1.2, -1.2]
+
+
+def test_point_in_two_territories_fans_out(spark):
+    terr = territories(spark)
+    twin = terr.filter("code = 'FXX'").withColumn("code", F.lit("FXX2"))
+    pts = spark.createDataFrame([("paris", 2.35, 48.85)], "name string, lon double, lat double")
+    pts = pts.withColumn("p", F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")))
+    got = sorted(r.code for r in locate(pts, "p", terr.unionByName(twin)).collect())
+    assert got == ["FXX", "FXX2"]
+
+
+def test_moved_flag_null_old_shape_is_blank(spark):
+    from footlink.functions.geometry import box
+    from footlink.operators.localise import moved_flag
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "cleabs string, k int")
+    df = (df.withColumn("new", box(F.lit(0), F.lit(0), F.lit(10), F.lit(10)))
+            .withColumn("old", F.when(F.col("k") == 1, box(F.lit(0.5), F.lit(0), F.lit(10.5), F.lit(10)))
+                                .when(F.col("k") == 2, box(F.lit(30), F.lit(0), F.lit(40), F.lit(10)))))
+    got = {r.cleabs: r.commentaire_centralise for r in moved_flag(df, ["cleabs"], "new", "old").collect()}
+    assert got == {"a": "", "b": "to_link", "c": ""}

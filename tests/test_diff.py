@@ -118,3 +118,16 @@ def test_csv_feed_with_quotes(spark, tmp_path):
     last, _ = sync.sync_from_file(spark, str(p), str(tmp_path / "out"))
     r = last.first()
     assert r.event_id == "2" and r.updated_at == "2024-01-03T00:00:00+01:00" and r.created_at is None
+
+
+def test_latest_pre_aggregates_before_the_shuffle(spark):
+    """A key holding a third of all rows must be combined map side: the
+    plan has a partial aggregate below the exchange on the key."""
+    rows = [("hot" if i % 3 == 0 else f"k{i}", f'["2024-01-{1 + i % 28:02d} 00:00:00+00",)', str(i), i)
+            for i in range(300)]
+    feed = spark.createDataFrame(rows, "rnb_id string, sys_period string, extra string, pos long")
+    out = D.latest_per_key(feed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "Exchange hashpartitioning(rnb_id" in plan
+    hot = out.filter("rnb_id = 'hot'").first()
+    assert hot.extra == "27"  # 2024-01-28 is the newest day among i % 3 == 0 (i = 27, 111, 195, 279: first seen)
