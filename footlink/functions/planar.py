@@ -238,18 +238,75 @@ def _pt_seg_d2(px, py, ax, ay, bx, by):
 
 
 def distance(a: Poly, b: Poly) -> float:
-    """``ST_Distance`` for polygons (0 when they intersect)."""
+    """``ST_Distance`` for polygons (0 when they intersect). Disjoint convex
+    parts: the smallest vertex-to-edge distance, in plain Python."""
     if a.n == 0 or b.n == 0:
         return float("inf")
     if intersects(a, b):
         return 0.0
+    ca, cb = convex_parts(a), convex_parts(b)
+    if ca is not None and cb is not None:
+        return _convex_distance(ca, cb)
     d1 = _pt_seg_d2(a.ax[:, None], a.ay[:, None], b.ax[None, :], b.ay[None, :], b.bx[None, :], b.by[None, :])
     d2 = _pt_seg_d2(b.ax[:, None], b.ay[:, None], a.ax[None, :], a.ay[None, :], a.bx[None, :], a.by[None, :])
     return float(np.sqrt(min(d1.min(), d2.min())))
 
 
+def _sat_separated(p, q) -> bool:
+    """True when an edge normal of convex CCW ``p`` strictly separates it
+    from ``q`` (touching is not separation)."""
+    k = len(p)
+    for i in range(k):
+        ax, ay = p[i]
+        bx, by = p[(i + 1) % k]
+        ex, ey = bx - ax, by - ay
+        if ex == 0 and ey == 0:
+            continue
+        if all(ex * (qy - ay) - ey * (qx - ax) < 0 for qx, qy in q):
+            return True
+    return False
+
+
+def _convex_intersects(pa, pb) -> bool:
+    return any(not _sat_separated(x, y) and not _sat_separated(y, x) for x in pa for y in pb)
+
+
+def _seg_point_d2(px, py, ax, ay, bx, by) -> float:
+    dx, dy = bx - ax, by - ay
+    l2 = dx * dx + dy * dy
+    t = 0.0 if l2 == 0 else max(0.0, min(1.0, ((px - ax) * dx + (py - ay) * dy) / l2))
+    ex, ey = ax + t * dx - px, ay + t * dy - py
+    return ex * ex + ey * ey
+
+
+def _convex_distance(pa, pb) -> float:
+    best = float("inf")
+    for x in pa:
+        for y in pb:
+            for src, dst in ((x, y), (y, x)):
+                k = len(dst)
+                for px, py in src:
+                    for i in range(k):
+                        ax, ay = dst[i]
+                        bx, by = dst[(i + 1) % k]
+                        d2 = _seg_point_d2(px, py, ax, ay, bx, by)
+                        if d2 < best:
+                            best = d2
+    return best ** 0.5
+
+
 def intersects(a: Poly, b: Poly) -> bool:
-    """``ST_Intersects`` (G11): boundaries meet, or one holds the other."""
+    """``ST_Intersects`` (G11): boundaries meet, or one holds the other.
+    Convex hole-free parts use the separating-axis test."""
+    if a.n == 0 or b.n == 0:
+        return False
+    ca, cb = convex_parts(a), convex_parts(b)
+    if ca is not None and cb is not None:
+        return _convex_intersects(ca, cb)
+    return intersects_general(a, b)
+
+
+def intersects_general(a: Poly, b: Poly) -> bool:
     if a.n == 0 or b.n == 0:
         return False
     hit = _seg_cross(a.ax[:, None], a.ay[:, None], a.bx[:, None], a.by[:, None],

@@ -120,7 +120,9 @@ def pair_measures(pairs: DataFrame, measures: list[str], keep: list[str],
     def run(batches):
         for pdf in batches:
             out = {m: [] for m in measures}
-            for row in pdf.to_dict("records"):
+            cols = list(pdf.columns)
+            for vals in zip(*(pdf[c].values for c in cols)):
+                row = dict(zip(cols, vals))
                 if need_pt:
                     ox, oy = row[lp + "px"], row[lp + "py"]
                     b = _poly(row, rp, ox, oy)

@@ -137,3 +137,20 @@ def test_union_measures_from_pair_covers(boxes, area, perim):
         a_tot += float(np.sum((1 - cov) * cr))
         p_tot += float(np.sum((1 - cov) * ln))
     assert (a_tot, p_tot) == (pytest.approx(area), pytest.approx(perim))
+
+
+def test_convex_intersects_and_distance_match_general():
+    rng = np.random.default_rng(21)
+    for _ in range(500):
+        ks = rng.integers(3, 9, 2)
+        polys = []
+        for k, (cx, cy) in zip(ks, [(0, 0), rng.uniform(-14, 14, 2)]):
+            while True:
+                ang = np.sort(rng.uniform(0, 2 * np.pi, k))
+                if np.diff(np.concatenate([ang, [ang[0] + 2 * np.pi]])).max() < 0.95 * np.pi:
+                    break
+            xs = list(cx + 5 * np.cos(ang)) + [cx + 5 * np.cos(ang[0])]
+            ys = list(cy + 5 * np.sin(ang)) + [cy + 5 * np.sin(ang[0])]
+            polys.append(P.Poly(xs, ys, [len(xs)], [1]))
+        a, b = polys
+        assert P.intersects(a, b) == P.intersects_general(a, b)
