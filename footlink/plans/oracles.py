@@ -65,7 +65,7 @@ TREATED = f"""treated AS (
            AS liens_vers_batiment
   FROM (SELECT *, CAST(l_orderkey AS VARCHAR) AS cleabs, 'R' || CAST(l_orderkey AS VARCHAR) AS identifiant_rnb,
                ({TREATED_LABELS})[(l_partkey % 5) + 1] AS traitement
-        FROM lineitem WHERE l_linenumber <= 2))"""
+        FROM lineitem))"""
 
 DESTROYED = """destroyed AS (
   SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS cleabs FROM part

@@ -230,9 +230,9 @@ _TREATED_LABELS = [LABELS[k] for k in ("similar", "semantic", "contained", "balc
 
 
 def treated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Treated-registry accumulator RT from ``lineitem`` lines 1-2:
+    """Treated-registry accumulator RT from every ``lineitem`` row:
     ``cleabs`` = order key, a stage label by part key, new links."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= 2)
+    li = table(spark, sf_dir, "lineitem")
     lab = _pick(_TREATED_LABELS, F.col("l_partkey") % 5)
     return li.select(
         F.col("l_orderkey").cast("string").alias("cleabs"),
