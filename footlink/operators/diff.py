@@ -31,7 +31,9 @@ def latest_per_key(feed: DataFrame, key: str = "rnb_id", period: str = "sys_peri
     whole group in one task. ``first_pos`` keeps the first-appearance order
     for sinks that must reproduce it.
     """
-    df = feed.withColumn("updated_at", range_start(period, strict=False))
+    # strict: a lower bound that matches the pattern but is no valid date
+    # raises (as the source's parser does); no match at all stays NULL
+    df = feed.withColumn("updated_at", range_start(period, strict=strict))
     cols = [c for c in df.columns if c != key]
     # smallest key wins: parsed before unparsed, newest first, then first seen
     # (``pos`` may be a number or a struct such as (file, block, row)).

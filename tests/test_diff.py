@@ -131,3 +131,11 @@ def test_latest_pre_aggregates_before_the_shuffle(spark):
     assert "partial_min_by" in plan and "Exchange hashpartitioning(rnb_id" in plan
     hot = out.filter("rnb_id = 'hot'").first()
     assert hot.extra == "27"  # 2024-01-28 is the newest day among i % 3 == 0 (i = 27, 111, 195, 279: first seen)
+
+
+def test_strict_raises_on_matched_but_invalid_date(spark):
+    rows = [("a", '["2024-13-45 00:00:00+00",)', "bad", 0)]
+    feed = spark.createDataFrame(rows, "rnb_id string, sys_period string, extra string, pos long")
+    assert D.latest_per_key(feed).first().updated_at is None      # lenient: NULL
+    with pytest.raises(Exception):
+        D.latest_per_key(feed, strict=True).collect()
