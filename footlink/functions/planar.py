@@ -432,3 +432,14 @@ def cover_pieces(p: Poly, q: Poly, q_first: bool):
 def edge_terms(p: Poly):
     """Per edge: ½·cross(a, b) (area term) and length."""
     return 0.5 * (p.ax * p.by - p.bx * p.ay), np.hypot(p.bx - p.ax, p.by - p.ay)
+
+
+def buffer_polygon(x: float, y: float, d: float, quad_segs: int = 8) -> Poly:
+    """The polygon PostGIS builds for ``ST_Buffer(point, d)``: a regular
+    ``4 * quad_segs``-gon inscribed in the circle, first vertex due east."""
+    n = 4 * quad_segs
+    ang = -2 * np.pi * np.arange(n + 1) / n
+    xs = x + d * np.cos(ang)
+    ys = y + d * np.sin(ang)
+    xs[-1], ys[-1] = xs[0], ys[0]
+    return Poly(xs, ys, [n + 1], [1])

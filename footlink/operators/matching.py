@@ -132,7 +132,7 @@ def point_in_building(R, B, p: Params = Params()):
     return _claims(m.filter(F.col("pdist") <= 0.0), LABELS["point"])
 
 
-def point_pairs(R, B, distance: float, p: Params = Params()) -> DataFrame:
+def point_pairs(R, B, distance: float, p: Params = Params(), keep_geometry: bool = False) -> DataFrame:
     """Registry points against building polygons, boxes grown by
     ``distance``. ``pdist`` is the exact point-to-polygon distance (a JVM
     expression: no Python on this path), except that pairs certainly within
@@ -151,8 +151,12 @@ def point_pairs(R, B, distance: float, p: Params = Params()) -> DataFrame:
         # (per-vertex) evaluation; CASE evaluates the exact branch lazily.
         far = F.sqrt(F.greatest((F.col("l_px") - F.col("r_xmin")) ** 2, (F.col("l_px") - F.col("r_xmax")) ** 2)
                      + F.greatest((F.col("l_py") - F.col("r_ymin")) ** 2, (F.col("l_py") - F.col("r_ymax")) ** 2))
-        exact = F.when(far <= distance, F.lit(0.0)).otherwise(exact)
-    return pairs.withColumn("pdist", exact).drop("r_geometrie")
+        if not keep_geometry:
+            exact = F.when(far <= distance, F.lit(0.0)).otherwise(exact)
+    out = pairs.withColumn("pdist", exact).drop("r_geometrie")
+    if not keep_geometry:
+        out = out.drop("r_xs", "r_ys", "r_rs", "r_rk")
+    return out
 
 
 EXT_IDS_T = "array<map<string,string>>"

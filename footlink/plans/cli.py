@@ -58,6 +58,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
             m.add_argument("--fridays-only", action="store_true")
         if name != "drop-destroyed":
             m.add_argument("--compat-delete", action="store_true")
+            m.add_argument("--compat-buffer", action="store_true",
+                           help="use the source's 32-gon point buffers for the 100 m candidates")
     a = ap.parse_args(argv)
 
     if spark is None:
@@ -91,11 +93,12 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     B = PL.topo_pool(buildings)
     link_lists = links.select("cleabs", "liens_vers_batiment")
     if a.job == "match-registry":
-        res, casc = JB.job_registry_change(R, link_lists, B, a.as_of, compat_delete=a.compat_delete)
+        res, casc = JB.job_registry_change(R, link_lists, B, a.as_of, compat_delete=a.compat_delete,
+                                           compat_buffer=a.compat_buffer)
         name = "update_batiment_rnb_creation"
     else:
         res, casc = JB.job_topo_created(R, link_lists, B, a.as_of, enforce_weekday=a.fridays_only,
-                                        compat_delete=a.compat_delete)
+                                        compat_delete=a.compat_delete, compat_buffer=a.compat_buffer)
         name = "update_bdtopo_creation"
     if res is None:
         return

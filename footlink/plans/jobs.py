@@ -81,39 +81,72 @@ def changed_registry(link_rows: DataFrame, as_of: str, days: int = 2) -> DataFra
         (F.col("gcms_date_creation") >= since) | (F.col("gcms_date_modification") >= since)))
 
 
+def _within(pairs: DataFrame, distance: float, compat_buffer: bool) -> DataFrame:
+    """Pairs whose building lies within ``distance`` of the point. With
+    ``compat_buffer`` the buffer is the inscribed 32-gon the source builds:
+    pairs closer than its inner radius are in, farther than ``distance``
+    out, and only the thin annulus between goes to an exact polygon test."""
+    import math
+
+    from footlink.functions import planar as P
+    from footlink.session import ship_package
+
+    if not compat_buffer:
+        return pairs.filter(F.col("pdist") <= distance)
+    inner = distance * math.cos(math.pi / 32)
+    sure = pairs.filter(F.col("pdist") <= inner)
+    ring = pairs.filter((F.col("pdist") > inner) & (F.col("pdist") <= distance))
+    ship_package(pairs.sparkSession)
+    keep = [c for c in ring.columns if not c.startswith("r_") or c == "r_id"]
+    schema = ring.select(*keep).schema
+
+    def run(batches):
+        for pdf in batches:
+            ok = []
+            for px, py, xs, ys, rs, rk in zip(pdf["l_px"], pdf["l_py"], pdf["r_xs"], pdf["r_ys"],
+                                              pdf["r_rs"], pdf["r_rk"]):
+                b = P.Poly(xs, ys, rs, rk, px, py)
+                ok.append(P.intersects(P.buffer_polygon(0.0, 0.0, distance), b))
+            yield pdf.loc[ok, keep] if len(pdf) else pdf[keep]
+
+    exact = ring.mapInPandas(run, schema)
+    return sure.select(*keep).unionByName(exact)
+
+
 def near_registry_points(R: DataFrame, buildings: DataFrame, distance: float,
-                         p: M.Params = M.Params()) -> DataFrame:
+                         p: M.Params = M.Params(), compat_buffer: bool = False) -> DataFrame:
     """Live buildings within ``distance`` of a registry point
     (the union of point buffers only removes duplicates → ``distinct``)."""
     live = buildings.filter(~F.col("gcms_detruit"))
-    near = M.point_pairs(R, live, distance, p).filter(F.col("pdist") <= distance)
+    near = _within(M.point_pairs(R, live, distance, p, keep_geometry=compat_buffer), distance, compat_buffer)
     keys = near.select(F.col("r_id").alias("cleabs")).distinct()
     return live.join(keys, "cleabs", "left_semi")
 
 
 def registry_near_buildings(link_rows: DataFrame, B: DataFrame, distance: float,
-                            p: M.Params = M.Params()) -> DataFrame:
+                            p: M.Params = M.Params(), compat_buffer: bool = False) -> DataFrame:
     """Live link rows whose point is within ``distance`` of a building."""
     live = link_rows.filter(~F.col("gcms_detruit"))
-    near = M.point_pairs(live, B, distance, p).filter(F.col("pdist") <= distance)
+    near = _within(M.point_pairs(live, B, distance, p, keep_geometry=compat_buffer), distance, compat_buffer)
     keys = near.select(F.col("l_id").alias("cleabs")).distinct()
     return live.join(keys, "cleabs", "left_semi")
 
 
 def job_registry_change(link_rows: DataFrame, link_table: DataFrame, buildings: DataFrame,
-                        as_of: str, p: M.Params = M.Params(), compat_delete: bool = False):
+                        as_of: str, p: M.Params = M.Params(), compat_delete: bool = False,
+                        compat_buffer: bool = False):
     """O1: rows changed in the last 2 days → buildings within 100 m →
     cascade → F1 merge with the existing links. ``link_rows`` and
     ``buildings`` are pool-shaped (parsed + measured)."""
     R = _distinct_on(changed_registry(link_rows, as_of), "cleabs").select(*M.R_COLS, *M.MEAS)
-    B = near_registry_points(R, buildings, 100.0, p).select("cleabs", "geometrie", *M.MEAS)
+    B = near_registry_points(R, buildings, 100.0, p, compat_buffer).select("cleabs", "geometrie", *M.MEAS)
     res = run_cascade(R, B, p, compat_delete)
     return merge_links_with_labels(res.pools.RT, link_table), res
 
 
 def job_topo_created(link_rows: DataFrame, link_table: DataFrame, buildings: DataFrame,
                      as_of: str, p: M.Params = M.Params(), enforce_weekday: bool = False,
-                     compat_delete: bool = False):
+                     compat_delete: bool = False, compat_buffer: bool = False):
     """O2: buildings created in the last 8 days → registry rows whose point
     is within 100 m → cascade → F2. The source runs only on Fridays;
     ``enforce_weekday`` keeps that gate (returns ``None`` otherwise)."""
@@ -125,6 +158,7 @@ def job_topo_created(link_rows: DataFrame, link_table: DataFrame, buildings: Dat
     since = days_before(as_of, 8)
     B = (buildings.filter(~F.col("gcms_detruit") & (F.col("gcms_date_creation") >= since))
          .select("cleabs", "geometrie", *M.MEAS).distinct())
-    R = _distinct_on(registry_near_buildings(link_rows, B, 100.0, p), "cleabs").select(*M.R_COLS, *M.MEAS)
+    R = _distinct_on(registry_near_buildings(link_rows, B, 100.0, p, compat_buffer), "cleabs") \
+        .select(*M.R_COLS, *M.MEAS)
     res = run_cascade(R, B, p, compat_delete)
     return merge_links(res.pools.RT, link_table), res

@@ -45,3 +45,27 @@ def test_merge_keeps_existing_links(run):
     merged = out.select("cleabs", F.explode(F.split("liens_vers_batiment", "/")).alias("lien"))
     assert old.join(merged, ["cleabs", "lien"], "left_anti").count() == 0
     assert out.filter(F.col("traitement").contains(FX.LABELS["far_r"])).count() == 0
+
+
+def test_compat_buffer_excludes_the_annulus(spark):
+    import math
+    from footlink.functions import geometry as G
+    R = spark.createDataFrame([("L1", "R1", 0.0, 0.0)], "cleabs string, identifiant_rnb string, x double, y double")
+    R = R.select("cleabs", "identifiant_rnb", G.point("x", "y").alias("geometrie"))
+
+    def tiny(angle_deg, r0, r1):
+        a = math.radians(angle_deg)
+        ux, uy, vx, vy = math.cos(a), math.sin(a), -math.sin(a), math.cos(a)
+        pts = [(r0, -0.05), (r1, -0.05), (r1, 0.05), (r0, 0.05)]
+        xy = [(p * ux + q * vx, p * uy + q * vy) for p, q in pts]
+        return "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in xy + xy[:1]) + "))"
+
+    rows = [("B_vertex", tiny(0.0, 99.8, 99.95)), ("B_edge", tiny(5.625, 99.8, 99.95)),
+            ("B_far", tiny(5.625, 100.2, 100.4)), ("B_near", tiny(5.625, 90, 91))]
+    B = spark.createDataFrame(rows, "cleabs string, w string").select(
+        "cleabs", G.from_wkt("w").alias("geometrie"), F.lit(False).alias("gcms_detruit"))
+    B = G.with_measures(B, "geometrie")
+    plain = {r.cleabs for r in JB.near_registry_points(R, B, 100.0).collect()}
+    compat = {r.cleabs for r in JB.near_registry_points(R, B, 100.0, compat_buffer=True).collect()}
+    assert plain == {"B_vertex", "B_edge", "B_near"}
+    assert compat == {"B_vertex", "B_near"}
