@@ -12,7 +12,6 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from footlink.operators import diff as D
 from footlink.session import cut_lineage
