@@ -154,3 +154,12 @@ def test_convex_intersects_and_distance_match_general():
             polys.append(P.Poly(xs, ys, [len(xs)], [1]))
         a, b = polys
         assert P.intersects(a, b) == P.intersects_general(a, b)
+
+
+def test_wkt_round_trip(spark):
+    w = "MULTIPOLYGON(((0 0, 10 0, 10 10, 0 10, 0 0), (2 2, 2 4, 4 4, 4 2, 2 2)), ((20.5 0, 21 0, 21 1, 20.5 0)))"
+    df = spark.createDataFrame([(w,)], "w string").select(G.from_wkt("w").alias("g"))
+    back = df.select(G.from_wkt(G.to_wkt("g")).alias("g2"), "g").first()
+    assert back.g2 == back.g
+    p = spark.createDataFrame([(1.5, -2.25)], "x double, y double").select(G.point_to_wkt(G.point("x", "y")).alias("w"))
+    assert p.first().w == "POINT(1.5 -2.25)"
