@@ -130,10 +130,14 @@ def with_measures(df, geom: str, prefix: str = ""):
             .withColumn(prefix + "npts", npoints(g)))
 
 
+def _num(v: Column) -> Column:
+    """A coordinate as WKT text: ten decimals, trailing zeros dropped."""
+    return F.regexp_replace(F.format_string("%.10f", v), r"\.?0+$", "")
+
+
 def to_wkt(g) -> Column:
     """Multipolygon column → ``MULTIPOLYGON(((x y, ...)))`` text."""
-    fmt = lambda p: F.concat(F.format_string("%.10g", p.getField("x")), F.lit(" "),
-                             F.format_string("%.10g", p.getField("y")))
+    fmt = lambda p: F.concat(_num(p.getField("x")), F.lit(" "), _num(p.getField("y")))
     ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, fmt), ", "), F.lit(")"))
     poly = lambda p: F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
     return F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(_col(g), poly), ", "), F.lit(")"))
@@ -141,8 +145,7 @@ def to_wkt(g) -> Column:
 
 def point_to_wkt(p) -> Column:
     p = _col(p)
-    return F.concat(F.lit("POINT("), F.format_string("%.10g", p.getField("x")), F.lit(" "),
-                    F.format_string("%.10g", p.getField("y")), F.lit(")"))
+    return F.concat(F.lit("POINT("), _num(p.getField("x")), F.lit(" "), _num(p.getField("y")), F.lit(")"))
 
 
 def point_distance(px, py, g) -> Column:
