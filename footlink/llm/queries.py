@@ -4,9 +4,25 @@ express the result."""
 
 from __future__ import annotations
 
-from footlink.llm import curriculum, minhash_dedup, piece_encoder, pseudonyms, quality_rules
+from footlink.llm import (
+    curriculum,
+    fingerprints,
+    minhash_dedup,
+    piece_encoder,
+    pseudonyms,
+    quality_embedding,
+    quality_rules,
+    shuffle_shards,
+    substring_dedup,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_toxicity_nnpu": toxicity.query,
+    "op2_substring_dedup": substring_dedup.query,
+    "op3_fingerprints": fingerprints.query,
+    "op4_shuffle_shards": shuffle_shards.query,
+    "op5_quality_embedding": quality_embedding.query,
     "op6_pseudonyms": pseudonyms.query,
     "op7_circulant_minhash": minhash_dedup.query,
     "op8_curriculum_mix": curriculum.query,
