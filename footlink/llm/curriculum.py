@@ -44,6 +44,11 @@ def order_key() -> Column:
     return F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text")))
 
 
+def row_key() -> Column:
+    """Names a row by its order key and source."""
+    return F.md5(F.concat(F.col("key"), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, key), written once: the text is read here only."""
     return cut_lineage(docs.select(
@@ -88,8 +93,8 @@ def position(share: Column, slope: Column) -> Column:
 
 def plan(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES,
          max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per document: (doc_id, key, size, source_size, target, taken,
-    copies); ``copies`` lists (words, position) of each copy taken."""
+    """One row per document: (doc_id, key, row, size, source_size, target,
+    taken, copies); ``copies`` lists (words, position) of each copy taken."""
     rows = sizes(docs).withColumn("prefix", F.substring("key", 1, PREFIX))
     parts = rows.groupBy("source", "prefix").agg(F.sum("size").alias("part"))
     parts = cut_lineage(parts)
@@ -114,21 +119,26 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES,
 
     run = run.withColumn("copies", F.filter(F.transform(epochs, copy), lambda c: c["words"] > 0))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda acc, c: acc + c["words"])
-    return run.withColumn("taken", taken).select("doc_id", "key", "size", "source_size", "target", "taken", "copies")
+    return (run.withColumn("taken", taken).withColumn("row", row_key())
+            .select("doc_id", "key", "row", "size", "source_size", "target", "taken", "copies"))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The training stream: ``docs`` rows, repeated as the mix takes them, in
     order of position. A copy taken in part keeps its leading words."""
     columns = docs.columns
-    # Documents of one key are equal in id and text; repeated rows of one key
-    # carry their own row of the plan, told apart by their order.
-    twin = Window.partitionBy("key").orderBy(F.lit(0))
-    todo = (plan(docs, weights, slopes, max_repeats)
-            .withColumn("twin", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("taken"), F.desc("target"))))
-            .where("taken > 0").select("key", "twin", "size", "copies"))
-    keyed = docs.withColumn("key", order_key()).withColumn("twin", F.row_number().over(twin))
-    rows = keyed.join(todo, ["key", "twin"]).select(*[F.col(c) for c in columns], "size", F.explode("copies").alias("copy"))
+    todo = cut_lineage(plan(docs, weights, slopes, max_repeats)
+                       .withColumn("twin", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("taken"))))
+                       .select("row", "twin", "size", "copies", "taken"))
+    # Rows of one key are equal in id, text and source. Repeated ones carry
+    # their own row of the plan, told apart by a number; only they need one.
+    repeated = cut_lineage(todo.where("twin = 2").select("row", F.lit(True).alias("again")))
+    keyed = docs.withColumn("key", order_key()).withColumn("row", row_key()).drop("key").join(repeated, "row", "left")
+    twin = F.row_number().over(Window.partitionBy("row").orderBy(F.lit(0)))
+    keyed = (keyed.where("again IS NULL").withColumn("twin", F.lit(1))
+             .unionByName(keyed.where("again").withColumn("twin", twin)))
+    todo = todo.where("taken > 0").drop("taken")
+    rows = keyed.join(todo, ["row", "twin"]).select(*[F.col(c) for c in columns], "size", F.explode("copies").alias("copy"))
     if "text" in columns:
         lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
                                     F.lit(1), F.col("copy.words").cast("int")), "")
