@@ -24,7 +24,6 @@ import functools
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,21 +117,22 @@ def with_next(docs: DataFrame, rows_per_chunk: int = 20_000) -> DataFrame:
     cuts = sorted(set(keyed.approxQuantile("id", wanted, 0.2 / chunks))) if wanted else []
     edges = docs.sparkSession.sparkContext.broadcast(np.array(cuts, np.int64))      # one number per chunk
 
-    @F.pandas_udf("long")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges.value, ids.to_numpy(), "right").astype(np.int64))
+    @F.arrow_udf("long")
+    def chunk_of(ids: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(edges.value, ids.to_numpy(zero_copy_only=False), "right").astype(np.int64))
 
     firsts = sorted((r["first"], r["c"]) for r in
                     keyed.select("id", chunk_of("id").alias("c")).groupBy("c").agg(F.min("id").alias("first")).collect())
     starts = docs.sparkSession.sparkContext.broadcast((
         np.array([f for f, _ in firsts], np.int64), np.array([c for _, c in firsts][-1:] + [c for _, c in firsts][:-1])))
 
-    @F.pandas_udf("long")
-    def chunk_before(ids: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def chunk_before(ids: pa.Array) -> pa.Array:
         """For the first id of a chunk, the chunk before; else -1."""
         first, before = starts.value
-        at = np.minimum(np.searchsorted(first, ids.to_numpy()), len(first) - 1)
-        return pd.Series(np.where(first[at] == ids.to_numpy(), before[at], -1))
+        values = ids.to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(first, values), len(first) - 1)
+        return pa.array(np.where(first[at] == values, before[at], -1))
 
     own = F.struct(chunk_of("id").alias("chunk"), F.lit(True).alias("own"))
     foreign = F.struct(chunk_before("id").alias("chunk"), F.lit(False).alias("own"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back: workers are reused by later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply a batch function inside Spark's tasks."""
     def over(batches):
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
+                release()
     return df.mapInArrow(over, schema)
 
 
@@ -50,8 +59,8 @@ def smallest_by_hash(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 def bloom(keys: DataFrame):
     """Broadcast bitmap of ``BLOOM_BITS`` bits (4 MB, whatever the number of
-    rows) over the one long column of ``keys``, as ``row -> bool`` column
-    function. It never misses a key; with very many keys it lets more rows
+    rows) over the one long column of ``keys``, as a test for Arrow
+    arrays. It never misses a key; with very many keys it lets more rows
     through, so an exact join must follow."""
     import numpy as np
     spark = keys.sparkSession
@@ -76,12 +85,19 @@ def bloom(keys: DataFrame):
     words[got["at"].to_numpy()] = got["bits"].to_numpy()
     shared = spark.sparkContext.broadcast(words)
 
-    @F.pandas_udf("boolean")
-    def may_hold(v: pd.Series) -> pd.Series:
-        present = v.notna().to_numpy()
-        at = slot(v.fillna(0).to_numpy())
+    def held(v: pa.Array) -> np.ndarray:
+        at = slot(v.fill_null(0).to_numpy(zero_copy_only=False))
         hit = (shared.value[at >> 6] >> (at & 63)) & 1
-        return pd.Series(present & (hit == 1))
+        return (hit == 1) & v.is_valid().to_numpy(zero_copy_only=False)
+
+    return held
+
+
+def bloom_column(held: Callable) -> Callable:
+    """``bloom`` as a column function."""
+    @F.arrow_udf("boolean")
+    def may_hold(v: pa.Array) -> pa.Array:
+        return pa.array(held(v))
 
     return may_hold
 
@@ -95,7 +111,7 @@ def without_rows(docs: DataFrame, removed: DataFrame, repeated: DataFrame) -> Da
                           .unionByName(repeated.withColumn("_gone", F.lit(False)))
                           .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"))
                           .agg(F.max("_gone").alias("_gone")))
-    may = bloom(touched.select("_h"))
+    may = bloom_column(bloom(touched.select("_h")))
     marked = docs.select("*", *key).withColumn("_may", may("_h"))
     plain = marked.where("NOT _may").select(*docs.columns)
     checked = marked.where("_may").join(touched, ["_id", "_h"], "left")
@@ -104,5 +120,5 @@ def without_rows(docs: DataFrame, removed: DataFrame, repeated: DataFrame) -> Da
     return plain.unionByName(once).unionByName(single)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "NULL_ID", "bloom", "cut_lineage", "held_out", "map_batches", "prepare",
+__all__ = ["DOCUMENT_COLUMNS", "NULL_ID", "bloom", "bloom_column", "cut_lineage", "held_out", "map_batches", "prepare", "release",
            "smallest_by_hash", "table", "without_rows"]

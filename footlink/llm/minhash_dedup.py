@@ -105,20 +105,22 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, items) of the documents in ``ids``; only rows that a bloom filter
-    of the ids lets through are shuffled with their text."""
+    """(id, items) of the documents in ``ids``. Sets are built where the text
+    is read, for the rows that a bloom filter of the ids lets through; the
+    exact join then moves sets of long, not text."""
+    held = bloom(ids)
+
     def of(batch):
-        for lo, hi, buf, bounds in T.text_chunks(batch.column(1)):
+        some = batch.filter(pa.array(held(batch.column(0))))
+        for lo, hi, buf, bounds in T.text_chunks(some.column(1)):
             _, _, h, first = T.words(buf, bounds, lower=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo),
+                [some.column(0).slice(lo, hi - lo),
                  pa.array([s.view(np.int64) for s in T.shingles(h, first, k)], pa.list_(pa.int64()))],
                 names=["id", "items"])
 
-    may = bloom(ids)
-    some = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
-            .where(may("id")).join(ids, "id", "left_semi"))
-    return map_batches(some, of, "id long, items array<long>").where(F.size("items") > 0)
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
+    return map_batches(source, of, "id long, items array<long>").where(F.size("items") > 0).join(ids, "id", "left_semi")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -36,13 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footlink.llm import text as T
-from footlink.llm.frames import table
+from footlink.llm.frames import release, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 BLOCK = 8192
-MEMO_RUNS = 400_000
+AREA = 1 << 20
+MEMO_RUNS = 120_000
 MEMO_LENGTH = 64
 
 
@@ -89,21 +90,12 @@ class Encoder:
             for b, c in pairwise(p):
                 self.beside[self.number[ord(b)], self.number[ord(c)]] = True
         self.codes = np.random.default_rng(0x5E9).integers(1, 1 << 63, self.width, dtype=np.uint64) | T.U64(1)
-        self.joined: dict[int, float] = {}              # (left id, right id) -> score of the joined piece
-        self.left_edge: dict[int, list[tuple[float, int]]] = {}
-        self.right_edge: dict[int, list[tuple[float, int]]] = {}
+        self.edges: dict[int, list[tuple[float, str, str]]] = {}   # merges of the tokens met so far
         node: dict[int, int] = {}                       # automaton: (state, character) -> state, pieces read backwards
         self.token = [-1]
         for p, i in self.id_of.items():
-            for cut in range(1, len(p)):
-                left, right = self.id_of.get(p[:cut]), self.id_of.get(p[cut:])
-                if left is not None and right is not None:
-                    self.joined[left * len(pieces) + right] = self.score[i]
-            steps = self._merges(p)
-            if steps is None:
+            if self._merges(p) is None:
                 continue
-            self.left_edge[i] = [(score, self.id_of[left]) for score, left, _ in steps]
-            self.right_edge[i] = [(score, self.id_of[right]) for score, _, right in steps]
             at = 0
             for c in reversed(p):
                 at = node.setdefault(at * self.width + int(self.number[ord(c)]), len(self.token))
@@ -127,7 +119,7 @@ class Encoder:
                 j = self.id_of.get(a + b)
                 if j is not None and (best is None or self.score[j] > best):
                     best, at = self.score[j], i
-            if best is None or any(p not in self.id_of for p in (parts[0], parts[-1])):
+            if best is None:
                 return None
             steps.append((best, parts[0], parts[-1]))
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
@@ -139,13 +131,16 @@ class Encoder:
         meet between them must not be the best pair to merge. On equal scores
         the leftmost pair goes first: one inside a before the pair between,
         that before one inside b."""
-        ours, theirs, never = self.right_edge[a], self.left_edge[b], float("-inf")
+        for token in (a, b):
+            if token not in self.edges:
+                self.edges[token] = self._merges(self.text_of[token])
+        ours, theirs, never = self.edges[a], self.edges[b], float("-inf")
         i = j = 0
         while True:
-            ours_next, x = ours[i] if i < len(ours) else (never, a)
-            theirs_next, y = theirs[j] if j < len(theirs) else (never, b)
-            between = self.joined.get(x * len(self.score) + y)
-            if between is not None and between > ours_next and between >= theirs_next:
+            ours_next, x = (ours[i][0], ours[i][2]) if i < len(ours) else (never, self.text_of[a])
+            theirs_next, y = (theirs[j][0], theirs[j][1]) if j < len(theirs) else (never, self.text_of[b])
+            between = self.id_of.get(x + y)
+            if between is not None and self.score[between] > ours_next and self.score[between] >= theirs_next:
                 return False
             if ours_next == theirs_next == never:
                 return True
@@ -222,8 +217,10 @@ class Encoder:
             found[i] = np.array([self.byte_id[b] for b in runs[i].encode()], np.int32).tobytes()
         new = new[chars[start[new]] > 0]
         new = new[np.argsort(-length[new], kind="stable")]
-        for lo in range(0, len(new), BLOCK):
-            some = new[lo:lo + BLOCK]
+        lo = 0
+        while lo < len(new):                              # tables of at most AREA entries (or one run)
+            some = new[lo:lo + max(1, min(BLOCK, AREA // int(length[new[lo]])))]
+            lo += len(some)
             ids, n = self._tables(chars, start[some], length[some])
             packed, ends = ids.tobytes(), np.cumsum(n) * 4
             for i, a, b in zip(some.tolist(), (ends - 4 * n).tolist(), ends.tolist(), strict=True):
@@ -339,6 +336,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                     + [pa.ListArray.from_arrays(_offsets(counts), pa.array(ids)),
                        pa.StringArray.from_buffers(hi - lo, _offsets(lengths).buffers()[1], pa.py_buffer(back))],
                     names=[*[n for n in batch.schema.names if n != "text"], "ids", "decoded"])
+            release()
 
     types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
     return docs.select(*keep, "text").mapInArrow(of, f"{types}ids array<int>, decoded string")

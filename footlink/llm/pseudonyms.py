@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footlink.llm.feistel import replace
-from footlink.llm.frames import table
+from footlink.llm.frames import map_batches, table
 
 #: For tests and samples; a production run passes its own secret.
 DEFAULT_KEY = b"footlink pseudonym key"
@@ -251,7 +251,7 @@ def rewrite(docs: DataFrame, key: bytes = DEFAULT_KEY, counts: bool = False) ->
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema += "".join(f", n_{k} long" for k in KINDS) if counts else ""
-    out = docs.mapInArrow(lambda batches: (r for b in batches for r in of(b)), schema)
+    out = map_batches(docs, of, schema)
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))

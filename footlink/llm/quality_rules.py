@@ -175,7 +175,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             bad = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
             yield batch.slice(lo, hi - lo).filter(pa.array(~bad & (m["score"] >= THRESHOLD)))
 
-    return docs.mapInArrow(lambda batches: (out for b in batches if b.num_rows for out in keep(b)), docs.schema)
+    return map_batches(docs, keep, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

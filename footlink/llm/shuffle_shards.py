@@ -16,7 +16,7 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +50,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
                        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
     rows, n = numbered(rows, "doc_id", "text_crc32", "size")
 
-    @F.pandas_udf("long")
-    def place(number: pd.Series) -> pd.Series:
-        return pd.Series(permute_array(number.to_numpy(), max(n, 1), seed))
+    @F.arrow_udf("long")
+    def place(number: pa.Array) -> pa.Array:
+        return pa.array(permute_array(number.to_numpy(zero_copy_only=False), max(n, 1), seed))
 
     return (rows.withColumn("place", place("number"))
             .withColumn("shard", (F.col("place") % shards).cast("int"))

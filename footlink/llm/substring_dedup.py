@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footlink.llm import text as T
-from footlink.llm.frames import NULL_ID, bloom, cut_lineage, map_batches, table
+from footlink.llm.frames import NULL_ID, bloom, bloom_column, cut_lineage, map_batches, table
 
 WINDOW = 50
 SEED_WORDS = 8
@@ -123,7 +123,7 @@ def packed_strings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["id", "h", "start", "bucket", "digest", "packed"])
 
     parts = wanted.groupBy("id", "h").agg(F.collect_set(F.struct("start", "windows", "minimiser")).alias("parts"))
-    may = bloom(wanted.select("h"))
+    may = bloom_column(bloom(wanted.select("h")))
     some = _keyed(docs).where(may("h")).join(parts, ["id", "h"]).select("id", "h", "text", "parts")
     return map_batches(some, of, "id long, h long, start int, bucket long, digest binary, packed binary")
 
@@ -254,7 +254,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     schema = "id long, n_words long, n_removed long, kept binary"
     losing = covered(docs)
-    may = bloom(losing.select("h"))
+    may = bloom_column(bloom(losing.select("h")))
     marked = _keyed(docs).withColumn("may", may("h"))
     # Texts that the filter rules out lose nothing and are not shuffled.
     whole = map_batches(marked.where("NOT may").select("id", "text"), of, schema)

@@ -10,8 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
-SEGMENT = 1 << 20
+CHUNK_BYTES = 2 << 20
+SEGMENT = 1 << 18
 
 U64 = np.uint64
 _MULT = U64(0x9E3779B97F4A7C15)
