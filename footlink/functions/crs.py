@@ -138,7 +138,12 @@ def inverse(x, y, p: str = "") -> tuple[Column, Column]:
 
 
 def snap(v: Column, grid: float = 0.1) -> Column:
-    """G5 on one ordinate: round half up to the precision grid."""
+    """G5 on one ordinate: round half up to the precision grid. Dividing by
+    the number of cells per metre gives the double nearest to the decimal,
+    so a value that is on the grid stays as it is."""
+    cells = round(1 / grid)
+    if abs(cells * grid - 1) < 1e-9:
+        return F.floor(v * cells + 0.5) / cells
     return F.floor(v / grid + 0.5) * grid
 
 

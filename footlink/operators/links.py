@@ -38,7 +38,7 @@ def merge_links_with_labels(treated: DataFrame, link_table: DataFrame,
                                                                       "liens_vers_batiment")
     new = explode_regexp(rt, "liens_vers_batiment", "lien").select("cleabs", "lien", "traitement")
     old = (link_table.select("cleabs", F.col("liens_vers_batiment").alias("old"))
-           .join(rt.select("cleabs", "traitement"), "cleabs"))
+           .join(rt.select("cleabs", "traitement").distinct(), "cleabs"))
     old = explode_regexp(old, "old", "lien").select("cleabs", "lien", "traitement")
     u = new.unionByName(old).distinct()
     return (u.groupBy("cleabs")

@@ -54,8 +54,10 @@ def changed_to_update(last_changes: DataFrame, link_table: DataFrame, terr: Data
                  "informations_rnb", "status", "event_type", "parent_buildings", "srid", "_old")
     # materialise once: the flag reads these rows twice (kernel input and
     # the join back), and a work table is written here in the source too
-    j = cut_lineage(j)
-    return moved_flag(j, ["cleabs", "srid"], "geometrie_enveloppe", "_old").drop("_old")
+    # (cleabs, srid) need not be unique (W8 fans out), so rows are numbered
+    # before they are written
+    j = cut_lineage(j.withColumn("_row", F.monotonically_increasing_id()))
+    return moved_flag(j, ["_row"], "geometrie_enveloppe", "_old").drop("_old", "_row")
 
 
 def new_to_insert(last_changes: DataFrame, link_table: DataFrame, terr: DataFrame) -> DataFrame:

@@ -68,9 +68,11 @@ def run_cascade(R: DataFrame, B: DataFrame, p: M.Params = M.Params(),
 
 
 def _distinct_on(df: DataFrame, key: str) -> DataFrame:
-    """``DISTINCT ON (key)`` with a deterministic pick (smallest row)."""
+    """``DISTINCT ON (key)`` with a deterministic pick: the smallest
+    ``identifiant_rnb``, a NULL one only if there is no other."""
     cols = [c for c in df.columns if c != key]
-    return (df.groupBy(key).agg(F.min_by(F.struct(*cols), F.col("identifiant_rnb")).alias("_r"))
+    rank = F.struct(F.col("identifiant_rnb").isNull(), F.coalesce("identifiant_rnb", F.lit("")))
+    return (df.groupBy(key).agg(F.min_by(F.struct(*cols), rank).alias("_r"))
             .select(key, "_r.*"))
 
 

@@ -178,49 +178,37 @@ UNION ALL
 SELECT cleabs, unnest(string_split(liens_vers_batiment, '/')) AS lien, 'E2' AS kind
 FROM links WHERE liens_vers_batiment IS NOT NULL"""
 
-ORACLES["links_merge_labels"] = _with(LINKS, TREATED) + f"""
-, u AS (
-  SELECT cleabs, unnest(string_split(liens_vers_batiment, '/')) AS lien, traitement
-  FROM treated WHERE traitement <> {FAR_R} AND liens_vers_batiment IS NOT NULL
-  UNION
-  SELECT l.cleabs, unnest(string_split(l.liens_vers_batiment, '/')), t.traitement
-  FROM links l JOIN treated t ON l.cleabs = t.cleabs
-  WHERE t.traitement <> {FAR_R} AND l.liens_vers_batiment IS NOT NULL)
-SELECT cleabs,
-       string_agg(DISTINCT lien, '/' ORDER BY lien) AS liens_vers_batiment,
-       string_agg(DISTINCT traitement, '/' ORDER BY traitement) AS traitement,
-       CAST(NULL AS VARCHAR) AS gcms_fingerprint
-FROM u GROUP BY cleabs"""
-
-ORACLES["links_merge"] = _with(LINKS, TREATED) + f"""
-, u AS (
-  SELECT DISTINCT cleabs, unnest(string_split(liens_vers_batiment, '/')) AS lien
-  FROM treated WHERE traitement <> {FAR_R} AND liens_vers_batiment IS NOT NULL
-  UNION
-  SELECT DISTINCT l.cleabs, unnest(string_split(l.liens_vers_batiment, '/'))
-  FROM links l, treated t
-  WHERE t.traitement <> {FAR_R} AND l.cleabs = t.cleabs AND l.liens_vers_batiment IS NOT NULL)
-SELECT cleabs, string_agg(lien, '/' ORDER BY lien) AS liens_vers_batiment,
-       CAST(NULL AS VARCHAR) AS gcms_fingerprint
-FROM u GROUP BY cleabs"""
-
+# Lists stay DuckDB lists: one list per treated row (its new ids and those its
+# link row has already), united per key.
+MERGED = f"""
+, united AS (
+  SELECT t.cleabs, t.traitement,
+         list_concat(coalesce(string_split(t.liens_vers_batiment, '/'), []),
+                     coalesce(string_split(k.liens_vers_batiment, '/'), [])) AS ids
+  FROM treated t LEFT JOIN links k USING (cleabs)
+  WHERE t.traitement <> {FAR_R}
+)
+SELECT cleabs, array_to_string(list_sort(list_distinct(flatten(list(ids)))), '/') AS liens_vers_batiment,
+       NULL::VARCHAR AS gcms_fingerprint"""
+
+ORACLES["links_merge_labels"] = _with(LINKS, TREATED) + MERGED + """,
+       array_to_string(list_sort(list_distinct(list(traitement))), '/') AS traitement
+FROM united WHERE len(ids) > 0 GROUP BY cleabs"""
+
+ORACLES["links_merge"] = _with(LINKS, TREATED) + MERGED + """
+FROM united WHERE len(ids) > 0 GROUP BY cleabs"""
+
+# A live row that names a dead id keeps its other ids, or nothing.
 ORACLES["links_drop_destroyed"] = _with(LINKS, DESTROYED) + """
-, lien AS (
-  SELECT cleabs, gcms_fingerprint, unnest(string_split(coalesce(liens_vers_batiment, ''), '/')) AS lien
-  FROM links WHERE NOT gcms_detruit)
-, again AS (SELECT DISTINCT r.cleabs, r.lien FROM lien r, destroyed b WHERE r.lien = b.cleabs)
-, f3a AS (
-  SELECT t1.cleabs, t1.gcms_fingerprint, string_agg(t1.lien, '/' ORDER BY t1.lien) AS liens_vers_batiment
-  FROM lien t1
-  WHERE NOT EXISTS (SELECT 1 FROM again t2 WHERE t1.lien = t2.lien)
-    AND EXISTS (SELECT 1 FROM again t2 WHERE t2.cleabs = t1.cleabs)
-  GROUP BY t1.cleabs, t1.gcms_fingerprint)
-SELECT * FROM f3a
-UNION ALL
-SELECT DISTINCT t1.cleabs, t1.gcms_fingerprint, CAST(NULL AS VARCHAR)
-FROM lien t1
-WHERE EXISTS (SELECT 1 FROM again t2 WHERE t2.cleabs = t1.cleabs)
-  AND NOT EXISTS (SELECT 1 FROM f3a t2 WHERE t2.cleabs = t1.cleabs)"""
+, named AS (
+  SELECT cleabs, gcms_fingerprint, string_split(coalesce(liens_vers_batiment, ''), '/') AS ids,
+         (SELECT list(cleabs) FROM destroyed) AS dead
+  FROM links WHERE NOT gcms_detruit
+)
+SELECT cleabs, gcms_fingerprint,
+       nullif(array_to_string(list_sort(list_filter(ids, lambda x: NOT list_contains(dead, x))), '/'), '')
+         AS liens_vers_batiment
+FROM named WHERE list_has_any(ids, dead)"""
 
 
 # -- box fixture, closed form ---------------------------------------------------

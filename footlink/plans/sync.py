@@ -42,14 +42,16 @@ def publish(spark: SparkSession, out_dir: str, last_changes: DataFrame, removed:
     sinks.replace_table(last_changes.drop(*[c for c in OUTPUT_DROP if c in last_changes.columns]),
                         f"{base}/rnb_last_changes")
     sinks.replace_table(removed, f"{base}/rnb_to_remove")
-    (spark.createDataFrame([(run_id, run_date, comment)], "run_id string, run_date string, comment string")
-     .coalesce(1).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/current"))
+    sinks.append_pointer(spark, f"{out_dir.rstrip('/')}/current", run_id=run_id, run_date=run_date, comment=comment)
     return base
 
 
 def current_tables(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
     """Read the published pair of tables."""
-    run_id = spark.read.parquet(f"{out_dir.rstrip('/')}/current").first()["run_id"]
+    pointer = sinks.newest_pointer(spark, f"{out_dir.rstrip('/')}/current")
+    if pointer is None:
+        raise RuntimeError(f"{out_dir}: nothing has been published")
+    run_id = pointer["run_id"]
     base = f"{out_dir.rstrip('/')}/runs/{run_id}"
     return spark.read.parquet(f"{base}/rnb_last_changes"), spark.read.parquet(f"{base}/rnb_to_remove")
 

@@ -6,6 +6,7 @@ Every scan has an explicit schema (no inference pass over the data).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,16 +25,36 @@ def _strings(cols) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
 
-def read_feed(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def feed_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the feed, from its header line (columns are known by
+    name, whatever their order; unknown ones are kept). A landing folder
+    without a file yet has the usual columns."""
+    try:
+        names = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        names = []
+    if names and not {"rnb_id", "sys_period"} <= set(names):
+        raise ValueError(f"{path}: the feed's header lacks rnb_id or sys_period: {names}")
+    return names or FEED_COLUMNS
+
+
+def feed_options(reader, columns: list[str], multiline: bool = False):
+    """Options shared by the batch and the streaming reader: all strings,
+    every file's header checked against the names, malformed rows raise."""
+    return (reader.schema(_strings(columns)).option("header", True).option("enforceSchema", False)
+            .option("escape", '"').option("quote", '"').option("mode", "FAILFAST").option("multiLine", multiline))
+
+
+def read_feed(spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False) -> DataFrame:
     """CSV with a header, every field a string, ``"`` doubled inside
     quoted fields (ranges hold quotes, so ``escape='"'`` is required). An
-    empty field reads as ``''`` like the source's reader. ``pos`` =
-    (file, split start, row) is taken at scan time, before any shuffle, so
-    ties can be broken by input order."""
-    df = (spark.read.schema(_strings(columns or FEED_COLUMNS))
-          .option("header", True).option("escape", '"').option("quote", '"')
-          .option("emptyValue", "").option("nullValue", None).option("mode", "FAILFAST")
-          .csv(path))
+    empty field reads as ``''`` like the source's reader. A quoted line break
+    needs ``multiline``, which reads each file in one task; without it such a
+    row raises. ``pos`` = (file, split start, row) is taken at scan time,
+    before any shuffle, so ties can be broken by input order."""
+    df = feed_options(spark.read, columns or feed_header(spark, path), multiline).csv(path).na.fill("")
     return df.withColumn("pos", F.struct(F.col("_metadata.file_path").alias("file"),
                                          F.col("_metadata.file_block_start").alias("block"),
                                          F.monotonically_increasing_id().alias("row")))

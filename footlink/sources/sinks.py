@@ -8,10 +8,36 @@ reproduces that on string columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def append_pointer(spark: SparkSession, folder: str, **values: str) -> None:
+    """Publish a version: one more row in an append-only table. A crash
+    before the commit leaves the versions published so far as they are."""
+    row = [(time.time_ns(), *values.values())]
+    schema = "written long, " + ", ".join(f"{k} string" for k in values)
+    spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def newest_pointer(spark: SparkSession, folder: str):
+    """The latest published row; None if nothing was ever published. Any
+    other failure to read, and an empty table, is an error."""
+    try:
+        rows = spark.read.parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    row = rows.orderBy(F.desc("written")).first()
+    if row is None:
+        raise RuntimeError(f"{folder}: the pointer table is empty")
+    return row
+
+
 def blanks_to_null(df: DataFrame) -> DataFrame:
     """Empty strings become NULL in every string column."""
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" else F.col(c)

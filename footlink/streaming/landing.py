@@ -17,20 +17,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from footlink.operators.diff import latest_per_key
 from footlink.operators.upsert import upsert
-from footlink.sources.feed import FEED_COLUMNS
+from footlink.sources.feed import feed_header, feed_options
+from footlink.sources.sinks import append_pointer, newest_pointer
 
 STOCK_DROP = ["pos", "first_pos"]
 
 
 def current_stock(spark: SparkSession, stock_dir: str) -> DataFrame | None:
-    try:
-        ptr = spark.read.parquet(f"{stock_dir.rstrip('/')}/current").first()
-    except Exception:  # no version published yet
-        return None
+    ptr = newest_pointer(spark, f"{stock_dir.rstrip('/')}/current")
     return spark.read.parquet(ptr["path"]) if ptr else None
 
 
@@ -45,8 +42,7 @@ def _apply_batch(stock_dir: str):
         new = changes if old is None else upsert(old, changes)
         path = f"{stock_dir.rstrip('/')}/versions/{epoch}-{uuid.uuid4().hex}"
         new.write.mode("overwrite").parquet(path)
-        (spark.createDataFrame([(path, epoch)], "path string, epoch long")
-         .coalesce(1).write.mode("overwrite").parquet(f"{stock_dir.rstrip('/')}/current"))
+        append_pointer(spark, f"{stock_dir.rstrip('/')}/current", path=path, epoch=str(epoch))
     return run
 
 
@@ -54,11 +50,10 @@ def start(spark: SparkSession, landing: str, stock_dir: str, checkpoint: str,
           available_now: bool = True, files_per_batch: int | None = None):
     """Start the landing stream; with ``available_now`` it processes what
     has landed and stops (a scheduled incremental run)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in FEED_COLUMNS])
-    reader = (spark.readStream.schema(schema).option("header", True).option("escape", '"'))
+    reader = feed_options(spark.readStream, feed_header(spark, landing))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    src = reader.csv(landing).select("*", F.col("_metadata.file_path").alias("_file"),
+    src = reader.csv(landing).na.fill("").select("*", F.col("_metadata.file_path").alias("_file"),
                                      F.col("_metadata.file_block_start").alias("_block"))
     w = src.writeStream.foreachBatch(_apply_batch(stock_dir)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
