@@ -133,20 +133,22 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, max_r
     # Rows of one key are equal in id, text and source. Repeated ones carry
     # their own row of the plan, told apart by a number; only they need one.
     repeated = cut_lineage(todo.where("twin = 2").select("row", F.lit(True).alias("again")))
-    keyed = docs.withColumn("key", order_key()).withColumn("row", row_key()).drop("key").join(repeated, "row", "left")
+    # The document rides in one struct, so no column name of it can clash.
+    keyed = (docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), order_key().alias("key"), "source")
+             .select("doc", row_key().alias("row")).join(repeated, "row", "left"))
     twin = F.row_number().over(Window.partitionBy("row").orderBy(F.lit(0)))
     keyed = (keyed.where("again IS NULL").withColumn("twin", F.lit(1))
              .unionByName(keyed.where("again").withColumn("twin", twin)))
     todo = todo.where("taken > 0").drop("taken")
-    rows = keyed.join(todo, ["row", "twin"]).select(*[F.col(c) for c in columns], "size", F.explode("copies").alias("copy"))
-    if "text" in columns:
-        lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
-                                    F.lit(1), F.col("copy.words").cast("int")), "")
-        rows = rows.withColumn("text", F.when(F.col("copy.words") < F.col("size"), lead).otherwise(F.col("text")))
+    rows = keyed.join(todo, ["row", "twin"]).select("doc", "size", F.explode("copies").alias("copy"))
+    part = F.col("copy.words") < F.col("size")
+    lead = F.array_join(F.slice(F.regexp_extract_all("doc.text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
+                                F.lit(1), F.col("copy.words").cast("int")), "")
+    rows = rows.withColumn("text", F.when(part, lead).otherwise(F.col("doc.text")))
+    out = {c: F.col(f"doc.`{c}`") for c in columns} | {"text": F.col("text")}
     if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("copy.words") < F.col("size"), F.length("text"))
-                               .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.orderBy("copy.position", "doc_id").select(*columns)
+        out["n_chars"] = F.when(part, F.length("text")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return rows.orderBy("copy.position", "doc.doc_id").select(*[e.alias(c) for c, e in out.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,19 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Stands for a null doc_id where ids are compared: after all others.
 NULL_ID = (1 << 63) - 1
 BLOOM_BITS = 1 << 25
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder and worker imports, for callers outside the entry."""
+    """Checkpoint folder and worker imports, for callers outside the entry.
+    Arrow batches are bounded to ``BATCH_BYTES`` (unless the session sets
+    less), so long texts cannot swell a task's memory."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "67108864b")
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,8 @@ a fixed-size file) and broadcast. The model must have identity
 normalisation, a dummy prefix and byte pieces; ``vocabulary`` checks this.
 
 Edge cases: null and empty texts have no ids and decode to an empty text;
-repeated rows are encoded alike; extra columns are carried by ``encode``.
+repeated rows are encoded alike; extra columns are carried by ``encode``, but
+for any called ids or decoded, which its own replace.
 """
 
 from __future__ import annotations
@@ -321,6 +322,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``decoded`` in place of the
     text. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path or model_path()))
+    docs = docs.drop("ids", "decoded")
     keep = [c for c in docs.columns if c != "text"]
 
     def of(batches):

@@ -50,9 +50,10 @@ PATTERN = re.compile(r"""
  |(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d))
  |(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
  |(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))
- |(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)
+ |(?P<phone>(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)
+   |(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)
    |(?<![\w+])(?:\(\d{3}\)[ ]?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d))
- |(?P<card>(?<![\d])\d(?:[ -]?\d){12,18}(?!\d))
+ |(?P<card>(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d))
  )""", re.VERBOSE)
 
 _DAY0 = datetime.date(1900, 1, 1).toordinal()

@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Positives are confirmed toxic rows (label toxic = 1), everything else is
-unlabelled. Features are the distinct hashed words and byte n-grams of a
+Positives are confirmed toxic rows (label toxic = 1); the unlabelled rows are
+drawn from all text. Features are the distinct hashed words and byte n-grams of a
 document (ASCII letters in lower case). Those clearly commoner among the
 positives are kept, and a numpy logistic model over their presence minimises
 the risk of Kiryo et al. (NeurIPS 2017)
@@ -140,11 +140,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     share = known.agg(F.avg("toxic")).first()[0]
     toxic = known.where("toxic = 1")
     positives = smallest_by_hash(toxic.select("doc_id"), POSITIVES).withColumn("positive", F.lit(True))
-    # The other rows are drawn from all documents of the training folds; one
-    # that is also among the positives counts there alone.
+    # The unlabelled rows stand for all text, so they are drawn from every
+    # row of the training folds: one that is also a positive counts in both.
     others = (smallest_by_hash(docs.where(~held_out()).select("doc_id").distinct(), UNLABELLED)
               .withColumn("positive", F.lit(False)))
-    chosen = positives.unionByName(others).groupBy("doc_id").agg(F.max("positive").alias("positive"))
+    chosen = positives.unionByName(others)
 
     def of(batch):
         for lo, hi, buf, bounds in T.text_chunks(batch.column(1)):

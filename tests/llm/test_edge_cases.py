@@ -1,0 +1,76 @@
+"""Nulls, empty and long texts, repeated rows, empty tables, clashing names."""
+
+import re
+
+import pytest
+
+from footlink.llm import (
+    curriculum,
+    fingerprints,
+    minhash_dedup,
+    piece_encoder,
+    pseudonyms,
+    quality_embedding,
+    quality_rules,
+    shuffle_shards,
+    substring_dedup,
+    toxicity,
+)
+
+OPERATORS = {
+    "toxicity": lambda d, lab: toxicity.score(d, toxicity.fit(d, lab)),
+    "substring": lambda d, lab: substring_dedup.remove_repeats(d),
+    "fingerprints": lambda d, lab: fingerprints.compare_with_next(d, rows_per_chunk=4),
+    "shards": lambda d, lab: shuffle_shards.shard(d),
+    "quality": lambda d, lab: quality_embedding.score(d, quality_embedding.fit(d, lab)),
+    "pseudonyms": lambda d, lab: pseudonyms.rewrite(d),
+    "minhash": lambda d, lab: minhash_dedup.near_duplicates(d),
+    "plan": lambda d, lab: curriculum.plan(d),
+    "encoder": lambda d, lab: piece_encoder.encode(d),
+    "rules": lambda d, lab: quality_rules.judge_documents(d, lab),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_one_row_per_row(spark, odd, labels, name):
+    assert OPERATORS[name](odd, labels).count() == odd.count()
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_tables(spark, odd, labels, name):
+    assert OPERATORS[name](odd.limit(0), labels.limit(0)).count() == 0
+
+
+def test_filters_keep_their_columns(spark, odd, labels):
+    assert quality_rules.accepted(odd, labels).columns == odd.columns
+    kept = minhash_dedup.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id or 0, r.text or "")[0] for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 9]
+
+
+def test_mix_takes_the_targets(spark, odd):
+    stream = curriculum.mix(odd)
+    assert stream.columns == odd.columns
+    want = {r.source_size: r.target for r in curriculum.plan(odd).collect()}
+    taken: dict = {}
+    for r in stream.collect():
+        taken[r.source] = taken.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    sizes: dict = {}
+    for r in odd.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    assert all(abs(taken.get(s, 0) - want[n]) <= 1 for s, n in sizes.items())
+
+
+def test_equal_values_stay_linked(odd):
+    rows = {(r.doc_id, i): r.text for i, r in enumerate(pseudonyms.rewrite(odd).orderBy("doc_id", "text").collect())}
+    texts = " | ".join(t or "" for t in rows.values())
+    assert "a.b@mail3" not in texts and "4041894974608795" not in texts
+    assert "4041894974608796" in texts and "2001-02-29" in texts and "2000-02-29" not in texts
+    mails = re.findall(r"\S+@\S+\.example\.com", texts)
+    assert len(mails) == 2 and len({m.strip(",") for m in mails}) == 1
+
+
+def test_near_duplicates_of_the_odd_rows(odd):
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash_dedup.near_duplicates(odd, k=4).collect()}
+    assert got[4, 197] == (4, True) and got[5, 198] == (4, False) and got[None, 197] == (4, False)
+    assert got[1, 0] == (1, True) and got[2, 0] == (2, True) and got[3, 1] == (3, True)
