@@ -38,11 +38,11 @@ from footlink.llm.subwords import subword_hashes
 POSITIVES = 1500
 UNLABELLED = 4500
 SIZES = (4, 5)
-MIN_SUPPORT = 5
-LIFT_SHARE = 0.4
+MIN_SUPPORT = 3
+LIFT_SHARE = 0.3
 EPOCHS = 200
 RATE = 0.05
-DECAY = 1e-3
+DECAY = 1e-2
 BATCHES = 1
 FILTER_BITS = 22
 
