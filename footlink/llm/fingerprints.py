@@ -35,6 +35,8 @@ BINS = 512
 BITS = 4
 SHINGLE = 5
 ATTEMPTS = 64
+ROWS_PER_CHUNK = 2000
+MOST_CHUNKS = 50_000
 
 
 @functools.cache
@@ -104,14 +106,15 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
-def with_next(docs: DataFrame, rows_per_chunk: int = 20_000) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """(chunk, id, text_hash, text, own): documents in chunks of consecutive
     ids; ``own`` is false for the copy of the first document of the next
     chunk (for the last chunk, of the first document of all)."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
                         F.coalesce("text", F.lit("")).alias("text"))
     n = keyed.count()
-    chunks = max(1, -(-n // rows_per_chunk))
+    # Chunk bounds go through the driver, so beyond MOST_CHUNKS chunks grow instead.
+    chunks = max(1, min(-(-n // rows_per_chunk), MOST_CHUNKS))
     # Bounds from a quantile sketch of the ids alone: one number per chunk.
     wanted = [i / chunks for i in range(1, chunks)]
     cuts = sorted(set(keyed.approxQuantile("id", wanted, 0.2 / chunks))) if wanted else []
@@ -141,7 +144,7 @@ def with_next(docs: DataFrame, rows_per_chunk: int = 20_000) -> DataFrame:
             .select("place.chunk", "id", "text_hash", "text", "place.own"))
 
 
-def compare_with_next(docs: DataFrame, rows_per_chunk: int = 20_000) -> DataFrame:
+def compare_with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """One row per document, see ``query``."""
     placed = with_next(docs, rows_per_chunk)
     spread = placed.repartition("chunk").sortWithinPartitions("chunk", F.desc("own"), "id", "text_hash")
