@@ -358,12 +358,6 @@ def equals(a: Poly, b: Poly) -> bool:
     return ra == rb
 
 
-def _convex(rx, ry) -> bool:
-    x, y = rx[:-1], ry[:-1]
-    cr = (np.roll(x, -1) - x) * (np.roll(y, -2) - np.roll(y, -1)) - (np.roll(y, -1) - y) * (np.roll(x, -2) - np.roll(x, -1))
-    return bool(np.all(cr >= 0) or np.all(cr <= 0))
-
-
 def _clip_halfplane(x, y, nx, ny, c):
     """Keep points with nx*x + ny*y >= c (Sutherland-Hodgman, one plane)."""
     ox, oy = [], []
@@ -379,17 +373,11 @@ def _clip_halfplane(x, y, nx, ny, c):
     return np.array(ox), np.array(oy)
 
 
-def erode(a: Poly, d: float):
-    """``ST_Buffer(a, -d)`` for convex hole-free parts (exact: the eroded
-    part is the intersection of the inward-shifted edge half-planes).
-    Returns (Poly or None, supported)."""
+def erode_convex(a: Poly, d: float):
+    """``ST_Buffer(a, -d)`` of convex hole-free parts: each is the
+    intersection of its edge half-planes shifted inward. None if empty."""
     xs, ys, rs, rk = [], [], [], []
-    shells = [r for r in a.rings if np.sum(r[0][:-1] * r[1][1:] - r[0][1:] * r[1][:-1]) > 0]
-    if len(shells) != len(a.rings):
-        return None, False
-    for rx, ry in shells:
-        if not _convex(rx, ry):
-            return None, False
+    for rx, ry in a.rings:
         x, y = rx[:-1].copy(), ry[:-1].copy()
         ex, ey = rx[1:] - rx[:-1], ry[1:] - ry[:-1]
         for i in range(len(ex)):
@@ -403,21 +391,109 @@ def erode(a: Poly, d: float):
             if area2 > 1e-12:
                 xs.extend(list(x) + [x[0]]); ys.extend(list(y) + [y[0]])
                 rs.append(len(x) + 1); rk.append(1)
-    if not rs:
-        return None, True
-    return Poly(xs, ys, rs, rk), True
+    return Poly(xs, ys, rs, rk) if rs else None
+
+
+ARC_STEP = np.pi / 16       # 8 chords a quarter turn, the default of ST_Buffer
+EROSION_EPS = 1e-6          # metres: touching is not crossing
+
+
+def _eroded_away(a: Poly, d: float):
+    """What ``ST_Buffer(a, -d)`` removes from ``a``: a strip of width ``d``
+    inside each edge and, at each reflex vertex, the triangles of an arc.
+    Returns the pieces as CCW quads (a triangle repeats a corner), arrays of
+    shape (pieces, 4), and their far sides ``(ax, ay, bx, by)``, moved inward
+    by twice the tolerance."""
+    quads, far = [], []
+    for rx, ry in a.rings:
+        moved = (rx[1:] != rx[:-1]) | (ry[1:] != ry[:-1])
+        vx, vy = rx[:-1][moved], ry[:-1][moved]
+        ex, ey = np.roll(vx, -1) - vx, np.roll(vy, -1) - vy
+        ln = np.hypot(ex, ey)
+        ux, uy = ex / ln, ey / ln
+        for i in range(len(vx)):
+            ax, ay, bx, by = vx[i], vy[i], vx[i] + ex[i], vy[i] + ey[i]
+            nx, ny = -uy[i], ux[i]
+            quads.append([(ax, ay), (bx, by), (bx + d * nx, by + d * ny), (ax + d * nx, ay + d * ny)])
+            out = d + 2 * EROSION_EPS
+            far.append((ax + out * nx, ay + out * ny, bx + out * nx, by + out * ny))
+            mx, my = -uy[i - 1], ux[i - 1]
+            turn = np.arctan2(nx * my - ny * mx, mx * nx + my * ny)     # > 0: reflex
+            if turn <= 1e-9:
+                continue
+            k = max(1, int(turn / ARC_STEP + 0.5))
+            ang = np.arctan2(my, mx) - turn * np.arange(k + 1) / k
+            cx, cy = np.cos(ang), np.sin(ang)
+            for j in range(k):
+                p, q = (ax + d * cx[j], ay + d * cy[j]), (ax + d * cx[j + 1], ay + d * cy[j + 1])
+                quads.append([(ax, ay), q, p, p])
+                h = 2 * EROSION_EPS / np.cos(turn / k / 2)
+                hx, hy = h * np.cos((ang[j] + ang[j + 1]) / 2), h * np.sin((ang[j] + ang[j + 1]) / 2)
+                far.append((p[0] + hx, p[1] + hy, q[0] + hx, q[1] + hy))
+    return np.array(quads), np.array(far).T
+
+
+def _left_over(a: Poly, quads, ax, ay, bx, by):
+    """Midpoints of the parts of the given segments that lie in ``a``
+    outside all pieces. A line meets a convex piece in one interval."""
+    vx, vy = quads[:, :, 0], quads[:, :, 1]
+    ex, ey = np.roll(vx, -1, axis=1) - vx, np.roll(vy, -1, axis=1) - vy
+    ln = np.hypot(ex, ey)
+    flat = ln == 0
+    safe = np.where(flat, 1.0, ln)
+    nx, ny = np.where(flat, 0.0, -ey / safe), np.where(flat, 0.0, ex / safe)
+    level = nx * vx + ny * vy - EROSION_EPS
+    dx, dy = bx - ax, by - ay
+    # half-plane n.p >= level along p = a + t d, for every (segment, piece, side)
+    at = nx[None] * ax[:, None, None] + ny[None] * ay[:, None, None] - level[None]
+    slope = nx[None] * dx[:, None, None] + ny[None] * dy[:, None, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = -at / slope
+    level_side = np.abs(slope) < 1e-15
+    lo = np.where(level_side, np.where(at >= 0, -np.inf, np.inf), np.where(slope > 0, t, -np.inf)).max(axis=2)
+    hi = np.where(level_side, np.inf, np.where(slope < 0, t, np.inf)).min(axis=2)
+    lo, hi = np.clip(lo, 0, 1), np.clip(hi, 0, 1)
+    lo, hi = np.where(hi > lo, lo, 0.0), np.where(hi > lo, hi, 0.0)
+    order = np.argsort(lo, axis=1)
+    lo = np.take_along_axis(lo, order, axis=1)
+    reach = np.maximum.accumulate(np.take_along_axis(hi, order, axis=1), axis=1)
+    ones, zeros = np.ones((len(ax), 1)), np.zeros((len(ax), 1))
+    start, end = np.concatenate([zeros, reach], axis=1), np.concatenate([lo, ones], axis=1)
+    seg, gap = np.nonzero((end - start) * np.hypot(dx, dy)[:, None] > EROSION_EPS)
+    mid = (start[seg, gap] + end[seg, gap]) / 2
+    mx, my = ax[seg] + mid * dx[seg], ay[seg] + mid * dy[seg]
+    if not len(mx):
+        return mx, my
+    inside, _ = contains_points(a, mx, my)
+    return mx[inside], my[inside]
+
+
+def contains_eroded_general(b: Poly, r: Poly, d: float = 0.5) -> bool:
+    """:func:`contains_eroded` for polygons of any shape. The erosion lies
+    in ``b`` when the boundary of ``b`` nowhere enters it and each stretch of
+    its own boundary is in ``b``; every part of it has such a stretch."""
+    if r.n == 0 or b.n == 0:
+        return False
+    quads, far = _eroded_away(r, d)
+    mx, my = _left_over(r, quads, *far)
+    if not len(mx):
+        return False                                     # empty erosion
+    inside, on = contains_points(b, mx, my)
+    if not np.all(inside | on):
+        return False
+    return len(_left_over(r, quads, b.ax, b.ay, b.bx, b.by)[0]) == 0
 
 
-def contains_eroded(b: Poly, r: Poly, d: float = 0.5):
-    """``ST_Contains(b, ST_Buffer(r, -d))`` (G16 + G17). Returns
-    (result, supported); an empty erosion contains nothing."""
-    e, ok = erode(r, d)
-    if not ok:
-        return False, False
+def contains_eroded(b: Poly, r: Poly, d: float = 0.5) -> bool:
+    """``ST_Contains(b, ST_Buffer(r, -d))`` (G16 + G17); an empty erosion
+    is contained in nothing. Convex hole-free parts are eroded directly."""
+    if convex_parts(r) is None:
+        return contains_eroded_general(b, r, d)
+    e = erode_convex(r, d)
     if e is None:
-        return False, True
+        return False
     ae = e.area()
-    return bool(ae > 0 and inter_area(e, b) >= ae * (1 - 1e-9) - 1e-9), True
+    return bool(ae > 0 and inter_area(e, b) >= ae * (1 - 1e-9) - 1e-9)
 
 
 def cover_pieces(p: Poly, q: Poly, q_first: bool):

@@ -90,24 +90,10 @@ def similar(R, B, p: Params = Params(), same_npoints: bool = True):
     return _claims(ok, LABELS["similar" if same_npoints else "similar_nbp"])
 
 
-def contained_pairs(R, B, p: Params = Params()) -> DataFrame:
-    """M6 pairs with the support flag: erosion is exact for convex,
-    hole-free parts; other shapes come back with ``erosion_ok = false``
-    and are never claimed (see :func:`contained_unsupported`)."""
-    m = pair_measures(_rb_pairs(R, B, p), ["contains", "erosion_ok"], _KEEP, erosion=p.erosion)
-    return m
-
-
 def contained(R, B, p: Params = Params()):
-    """M6 ``ST_Contains(b, ST_Buffer(env, -0.5))``."""
-    m = contained_pairs(R, B, p)
-    return _claims(m.filter(F.col("contains") & F.col("erosion_ok")), LABELS["contained"])
-
-
-def contained_unsupported(R, B, p: Params = Params()) -> DataFrame:
-    """Pairs M6 could not decide (concave or holed envelope)."""
-    return contained_pairs(R, B, p).filter(~F.col("erosion_ok")).select(
-        F.col("l_identifiant_rnb").alias("identifiant_rnb"), F.col("r_id").alias("cleabs"))
+    """M6 ``ST_Contains(b, ST_Buffer(env, -0.5))``, envelopes of any shape."""
+    m = pair_measures(_rb_pairs(R, B, p), ["contains"], _KEEP, erosion=p.erosion)
+    return _claims(m.filter("contains"), LABELS["contained"])
 
 
 def balcony_pool(R: DataFrame, RT: DataFrame) -> DataFrame:

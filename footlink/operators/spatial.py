@@ -85,7 +85,6 @@ MEASURES = {
     "dist": T.DoubleType(),         # distance between the polygons
     "equal": T.BooleanType(),       # same point set
     "contains": T.BooleanType(),    # right contains left eroded by 0.5 m
-    "erosion_ok": T.BooleanType(),  # erosion shape supported (convex parts)
     "contact": T.BooleanType(),     # shared set of dimension >= 1
     "pdist": T.DoubleType(),        # distance from left point to right polygon
 }
@@ -144,10 +143,7 @@ def pair_measures(pairs: DataFrame, measures: list[str], keep: list[str],
                     elif m == "contact":
                         out[m].append(_contact(a, b))
                     elif m == "contains":
-                        res, ok = P.contains_eroded(b, a, erosion)
-                        out["contains"].append(res)
-                        if "erosion_ok" in out:
-                            out["erosion_ok"].append(ok)
+                        out[m].append(P.contains_eroded(b, a, erosion))
             res = pdf[keep].copy()
             for m in measures:
                 res[m] = out[m]

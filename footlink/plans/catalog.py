@@ -179,6 +179,7 @@ from footlink.operators import matching as M  # noqa: E402
 from footlink.operators import spatial as S  # noqa: E402
 from footlink.plans import jobs as JB  # noqa: E402
 from footlink.sources import boxes as BX  # noqa: E402
+from footlink.sources import shapes as SH  # noqa: E402
 
 
 def _pools(spark, sf_dir):
@@ -238,6 +239,28 @@ QUERIES["match_similar"] = _stage(lambda R, B: M.similar(R, B, same_npoints=True
 QUERIES["match_similar_nbp"] = _stage(lambda R, B: M.similar(R, B, same_npoints=False))
 QUERIES["match_dissolved"] = _stage(M.dissolved)
 QUERIES["match_contained"] = _stage(M.contained)
+
+
+def _shape_pools(spark, sf_dir):
+    from footlink.session import cut_lineage
+    return cut_lineage(SH.registry_pool(spark, sf_dir)), cut_lineage(SH.topo_pool(spark, sf_dir))
+
+
+@query
+def match_contained_shapes(spark, sf_dir):
+    """M6 on concave, holed, two-part and rotated envelopes."""
+    return M.contained(*_shape_pools(spark, sf_dir))
+
+
+@query
+def pairs_shapes(spark, sf_dir):
+    """G10, G11 on the same shapes."""
+    R, B = _shape_pools(spark, sf_dir)
+    pairs = S.candidate_pairs(S.side(R, "l_", "identifiant_rnb"), S.side(B, "r_", "cleabs"))
+    m = S.pair_measures(pairs, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
+    return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), F.round("inter", 3).alias("inter"))
+
+
 QUERIES["match_balcony"] = _stage(M.balcony)
 QUERIES["match_point"] = _stage(M.point_in_building)
 QUERIES["match_semantic"] = _stage(M.semantic)

@@ -285,6 +285,26 @@ ORACLES["match_similar_nbp"] = _claims_sql(
     "hits AND abs(floor(inter)) > 3 AND abs(floor(b_area) - floor(r_area)) < 3 "
     "AND abs(floor(b_perim) - floor(r_perim)) < 3 AND b_npts <> 5", "Batiments semblables nbpt diff")
 ORACLES["match_contained"] = _claims_sql("contains_eroded", "Batiments inclus")
+
+# Shape fixture: the rule for square-cornered insets (footlink.sources.shapes)
+# and areas as polynomials in the sizes, arms 5 m wide.
+SHAPES = """WITH sh AS (
+  SELECT p_partkey AS k, p_partkey % 4 AS s, (p_partkey // 4) % 11 AS v, 20 + p_partkey % 7 AS w, 16 + p_size % 9 AS h,
+         [-1, 0, 0.25, 0.34, 0.36, 0.45, 0.5, 0.55, 0.75, 0, 0][(p_partkey // 4) % 11 + 1]::DOUBLE AS inset
+  FROM part)
+"""
+ORACLES["match_contained_shapes"] = SHAPES + """
+SELECT 'S' || k AS liens_vers_batiment, 'RS' || k AS identifiant_rnb, 'Batiments inclus' AS traitement
+FROM sh WHERE v <> 10 AND inset <= CASE WHEN s = 3 THEN 0.5 ELSE 0.5 / sqrt(2) END"""
+ORACLES["pairs_shapes"] = SHAPES + """
+, g AS (SELECT *, greatest(inset, 0) AS i FROM sh)
+SELECT 'RS' || k AS r_key, 'S' || k AS b_key,
+       round((CASE WHEN v = 10 THEN CASE WHEN s = 3 THEN w - 4 ELSE w END * 5
+                   WHEN s = 0 THEN (w - 2 * i + h - 5) * (5 - 2 * i)
+                   WHEN s = 1 THEN (w - 2 * i + 2 * (h - 5)) * (5 - 2 * i)
+                   WHEN s = 2 THEN (w - 2 * i) * (h - 2 * i) - (w - 10 + 2 * i) * (h - 10 + 2 * i)
+                   ELSE (w - 4 - 4 * i) * (h - 2 * i) END)::DOUBLE, 3) AS inter
+FROM g"""
 ORACLES["match_balcony"] = _claims_sql(
     "abs(floor(b_area)) < 25 AND floor(b_area) < floor(r_area) AND hits AND abs(floor(inter)) < 3",
     "Batiments BDTOPO balcon")

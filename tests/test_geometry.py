@@ -52,10 +52,75 @@ def test_equals_ignores_collinear_vertex_and_start():
 
 
 def test_erosion():
-    assert P.contains_eroded(box(-3, -3, 13, 9), box(0, 0, 10, 6)) == (True, True)
-    assert P.contains_eroded(box(0.5, 0.5, 9.5, 5.5), box(0, 0, 10, 6)) == (True, True)   # touches
-    assert P.contains_eroded(box(-9, -9, 9, 9), box(0, 0, 10, 0.8)) == (False, True)     # empty erosion
-    assert P.contains_eroded(box(-9, -9, 9, 9), L_SHAPE) == (False, False)               # flagged
+    assert P.contains_eroded(box(-3, -3, 13, 9), box(0, 0, 10, 6))
+    assert P.contains_eroded(box(0.5, 0.5, 9.5, 5.5), box(0, 0, 10, 6))      # touches
+    assert not P.contains_eroded(box(-9, -9, 9, 9), box(0, 0, 10, 0.8))      # empty erosion
+    assert P.contains_eroded(box(-9, -9, 99, 99), L_SHAPE)
+
+
+def test_general_erosion_agrees_with_the_convex_one():
+    rng = np.random.default_rng(7)
+    seen = set()
+    for _ in range(300):
+        w, h = rng.uniform(0.6, 12, 2)
+        x0, y0, x1, y1 = rng.uniform(-0.5, 1.2, 4)
+        a, b = box(0, 0, w, h), box(x0, y0, max(w - x1, x0 + 0.1), max(h - y1, y0 + 0.1))
+        got = P.contains_eroded_general(b, a)
+        assert got == P.contains_eroded(b, a)
+        seen.add(got)
+    assert seen == {True, False}
+
+
+def _distance_to_boundary(p, x, y):
+    dx, dy = p.bx - p.ax, p.by - p.ay
+    t = np.clip(((x - p.ax) * dx + (y - p.ay) * dy) / (dx * dx + dy * dy), 0, 1)
+    return np.hypot(p.ax + t * dx - x, p.ay + t * dy - y).min()
+
+
+def test_general_erosion_against_sampled_points():
+    """Random star polygons; the erosion is sampled on a fine grid."""
+    rng = np.random.default_rng(11)
+    seen = {True: 0, False: 0}
+
+    def star(n, r):
+        ang = (np.arange(n) + rng.uniform(0, 0.9, n)) * 2 * np.pi / n
+        rad = rng.uniform(0.4 * r, r, n)
+        x, y = rad * np.cos(ang), rad * np.sin(ang)
+        return poly([*x, x[0]], [*y, y[0]])
+
+    def grow(p, f):
+        return poly([*(p.ax * f), p.ax[0] * f], [*(p.ay * f), p.ay[0] * f])
+
+    for n in range(60):
+        a = star(9, 5.0)
+        b = grow(a, rng.uniform(0.6, 1.05)) if n % 2 else star(9, 9.0)
+        gx, gy = (g.ravel() for g in np.meshgrid(np.arange(-5, 5, 0.1), np.arange(-5, 5, 0.1)))
+        inside, _ = P.contains_points(a, gx, gy)
+        gx, gy = gx[inside], gy[inside]
+        dist = np.array([_distance_to_boundary(a, x, y) for x, y in zip(gx, gy)])
+        core = dist > 0.5
+        if not core.any():
+            continue
+        held, on = P.contains_points(b, gx[core], gy[core])
+        got = P.contains_eroded_general(b, a)
+        if got:
+            assert np.all(held | on)
+        elif np.all(held | on):
+            # what sticks out is thinner than the grid: b's boundary must come close
+            edge = np.array([_distance_to_boundary(b, x, y) for x, y in zip(gx[core], gy[core])])
+            assert edge.min() < 0.15
+        seen[got] += 1
+    assert min(seen.values()) > 5
+
+
+def test_erosion_that_falls_apart():
+    """A dumbbell: a neck 0.8 m wide erodes away, leaving two rooms."""
+    xs = [0, 4, 4, 8, 8, 12, 12, 8, 8, 4, 4, 0, 0]
+    ys = [0, 0, 1.6, 1.6, 0, 0, 4, 4, 2.4, 2.4, 4, 4, 0]
+    a = poly(xs, ys)
+    assert not P.contains_eroded(box(-1, -1, 5, 5), a)
+    assert not P.contains_eroded(box(7, -1, 13, 5), a)
+    assert P.contains_eroded(P.Poly([-1, 5, 5, -1, -1, 7, 13, 13, 7, 7], [-1, -1, 5, 5, -1, -1, -1, 5, 5, -1], [5, 5], [1, 1]), a)
 
 
 def test_union_by_exposed_boundary():
