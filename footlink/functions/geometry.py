@@ -36,7 +36,7 @@ def from_wkt(wkt) -> Column:
     """G1 + G2 + G6: (E)WKT ``POLYGON``/``MULTIPOLYGON`` (2-D or Z/M) →
     multipolygon column; the third/fourth ordinate is dropped (force 2-D)
     and a polygon becomes a one-part multipolygon. Empty or other types →
-    NULL."""
+    NULL; a polygon that does not parse, or hex WKB, raises."""
     t = _strip(wkt)
     kind = F.regexp_extract(t, r"^(MULTIPOLYGON|POLYGON)", 1)
     body = F.regexp_replace(t, r"^(MULTIPOLYGON|POLYGON)\s*(ZM|Z|M)?\s*", "")
@@ -44,7 +44,9 @@ def from_wkt(wkt) -> Column:
     js = F.translate(pts, "()", "[]")
     js = F.when(kind == "POLYGON", F.concat(F.lit("["), js, F.lit("]"))).otherwise(js)
     ok = (kind != "") & ~body.startswith("EMPTY")
-    return F.when(ok, F.from_json(js, GEOM_T))
+    broken = F.raise_error(F.concat(F.lit("cannot read geometry: "), F.left(t, F.lit(80))))
+    return (F.when(ok, F.coalesce(F.from_json(js, GEOM_T), broken.cast(GEOM_T)))
+            .when(t.rlike("^0[01][0-9A-F]{8}"), broken.cast(GEOM_T)))
 
 
 def point_from_wkt(wkt) -> Column:

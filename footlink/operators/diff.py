@@ -26,9 +26,9 @@ def latest_per_key(feed: DataFrame, key: str = "rnb_id", period: str = "sys_peri
     ``strict`` a multi-row group holding such a row raises (D3), as the
     reference's comparison with ``None`` does.
 
-    Plan: one hash aggregate with ``max_by`` — partial aggregation runs map
-    side, so a hot key costs one row per map task in the shuffle, never the
-    whole group in one task. ``first_pos`` keeps the first-appearance order
+    Plan: one sort aggregate with ``min_by`` (its buffer is a struct) — partial
+    aggregation runs map side, so a hot key costs one row per map task in the
+    shuffle, never the whole group in one task. ``first_pos`` keeps the first-appearance order
     for sinks that must reproduce it.
     """
     # strict: a lower bound that matches the pattern but is no valid date
@@ -83,14 +83,18 @@ def recalc_set(latest: DataFrame, removed: DataFrame, key: str = "rnb_id") -> Da
     return latest.select(key).distinct().join(removed, key, "left_anti")
 
 
-def created_updated(latest: DataFrame, period: str = "sys_period") -> DataFrame:
+def created_updated(latest: DataFrame, period: str = "sys_period", strict: bool = False) -> DataFrame:
     """``created_at``/``updated_at`` text from the quoted range start.
 
     ``create`` rows get (date, ''); every other action gets ('', date). This
     overwrites D2's parsed ``updated_at``. Text stays text so the offset
-    written in the feed survives.
+    written in the feed survives. With ``strict`` a range without a quoted
+    start that parses raises, as in the source.
     """
     d = quoted_range_start(period)
+    if strict:
+        d = F.coalesce(d, F.raise_error(F.concat(F.lit("no quoted start in "), F.coalesce(period, F.lit("NULL"))))
+                       .cast("string"))
     is_create = F.coalesce(F.col("action") == "create", F.lit(False))
     return (latest
             .withColumn("created_at", F.when(is_create, d).otherwise(F.lit("")))

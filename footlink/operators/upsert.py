@@ -1,10 +1,9 @@
 """K8: upsert the latest changes into a maintained stock table.
 
 Expressed as ``stock ▷ changes`` (anti join on the key) ``∪ changes``:
-the stock side is only filtered, never re-aggregated. With AQE on, the anti
-join becomes a broadcast hash join only when the *measured* change set is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays
-a sort-merge join — no unchecked broadcast of a side that grows.
+the stock side is only filtered, never re-aggregated. Nothing is hinted:
+Catalyst broadcasts the change keys when their estimated size, or with AQE
+their measured one, is under the session's threshold, and shuffles otherwise.
 """
 
 from __future__ import annotations

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footlink.operators import localise as LO
 from footlink.operators import worktables as W
-from footlink.operators.links import destroyed_since, drop_destroyed_links
 from footlink.plans import jobs as JB
 from footlink.plans import pools as PL
 from footlink.plans import sync as SY
@@ -56,7 +55,9 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         m.add_argument("--out", required=True)
         if name == "match-topo":
             m.add_argument("--fridays-only", action="store_true")
-        if name != "drop-destroyed":
+        if name == "drop-destroyed":
+            m.add_argument("--thursdays-only", action="store_true")
+        else:
             m.add_argument("--compat-delete", action="store_true")
             m.add_argument("--compat-buffer", action="store_true",
                            help="use the source's 32-gon point buffers for the 100 m candidates")
@@ -86,8 +87,9 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     links = _read(spark, a.links, "links")
     buildings = _read(spark, a.buildings, "buildings")
     if a.job == "drop-destroyed":
-        gone = destroyed_since(buildings, a.as_of, 8)
-        replace_table(drop_destroyed_links(links, gone), f"{out}/update_bdtopo_suppr", blanks=False)
+        res = JB.job_topo_destroyed(links, buildings, a.as_of, enforce_weekday=a.thursdays_only)
+        if res is not None:
+            replace_table(res, f"{out}/update_bdtopo_suppr", blanks=False)
         return
     R = PL.registry_pool(links)
     B = PL.topo_pool(buildings)

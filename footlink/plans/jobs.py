@@ -12,16 +12,22 @@ Stage order is semantic and fixed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footlink.functions.dates import days_before, pg_day_of_week
+from footlink.functions.dates import days_before
 from footlink.operators import matching as M
-from footlink.operators.links import merge_links, merge_links_with_labels
+from footlink.operators.links import destroyed_since, drop_destroyed_links, merge_links, merge_links_with_labels
 from footlink.session import cut_lineage
 
 
+def on_weekday(as_of: str, day: int) -> bool:
+    """Does ``as_of`` fall on ``day`` (Sunday = 0 ... Saturday = 6)?"""
+    return date.fromisoformat(as_of).isoweekday() % 7 == day
+
+
 @dataclass
 class CascadeResult:
     pools: M.Pools
@@ -152,11 +158,8 @@ def job_topo_created(link_rows: DataFrame, link_table: DataFrame, buildings: Dat
     """O2: buildings created in the last 8 days → registry rows whose point
     is within 100 m → cascade → F2. The source runs only on Fridays;
     ``enforce_weekday`` keeps that gate (returns ``None`` otherwise)."""
-    spark = link_rows.sparkSession
-    if enforce_weekday:
-        dow = spark.range(1).select(pg_day_of_week(F.lit(as_of).cast("date"))).first()[0]
-        if dow != 5:
-            return None, None
+    if enforce_weekday and not on_weekday(as_of, 5):
+        return None, None
     since = days_before(as_of, 8)
     B = (buildings.filter(~F.col("gcms_detruit") & (F.col("gcms_date_creation") >= since))
          .select("cleabs", "geometrie", *M.MEAS).distinct())
@@ -164,3 +167,13 @@ def job_topo_created(link_rows: DataFrame, link_table: DataFrame, buildings: Dat
         .select(*M.R_COLS, *M.MEAS)
     res = run_cascade(R, B, p, compat_delete)
     return merge_links(res.pools.RT, link_table), res
+
+
+def job_topo_destroyed(link_table: DataFrame, buildings: DataFrame, as_of: str,
+                       enforce_weekday: bool = False) -> DataFrame | None:
+    """O3: lists without the buildings destroyed in the last 8 days. The
+    source runs only on Thursdays; ``enforce_weekday`` keeps that gate
+    (returns ``None`` otherwise)."""
+    if enforce_weekday and not on_weekday(as_of, 4):
+        return None
+    return drop_destroyed_links(link_table, destroyed_since(buildings, as_of, 8))

@@ -29,7 +29,7 @@ def handle_diff(feed: DataFrame, strict: bool = False) -> tuple[DataFrame, DataF
     if strict:
         D.assert_unique(latest)
     removed = D.removal_set(latest)
-    last_changes = D.created_updated(latest)
+    last_changes = D.created_updated(latest, strict=strict)
     return last_changes, removed
 
 

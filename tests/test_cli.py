@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from footlink.plans import cli
+from footlink.plans import jobs as JB
 from footlink.sources import boxes as BX
 from footlink.sources import fixtures as FX
 
@@ -26,6 +27,15 @@ def test_match_jobs_and_drop_destroyed(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "update_bdtopo_suppr")).count() == 0
 
 
+def test_weekday_gates(spark, tmp_path):
+    assert JB.on_weekday("2024-02-01", 4) and not JB.on_weekday("2024-02-02", 4)      # a Thursday, a Friday
+    assert JB.on_weekday("2024-02-04", 0)
+    links = FX.links(spark, SF_SMALL)
+    gone = FX.destroyed_buildings(spark, SF_SMALL)
+    assert JB.job_topo_destroyed(links, gone, "2024-02-02", enforce_weekday=True) is None
+    assert JB.job_topo_destroyed(links, gone, "2024-02-01", enforce_weekday=True) is not None
+
+
 def test_sync_then_work_tables(spark, tmp_path):
     from footlink.sources.sinks import export_csv
     export_csv(FX.diff(spark, SF_SMALL).drop("pos"), str(tmp_path / "feed"))

@@ -182,3 +182,10 @@ def test_snap_keeps_grid_values(spark):
     from footlink.functions.crs import snap
     rows = spark.range(6_000_000, 6_010_000).select((F.col("id") / 10).alias("v"))
     assert rows.where(snap(F.col("v")) != F.col("v")).count() == 0
+
+
+def test_strict_dates_raise_without_a_quoted_start(spark):
+    rows = spark.createDataFrame([("create", "[2024-03-01 10:00:00+00,)")], "action string, sys_period string")
+    assert D.created_updated(rows).first().created_at is None
+    with pytest.raises(Exception, match="no quoted start"):
+        D.created_updated(rows, strict=True).collect()

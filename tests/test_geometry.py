@@ -228,3 +228,9 @@ def test_wkt_round_trip(spark):
     assert back.g2 == back.g
     p = spark.createDataFrame([(1.5, -2.25)], "x double, y double").select(G.point_to_wkt(G.point("x", "y")).alias("w"))
     assert p.first().w == "POINT(1.5 -2.25)"
+
+
+@pytest.mark.parametrize("text", ["POLYGON((0 0, 1 0, 1 1", "MULTIPOLYGON(((0 0, x 1)))", "0103000000010000000500000000"])
+def test_unreadable_geometry_raises(spark, text):
+    with pytest.raises(Exception, match="cannot read geometry"):
+        spark.createDataFrame([(text,)], "w string").select(G.from_wkt("w").alias("g")).collect()
