@@ -18,13 +18,17 @@ all pairs of a bucket:
    components that share a prefix shingle, and pass the length and position
    bounds, are all the links that can be missing.
 
-Equal shingle sets are collapsed first, so copies cost one row each.
+Equal shingle sets are collapsed first, so copies cost one row each. Links
+are between sets: a set's node is 64 bits of its digest, and doc_ids only
+name the components.
 
 Edge cases: null or wordless texts have an empty set, link with nothing and
 are their own component; a null doc_id sorts after all ids (its component is
 null unless it links to an id); repeated rows all come out, with equal
-answers; rows that share a doc_id but not a text are judged by their text;
-empty tables give empty results; extra columns are ignored.
+answers; rows that share a doc_id (or have none) but not a text are judged by
+their text: unrelated ones are apart, though components of the same name, and
+of near copies the smallest text hash is kept; empty tables give empty
+results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 
 from footlink.llm import text as T
 from footlink.llm.components import components
-from footlink.llm.frames import NULL_ID, bloom, cut_lineage, map_batches, without_rows
+from footlink.llm.frames import NULL_ID, bloom, cut_lineage, map_batches, release, without_rows
 
 SLOT_BITS = 20
 COORDINATES = 128
@@ -77,16 +81,21 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def node(shingle_set: np.ndarray) -> int:
+    """64 bits of the set's digest."""
+    return int.from_bytes(hashlib.md5(shingle_set.tobytes()).digest()[:8], "little", signed=True)
+
+
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, digest, bands); an empty set has null
-    digest and bands. A null id becomes ``NULL_ID``."""
+    """(doc_id, text_hash, n_shingles, node, bands); an empty set has null
+    node and bands. A null id becomes ``NULL_ID``."""
     def of(batch):
         for lo, hi, buf, bounds in T.text_chunks(batch.column(2)):
             _, _, h, first = T.words(buf, bounds, lower=True)
-            sizes, digests, sigs, full = [], [], [], []
+            sizes, nodes, sigs, full = [], [], [], []
             for i, s in enumerate(T.shingles(h, first, k)):
                 sizes.append(len(s))
-                digests.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
+                nodes.append(node(s) if len(s) else None)
                 if len(s):
                     sigs.append(signature(s))
                     full.append(i)
@@ -96,31 +105,42 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                     bands[i] = keys
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "digest", "bands"])
+                 pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                          F.xxhash64("text").alias("text_hash"), "text")
-    return map_batches(source, of, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>")
+    return map_batches(source, of, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, items) of the documents in ``ids``. Sets are built where the text
-    is read, for the rows that a bloom filter of the ids lets through; the
-    exact join then moves sets of long, not text."""
-    held = bloom(ids)
-
-    def of(batch):
-        some = batch.filter(pa.array(held(batch.column(0))))
-        for lo, hi, buf, bounds in T.text_chunks(some.column(1)):
-            _, _, h, first = T.words(buf, bounds, lower=True)
-            yield pa.RecordBatch.from_arrays(
-                [some.column(0).slice(lo, hi - lo),
-                 pa.array([s.view(np.int64) for s in T.shingles(h, first, k)], pa.list_(pa.int64()))],
-                names=["id", "items"])
-
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
-    return map_batches(source, of, "id long, items array<long>").where(F.size("items") > 0).join(ids, "id", "left_semi")
+    """(id, items) of the nodes in ``ids`` (id, row), ``row`` being the hash of
+    one document of the node. Sets are built where the text is read, for the
+    rows that a bloom filter lets through; the exact join then moves sets of
+    long, not text. A repeated row gives its set once."""
+    held = bloom(ids.select("row"))
+
+    def of(batches):
+        seen = set()
+        for batch in batches:
+            some = batch.filter(pa.array(held(batch.column(0))))
+            for _, _, buf, bounds in T.text_chunks(some.column(1)):
+                _, _, h, first = T.words(buf, bounds, lower=True)
+                found = {}
+                for s in T.shingles(h, first, k):
+                    if len(s) and (i := node(s)) not in seen:
+                        seen.add(i)
+                        found[i] = s.view(np.int64)
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
+                        names=["id", "items"])
+            release()
+
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    source = docs.select(F.xxhash64(id_, F.xxhash64("text")).alias("row"), "text")
+    return (source.mapInArrow(of, "id long, items array<long>").join(ids.select("id"), "id", "left_semi")
+            .groupBy("id").agg(F.first("items").alias("items")))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,34 +195,42 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, comps: DataFrame, perce
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: (doc_id, text_hash, n_shingles, component_id,
-    kept); ``kept`` marks the smallest doc_id of each component."""
+    kept); ``kept`` marks the smallest (doc_id, text_hash) of each component."""
     rows = cut_lineage(sketch(docs, k))
-    classes = cut_lineage(rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    bands = (rows.join(classes, "digest").where("doc_id = rep")
-             .select("rep", F.explode("bands").alias("key")))
-    bands = cut_lineage(bands)
-    buckets = (bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-               .where("lo < hi").select("key", "lo"))
-    members = cut_lineage(bands.join(buckets, "key"))
-    ids = cut_lineage(members.select(F.col("rep").alias("id")).distinct())
+    # A set's bands depend on the set alone, so any document of it will do.
+    classes = cut_lineage(rows.where("node IS NOT NULL").groupBy(F.col("node").alias("rep"))
+                          .agg(F.min(F.struct("doc_id", "text_hash")).alias("best"), F.first("bands").alias("bands")))
+    bands = classes.select("rep", F.col("best.doc_id").alias("at"), F.explode("bands").alias("key"))
+    # The smallest doc_id is often the text that the others were made from, so
+    # a star round it leaves the fewest links open.
+    buckets = (bands.groupBy("key").agg(F.min(F.struct("at", "rep")).alias("head"), F.count("*").alias("c"))
+               .where("c > 1").select("key", F.col("head.rep").alias("lo")))
+    members = cut_lineage(bands.drop("at").join(buckets, "key"))
+    best = classes.select("rep", "best")
+    ids = cut_lineage(best.join(members.select("rep"), "rep", "left_semi")
+                      .select(F.col("rep").alias("id"), F.xxhash64("best.doc_id", "best.text_hash").alias("row")))
     sets = cut_lineage(shingle_sets(docs, ids, k))
     stars = members.where("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
     links = cut_lineage(confirm(stars, sets, percent))
     first = cut_lineage(components(links))
     more = cut_lineage(confirm(remaining_pairs(members, sets, first, percent), sets, percent))
     final = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-    named = _labelled(classes, cut_lineage(final)).select("digest", "component")
-    doc_id = F.when(F.col("doc_id") < NULL_ID, F.col("doc_id"))
-    out = (rows.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest", "left")
-           .withColumn("component", F.coalesce("component", "doc_id")))
-    return out.select(doc_id.alias("doc_id"), "text_hash", "n_shingles",
-                      F.when(F.col("component") < NULL_ID, F.col("component")).alias("component_id"),
-                      (F.col("doc_id") == F.col("component")).alias("kept"))
+    linked = cut_lineage(final.join(best.withColumnRenamed("rep", "id"), "id"))
+    heads = linked.groupBy("component").agg(F.min("best").alias("head"))
+    heads = linked.join(heads, "component").select(F.col("id").alias("rep"), "head")
+    named = (best.join(heads, "rep", "left")
+             .select(F.col("rep").alias("node"), F.coalesce("head", "best").alias("head")))
+    out = (rows.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left")
+           .withColumn("head", F.coalesce("head", F.struct("doc_id", "text_hash"))))
+    shown = {c: F.when(F.col(c) < NULL_ID, F.col(c)) for c in ("doc_id", "head.doc_id")}
+    return out.select(shown["doc_id"].alias("doc_id"), "text_hash", "n_shingles",
+                      shown["head.doc_id"].alias("component_id"),
+                      (F.struct("doc_id", "text_hash") == F.col("head")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each near-duplicate class, the smallest
-    doc_id; a row repeated in full stays once."""
+    doc_id (and text hash); a row repeated in full stays once."""
     found = cut_lineage(near_duplicates(docs, k, percent)
                         .withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID))))
     repeated = (found.where("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("c"))

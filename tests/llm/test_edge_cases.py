@@ -74,3 +74,17 @@ def test_near_duplicates_of_the_odd_rows(odd):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash_dedup.near_duplicates(odd, k=4).collect()}
     assert got[4, 197] == (4, True) and got[5, 198] == (4, False) and got[None, 197] == (4, False)
     assert got[1, 0] == (1, True) and got[2, 0] == (2, True) and got[3, 1] == (3, True)
+
+
+@pytest.mark.parametrize("shared", [None, 3])
+def test_texts_that_share_an_id_are_judged_apart(spark, shared):
+    def text(name, tail=""):
+        return " ".join(f"{name}{i}" for i in range(100)) + tail
+
+    rows = [(1, text("a")), (shared, text("a", " tail")), (shared, text("b")), (shared, text("c")), (shared, text("c", " tail")),
+            (shared, text("d")), (shared, text("d").upper()), (7, text("e")), (shared, text("f")), (shared, text("f"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text.lower().split()[0]) for r in minhash_dedup.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a0"), *((shared, f"{c}0") for c in "bcdf"), (7, "e0")], key=str)
+    got = [(r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()]
+    assert got.count((1, False)) == 1 and got.count((shared, False)) == 2 and len(got) == len(rows)
