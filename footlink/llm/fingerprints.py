@@ -8,8 +8,9 @@ and the attempt alone (optimal densification, Shrivastava, ICML 2017).
 chance in 2 ** -BITS of their bins, and ``likeness`` corrects for it.
 
 The next document, for the comparison of the query, is found without a
-global window: documents go once, whole, to chunks of consecutive ids; the
-first document of each chunk also goes to the chunk before.
+global window: documents go once, whole, to chunks of consecutive ids and
+text hashes; the first document of each chunk also goes to the chunk before.
+Only rows repeated in full (equal id and text) share a chunk whatever their number.
 
 Edge cases: null text counts as empty; an empty text has the fingerprint of
 all zeros behind the mark ``-`` and is like another empty one (1) and unlike
@@ -37,6 +38,7 @@ SHINGLE = 5
 ATTEMPTS = 64
 ROWS_PER_CHUNK = 2000
 MOST_CHUNKS = 50_000
+SAMPLE_PER_CHUNK = 20
 
 
 @functools.cache
@@ -106,42 +108,59 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+def _at_or_before(cuts: tuple, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Number of cuts (sorted pairs of id and text hash) not after each row."""
+    lo, hi = np.searchsorted(cuts[0], ids, "left"), np.searchsorted(cuts[0], ids, "right")
+    for i in np.unique(ids[lo < hi]):
+        same = np.flatnonzero(ids == i)
+        first, end = lo[same[0]], hi[same[0]]
+        lo[same] += np.searchsorted(cuts[1][first:end], hashes[same], "right")
+    return lo
+
+
 def with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """(chunk, id, text_hash, text, own): documents in chunks of consecutive
-    ids; ``own`` is false for the copy of the first document of the next
-    chunk (for the last chunk, of the first document of all)."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-                        F.coalesce("text", F.lit("")).alias("text"))
-    n = keyed.count()
+    (id, text hash), so that a frequent id is split; ``own`` is false for the
+    one copy of the first document of the next chunk (for the last chunk, of
+    the first document of all)."""
+    def keyed(some: DataFrame) -> DataFrame:
+        return (some.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+                            F.coalesce("text", F.lit("")).alias("text"))
+                .select("id", F.xxhash64("text").alias("text_hash"), "text"))
+
+    spark = docs.sparkSession
+    n = docs.count()
     # Chunk bounds go through the driver, so beyond MOST_CHUNKS chunks grow instead.
     chunks = max(1, min(-(-n // rows_per_chunk), MOST_CHUNKS))
-    # Bounds from a quantile sketch of the ids alone: one number per chunk.
-    wanted = [i / chunks for i in range(1, chunks)]
-    cuts = sorted(set(keyed.approxQuantile("id", wanted, 0.2 / chunks))) if wanted else []
-    edges = docs.sparkSession.sparkContext.broadcast(np.array(cuts, np.int64))      # one number per chunk
-
-    @F.arrow_udf("long")
-    def chunk_of(ids: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(edges.value, ids.to_numpy(zero_copy_only=False), "right").astype(np.int64))
-
-    firsts = sorted((r["first"], r["c"]) for r in
-                    keyed.select("id", chunk_of("id").alias("c")).groupBy("c").agg(F.min("id").alias("first")).collect())
-    starts = docs.sparkSession.sparkContext.broadcast((
-        np.array([f for f, _ in firsts], np.int64), np.array([c for _, c in firsts][-1:] + [c for _, c in firsts][:-1])))
+    # Bounds from a sample of the keys, as a range exchange takes them. Every
+    # bound gives the same pairs; only the sizes of the chunks depend on it.
+    cuts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if chunks > 1:
+        share = min(1.0, SAMPLE_PER_CHUNK * chunks / n)
+        got = keyed(docs.sample(share, seed=17) if share < 1 else docs).select("id", "text_hash").toArrow()
+        ids, hashes = (got[c].to_numpy() for c in ("id", "text_hash"))
+        order = np.lexsort((hashes, ids))
+        taken = sorted({(int(ids[i]), int(hashes[i])) for i in order[[len(order) * c // chunks for c in range(1, chunks)]]}
+                       if len(order) else ())
+        cuts = np.array([i for i, _ in taken], np.int64), np.array([h for _, h in taken], np.int64)
+    edges = spark.sparkContext.broadcast(cuts)                                      # one pair per chunk
 
     @F.arrow_udf("long")
-    def chunk_before(ids: pa.Array) -> pa.Array:
-        """For the first id of a chunk, the chunk before; else -1."""
-        first, before = starts.value
-        values = ids.to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(first, values), len(first) - 1)
-        return pa.array(np.where(first[at] == values, before[at], -1))
-
-    own = F.struct(chunk_of("id").alias("chunk"), F.lit(True).alias("own"))
-    foreign = F.struct(chunk_before("id").alias("chunk"), F.lit(False).alias("own"))
-    places = F.filter(F.array(own, foreign), lambda x: x["chunk"] >= 0)
-    return (keyed.withColumn("text_hash", F.xxhash64("text")).withColumn("place", F.explode(places))
-            .select("place.chunk", "id", "text_hash", "text", "place.own"))
+    def chunk_of(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(_at_or_before(edges.value, *(c.to_numpy(zero_copy_only=False) for c in (ids, hashes)))
+                        .astype(np.int64))
+
+    own = keyed(docs).withColumn("chunk", chunk_of("id", "text_hash"))
+    firsts = sorted((r["c"], *r["first"]) for r in own.select("id", "text_hash", F.col("chunk").alias("c")).groupBy("c")
+                    .agg(F.min(F.struct("id", "text_hash")).alias("first")).collect())
+    places = [c for c, _, _ in firsts]
+    starts = spark.createDataFrame([(i, h, before) for (_, i, h), before in
+                                    zip(firsts, places[-1:] + places[:-1], strict=True)],
+                                   "id long, text_hash long, chunk long")
+    foreign = keyed(docs).join(F.broadcast(starts), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
+    names = ["chunk", "id", "text_hash", "text"]
+    return (own.select(*names, F.lit(True).alias("own"))
+            .unionByName(foreign.select(*names, F.lit(False).alias("own"))))
 
 
 def compare_with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:

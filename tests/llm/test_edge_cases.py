@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables, clashing names."""
 
+import hashlib
 import re
 
 import pytest
@@ -88,3 +89,17 @@ def test_texts_that_share_an_id_are_judged_apart(spark, shared):
     assert sorted(kept, key=str) == sorted([(1, "a0"), *((shared, f"{c}0") for c in "bcdf"), (7, "e0")], key=str)
     got = [(r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()]
     assert got.count((1, False)) == 1 and got.count((shared, False)) == 2 and len(got) == len(rows)
+
+
+def test_fingerprints_of_many_null_and_equal_ids(spark):
+    ids = [None if i % 3 == 0 else 5 if i % 3 == 1 else i for i in range(3000)]
+    docs = spark.createDataFrame([(i, f"text number {n} of some words") for n, i in enumerate(ids)], "doc_id long, text string")
+    placed = fingerprints.with_next(docs, rows_per_chunk=200).cache()
+    sizes = [r["count"] for r in placed.where("own").groupBy("chunk").count().collect()]
+    foreign = placed.where("NOT own").groupBy("chunk").count().collect()
+    assert sum(sizes) == 3000 and max(sizes) < 600 and len(foreign) == len(sizes) and all(r["count"] == 1 for r in foreign)
+    order = sorted((r.id, r.text_hash, r.text) for r in placed.where("own").collect())
+    want = {(None if i == fingerprints.NULL_ID else i, hashlib.sha256(fingerprints.edited(t, order[(n + 1) % 3000][2]).encode())
+             .hexdigest()) for n, (i, _, t) in enumerate(order)}
+    got = [(r.doc_id, r.edited_sha256) for r in fingerprints.compare_with_next(docs, rows_per_chunk=200).collect()]
+    assert len(got) == 3000 and set(got) == want
