@@ -12,8 +12,9 @@ What stays: punctuation and spacing, a card's first digit, a telephone
 number's country code, an IBAN's country, the last two labels of an e-mail
 domain, the century range 1900-2099 of dates.
 
-Edge cases: a null text stays null, an empty one empty; numbers that fail
-validation stay as they are; rows repeat as they come; columns other than
+Edge cases: a null text stays null, an empty one empty; where a match took
+words or numbers that follow, shorter ends are tried; numbers that fail
+validation at every end stay as they are; rows repeat as they come; columns other than
 ``text`` and ``n_chars`` pass through untouched.
 """
 
@@ -53,9 +54,20 @@ PATTERN = re.compile(r"""
  |(?P<phone>(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)
    |(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)
    |(?<![\w+])(?:\(\d{3}\)[ ]?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d))
- |(?P<card>(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d))
+ |(?P<card>(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,3}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}
+   |\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d))
  )""", re.VERBOSE)
 
+# Characters at which a finding that took too much can end sooner.
+_BORDERS = {"iban": " ", "card": " -", "phone": " .-"}
+
+_IBAN_LENGTHS = {int(n): c.split() for n, c in (x.split(":") for x in (
+    "15:NO", "16:BE", "18:DK FI FO GL NL SD FK", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV",
+    "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB NI PL SV",
+    "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "33:RU"))}
+IBAN_LENGTH = {country: n for n, some in _IBAN_LENGTHS.items() for country in some}
+
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _DAY0 + 1
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -196,6 +208,18 @@ _BY_KIND = {"card": _card, "ip": _ip, "phone": _phone, "ssn": _ssn, "date": _dat
             "secret": _secret}
 
 
+def _ends(kind: str, value: str) -> list[int]:
+    """Where a finding may end, best first: an IBAN at its country's length;
+    then all of the match, then less of it, down to each border."""
+    ends = [len(value)]
+    if kind == "iban" and value[:2] in IBAN_LENGTH:
+        at = [i + 1 for i, c in enumerate(value) if c != " "][:IBAN_LENGTH[value[:2]]]
+        own = at[-1] < len(value) and len(at) == IBAN_LENGTH[value[:2]] and value[at[-1]] == " "
+        return [at[-1], *ends] if own else ends
+    borders = _BORDERS.get(kind, "")
+    return ends + [i for i in range(len(value) - 1, 0, -1) if value[i] in borders]
+
+
 def pseudonymise(text: str, key: bytes, known: dict | None = None) -> tuple[str, list[tuple[str, int, int, str]]]:
     """The text with its personal data replaced, and the findings: (kind,
     start, end in the input, replacement)."""
@@ -208,13 +232,22 @@ def pseudonymise(text: str, key: bytes, known: dict | None = None) -> tuple[str,
         value = text[lo:hi]
         new = known.get((kind, value), "")
         if new == "":
-            new = _BY_KIND[kind](value, key)
+            new = None
+            for end in _ends(kind, value):
+                part = PATTERN.match(text, m.start(), lo + end) if end < len(value) else m
+                if part and part.lastgroup == m.lastgroup and part.end() == lo + end:
+                    new = _BY_KIND[kind](value[:end], key)
+                if new is not None:
+                    break
+            new = None if new is None else (new, end)
             if len(known) > 200_000:
                 known.clear()
             known[kind, value] = new
         if new is None:                      # not valid: look again behind its first run of characters
             at = m.start() + max(1, len(re.match(r"\w*", text[m.start():hi])[0]))
             continue
+        new, end = new
+        hi = lo + end
         out += [text[last:lo], new]
         spans.append((kind, lo, hi, new))
         last = at = hi

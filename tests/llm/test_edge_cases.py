@@ -103,3 +103,17 @@ def test_fingerprints_of_many_null_and_equal_ids(spark):
              .hexdigest()) for n, (i, _, t) in enumerate(order)}
     got = [(r.doc_id, r.edited_sha256) for r in fingerprints.compare_with_next(docs, rows_per_chunk=200).collect()]
     assert len(got) == 3000 and set(got) == want
+
+
+@pytest.mark.parametrize("value", [
+    "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "BE68539007547034", "BE68 5390 0754 7034",
+    "AT611904300234573201", "PL61109010140000071219812874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+    "3056 930902 5904", "3782 822463 10005", "4111 1111 1111 1111", "4111111111111111", "6304-0000-0000-0000-000",
+    "6304 0000 0000 0000 000", "+442079460958", "+44 20 7946 0958", "192.168.7.9", "123-45-6789", "1990-02-28"])
+@pytest.mark.parametrize("tail", ["", " BIC", " EUR 12", " 7", " 123", " 2024", " CASH BOOK NOTE", " 2024 1234 5678", ", paid", "."])
+def test_valid_numbers_go_whatever_follows(value, tail):
+    new, found = pseudonyms.pseudonymise(f"to {value}{tail}", b"k")
+    assert len(found) >= 1 and value not in new and new.startswith("to ")
+    if not re.match("[0-9+]", value):                               # an IBAN ends where its country says
+        assert (found[0][1], found[0][2]) == (3, 3 + len(value)) and new.endswith(tail)
+        assert found[0][3] == pseudonyms.pseudonymise(value, b"k")[0]
