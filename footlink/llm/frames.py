@@ -109,6 +109,24 @@ def bloom_column(held: Callable) -> Callable:
     return may_hold
 
 
+#: A key held by more than one row in so many counts as hot (there are fewer such keys than this).
+HOT = 256
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` to ``table``, which has one row for each value of
+    ``key`` (null included) and in ``count`` the rows that hold it, of ``total``.
+    The fewer than ``HOT`` hot keys are joined by broadcast; no key of the
+    shuffle join has more than 1 / ``HOT`` of the rows."""
+    hot = F.col(count) > total // HOT
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}"))
+    out = [F.col(f"r.{c}").alias(c) for c in rows.columns]
+    out += [F.col(f"s.{c}").alias(c) for c in table.columns if c not in (key, count)]
+    few, rest = F.broadcast(table.where(hot)).alias("s"), table.where(~hot).alias("s")
+    others = rows.alias("r").join(few, same, "left_anti").alias("r")
+    return rows.alias("r").join(few, same).select(*out).unionByName(others.join(rest, same).select(*out))
+
+
 def without_rows(docs: DataFrame, removed: DataFrame, repeated: DataFrame) -> DataFrame:
     """``docs`` less the rows whose (doc_id, text hash) is in ``removed`` and
     with one row for each of ``repeated``; both are (doc_id, text_hash).
@@ -127,5 +145,5 @@ def without_rows(docs: DataFrame, removed: DataFrame, repeated: DataFrame) -> Da
     return plain.unionByName(once).unionByName(single)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "NULL_ID", "bloom", "bloom_column", "cut_lineage", "held_out", "map_batches", "prepare", "release",
+__all__ = ["DOCUMENT_COLUMNS", "NULL_ID", "bloom", "bloom_column", "cut_lineage", "held_out", "lookup", "map_batches", "prepare", "release",
            "smallest_by_hash", "table", "without_rows"]

@@ -8,13 +8,16 @@ from footlink.llm import (
     curriculum,
     fingerprints,
     minhash_dedup,
+    multi_index,
     piece_encoder,
     pseudonyms,
     quality_embedding,
     quality_rules,
     shuffle_shards,
     substring_dedup,
+    target_resampling,
     toxicity,
+    vector_codes,
 )
 
 QUERIES = {
@@ -28,6 +31,9 @@ QUERIES = {
     "op8_curriculum_mix": curriculum.query,
     "op9_piece_encoder": piece_encoder.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_multi_index": multi_index.query,
+    "op12_vector_codes": vector_codes.query,
+    "op13_target_resampling": target_resampling.query,
 }
 
 ORACLES = {"op8_curriculum_mix": curriculum.ORACLE}
