@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 from footlink.functions import crs
 from footlink.functions.geometry import from_wkt, point_from_wkt, with_measures
 from footlink.operators import worktables as W
+from footlink.operators.precision import GRID, reduce_precision
 from footlink.operators.spatial import pair_measures
 from footlink.session import cut_lineage
 from footlink.sources.territories import locate
 
-GRID = 0.1
-
-
 def localise(last_changes: DataFrame, terr: DataFrame, grid: float = GRID) -> DataFrame:
     """W8 + W5: territory lookup on the lon/lat point, then point and shape
-    projected to the territory's system (SRID reset to 0) and snapped."""
+    projected to the territory's system (SRID reset to 0) and put on the
+    grid, the shape as a valid geometry (G5)."""
     rows = (last_changes.withColumn("_pt", point_from_wkt("point"))
             .withColumn("_shape", from_wkt("shape")))
     located = locate(rows, "_pt", terr)
-    return (located.withColumn("geometrie", crs.transform_point("_pt", grid=grid))
-            .withColumn("geometrie_enveloppe", crs.transform_geom("_shape", grid=grid))
-            .withColumn("informations_rnb", W.informations_json(located)))
+    placed = (located.withColumn("geometrie", crs.transform_point("_pt", grid=grid))
+              .withColumn("geometrie_enveloppe", crs.transform_geom("_shape"))
+              .withColumn("informations_rnb", W.informations_json(located)).drop("_pt", "_shape"))
+    return reduce_precision(placed, "geometrie_enveloppe", grid)
 
 
 def moved_flag(rows: DataFrame, key: list[str], new: str, old: str, tolerance: float = 1.0) -> DataFrame:

@@ -309,6 +309,21 @@ def stage_counts(spark, sf_dir):
     return res.claims.groupBy("stage", "traitement").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def reduce_precision(spark, sf_dir):
+    """G5 on shapes thinner than the grid in places: parts, area and the
+    vertices of every ring, in grid steps."""
+    from footlink.functions import geometry as G
+    from footlink.operators import precision
+    from footlink.sources.thin import thin_shapes
+    g = precision.reduce_precision(thin_shapes(spark, sf_dir), "geometrie")
+    steps = lambda v: F.floor(v * 10 + 0.5).cast("string")
+    point = lambda p: F.concat_ws(",", steps(p.getField("x")), steps(p.getField("y")))
+    ring = lambda r: F.array_join(F.transform(F.slice(r, 1, F.size(r) - 1), point), " ")
+    text = F.array_join(F.transform("geometrie", lambda p: F.array_join(F.transform(p, ring), "/")), "|")
+    return g.select("k", F.size("geometrie").alias("parts"), F.round(G.area("geometrie"), 4).alias("area"), text.alias("rings"))
+
+
 # -- W2/W4-W8: localised work tables ------------------------------------------
 
 from footlink.operators import localise as LO  # noqa: E402

@@ -502,3 +502,25 @@ WHERE (NOT EXISTS (SELECT 1 FROM link_table l WHERE l.identifiant_rnb = r.rnb_id
        AND (r.action = 'update' OR (r.action = 'create' AND r.event_type = 'reactivation')))"""
 
 ORACLES["stream_upsert"] = "SELECT rnb_id, event_id FROM (" + ORACLES["diff_upsert"] + ")"
+
+# What is left of each thin shape, corner by corner, in grid steps.
+ORACLES["reduce_precision"] = """
+WITH lots AS (
+  SELECT p_partkey AS k, p_partkey % 8 AS c, 640 * (p_partkey % 100) AS x, 640 * CAST(floor(p_partkey / 100) AS BIGINT) AS y,
+         10 * (8 + p_partkey % 7) AS w, 10 * (6 + p_size % 9) AS h
+  FROM part)
+SELECT k, CASE WHEN c IN (4, 6) THEN 2 ELSE 1 END AS parts,
+       round(CASE c WHEN 4 THEN 32 WHEN 5 THEN w * h / 100.0 - 4 WHEN 6 THEN w * h / 100.0 - h / 10.0
+                    WHEN 7 THEN 45 ELSE w * h / 100.0 END::DOUBLE, 4) AS area,
+       list_reduce(list_transform(
+         CASE c WHEN 1 THEN [[0, 0, 0], [0, w, 0], [0, w, h], [0, 30, h], [0, 0, h]]
+                WHEN 2 THEN [[0, 0, 0], [0, w, 0], [0, w, h], [0, 30, h], [0, 0, h]]
+                WHEN 4 THEN [[0, 0, 0], [0, 40, 0], [0, 40, 20], [0, 40, 40], [0, 0, 40],
+                             [2, 80, 0], [0, 120, 0], [0, 120, 40], [0, 80, 40], [0, 80, 20]]
+                WHEN 5 THEN [[0, 0, 0], [0, w, 0], [0, w, h], [0, 0, h], [1, 50, 20], [0, 50, 40], [0, 70, 40], [0, 70, 20]]
+                WHEN 6 THEN [[0, 0, 0], [0, 40, 0], [0, 30, h], [0, 0, h], [2, 40, 0], [0, w, 0], [0, w, h], [0, 50, h]]
+                WHEN 7 THEN [[0, 0, 0], [0, 40, 0], [0, 90, 0], [0, 90, 50], [0, 40, 50], [0, 0, 50]]
+                ELSE [[0, 0, 0], [0, w, 0], [0, w, h], [0, 0, h]] END,
+         lambda p: [' ', '/', '|'][p[1] + 1] || CAST(x + p[2] AS VARCHAR) || ',' || CAST(y + p[3] AS VARCHAR)),
+         lambda a, b: a || b)[2:] AS rings
+FROM lots"""
