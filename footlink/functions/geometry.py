@@ -114,19 +114,14 @@ def _all(g, field: str) -> Column:
 
 
 def with_measures(df, geom: str, prefix: str = ""):
-    """Measure once: bbox, area, perimeter, vertex count and the flat
-    coordinate arrays the pair kernels read (``xs``, ``ys``, ring sizes
-    ``rs`` and shell flags ``rk``), computed at pool build and carried."""
+    """Measure once: bbox, area, perimeter, vertex count and the directed
+    edges that pair measures read, computed at pool build and carried."""
+    from footlink.functions.edges import edges
     g = F.col(geom)
     xs, ys = _all(g, "x"), _all(g, "y")
-    return (df.withColumn(prefix + "xs", xs).withColumn(prefix + "ys", ys)
-            .withColumn(prefix + "rs", F.transform(F.flatten(g), lambda r: F.size(r)))
-            .withColumn(prefix + "rk", F.flatten(F.transform(
-                g, lambda p: F.transform(p, lambda r, j: F.when(j == 0, F.lit(1)).otherwise(F.lit(0))))))
-            .withColumn(prefix + "xmin", F.array_min(F.col(prefix + "xs")))
-            .withColumn(prefix + "xmax", F.array_max(F.col(prefix + "xs")))
-            .withColumn(prefix + "ymin", F.array_min(F.col(prefix + "ys")))
-            .withColumn(prefix + "ymax", F.array_max(F.col(prefix + "ys")))
+    return (df.withColumn(prefix + "edges", edges(g))
+            .withColumn(prefix + "xmin", F.array_min(xs)).withColumn(prefix + "xmax", F.array_max(xs))
+            .withColumn(prefix + "ymin", F.array_min(ys)).withColumn(prefix + "ymax", F.array_max(ys))
             .withColumn(prefix + "area", area(g))
             .withColumn(prefix + "perim", perimeter(g))
             .withColumn(prefix + "npts", npoints(g)))

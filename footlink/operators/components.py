@@ -12,13 +12,11 @@ recomputes one round only.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footlink.functions import planar as P
-from footlink.session import cut_lineage, ship_package
+from footlink.functions import edges as E
+from footlink.session import cut_lineage
 
 
 def _norm(edges: DataFrame) -> DataFrame:
@@ -52,59 +50,80 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .select("id", F.coalesce("comp", "id").alias("comp")))
 
 
-def union_measures(parts: DataFrame, covers: DataFrame) -> DataFrame:
-    """Area and perimeter of each dissolved component.
+def union_boundary(parts: DataFrame, touching: DataFrame) -> DataFrame:
+    """Boundary of each dissolved component (G13, A6) as directed pieces
+    ``(comp, ax, ay, bx, by)``, interior on the left.
 
-    ``parts``: ``(id, comp, xs, ys, rs, rk, ox, oy)`` with ``(ox, oy)`` one
-    origin per component; ``covers``: ``(id, e, t0, t1)`` from
-    :func:`footlink.operators.spatial.cover_intervals`. A part contributes
-    the exposed share of each edge: ``area = ½ Σ (1-c_e)·cross_e`` and
-    ``perimeter = Σ (1-c_e)·len_e`` (Green's theorem over the union's
-    boundary). Each part is handled alone (its own edges and covers), then
-    components are summed with a partial aggregate.
+    ``parts``: ``(id, comp, edges)``; ``touching``: pairs ``(a, b)`` of parts
+    that share area or boundary. Edges are cut where an edge of a touching
+    part meets them; a piece is hidden when its middle is inside another
+    part, or on its boundary with that part on the other side, or on the same
+    side of a part with a smaller id (so a shared piece stays once). Edge
+    pairs are rows; nothing of a component is gathered.
     """
-    ship_package(parts.sparkSession)
-    cov = covers.groupBy("id").agg(F.collect_list(F.struct("e", "t0", "t1")).alias("cov"))
-    rows = parts.join(cov, "id", "left")
-    schema = "comp string, a double, p double"
-
-    def run(batches):
-        for pdf in batches:
-            cs, aa, pp = [], [], []
-            for r in pdf.to_dict("records"):
-                poly = P.Poly(r["xs"], r["ys"], r["rs"], r["rk"], r["ox"], r["oy"])
-                cross, ln = P.edge_terms(poly)
-                covered = _covered(poly.n, r["cov"])
-                cs.append(r["comp"])
-                aa.append(float(np.sum((1 - covered) * cross)))
-                pp.append(float(np.sum((1 - covered) * ln)))
-            yield pd.DataFrame({"comp": cs, "a": aa, "p": pp})
-
-    from footlink.operators.spatial import spread
-    return (spread(rows.select("id", "comp", "xs", "ys", "rs", "rk", "ox", "oy", "cov"))
-            .mapInPandas(run, schema)
-            .groupBy("comp").agg(F.sum("a").alias("u_area"), F.sum("p").alias("u_perim")))
-
-
-def _covered(n: int, cov, extra=None) -> np.ndarray:
-    """Covered fraction per edge: the union length of its intervals."""
-    out = np.zeros(n)
-    iv = [] if cov is None else [(int(c["e"]), float(c["t0"]), float(c["t1"])) for c in cov]
-    if extra:
-        iv += extra
-    if not iv:
-        return out
-    iv.sort()
-    cur_e, lo, hi = None, 0.0, 0.0
-    for e, a, b in iv:
-        if e != cur_e or a > hi:
-            if cur_e is not None:
-                out[cur_e] += hi - lo
-            cur_e, lo, hi = e, a, b
-        else:
-            hi = max(hi, b)
-    out[cur_e] += hi - lo
-    return np.clip(out, 0, 1)
-
-
-covered_fraction = _covered
+    sym = touching.select("a", "b").unionByName(touching.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = parts.select(F.col("id").alias("a"), F.col("edges").alias("l_edges"))
+    other = parts.select(F.col("id").alias("b"), F.col("edges").alias("r_edges"))
+    pairs = cut_lineage(sym.join(own, "a").join(other, "b"))
+    ox, oy = F.col("l_edges")[0]["ax"], F.col("l_edges")[0]["ay"]
+    rows = (pairs.withColumn("_ox", ox).withColumn("_oy", oy)
+            .select("a", "r_edges", "_ox", "_oy", F.posexplode("l_edges").alias("e", "_a"))
+            .select("a", "e", "_ox", "_oy", "_a", F.explode("r_edges").alias("_b")))
+    edge = lambda n: E.Edge(*[F.col(n)[c] - F.col("_ox" if c[1] == "x" else "_oy") for c in ("ax", "ay", "bx", "by")])
+    cuts = (rows.select("a", "e", "_a", F.explode(E.cuts(edge("_a"), edge("_b"))).alias("t"))
+            .where("t > 0 AND t < 1").groupBy("a", "e").agg(F.sort_array(F.collect_set("t")).alias("ts")))
+    alone = parts.select("comp", F.col("id").alias("a"), F.posexplode("edges").alias("e", "_a"))
+    ends = F.concat(F.array(F.lit(0.0)), F.coalesce("ts", F.array().cast("array<double>")), F.array(F.lit(1.0)))
+    at = lambda t, c: F.col("_a")["a" + c] + t * (F.col("_a")["b" + c] - F.col("_a")["a" + c])
+    corner = lambda t, c: F.when(t == 1.0, F.col("_a")["b" + c]).otherwise(at(t, c))
+    pieces = F.transform(F.sequence(F.lit(0), F.size("_ts") - 2), lambda i: F.struct(
+        corner(F.col("_ts")[i], "x").alias("ax"), corner(F.col("_ts")[i], "y").alias("ay"),
+        corner(F.col("_ts")[i + 1], "x").alias("bx"), corner(F.col("_ts")[i + 1], "y").alias("by")))
+    cut = (alone.join(cuts, ["a", "e"], "left").withColumn("_ts", ends)
+           .select("comp", "a", "e", F.posexplode(pieces).alias("k", "p")).select("comp", "a", "e", "k", "p.*")
+           .where(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")) > E.EPS))
+    cut = cut_lineage(cut)
+    mx, my = (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2
+    tests = (cut.join(pairs.select("a", "b", "r_edges"), "a")
+             .select("a", "e", "k", "b", mx.alias("_mx"), my.alias("_my"), (F.col("bx") - F.col("ax")).alias("_dx"),
+                     (F.col("by") - F.col("ay")).alias("_dy"), F.explode("r_edges").alias("_b")))
+    q = E.Edge(*[F.col("_b")[c] - F.col("_mx" if c[1] == "x" else "_my") for c in ("ax", "ay", "bx", "by")])
+    zero = F.lit(0.0)
+    on = q.distance2(zero, zero) <= (10 * E.EPS) ** 2
+    along = q.dx * F.col("_dx") + q.dy * F.col("_dy")
+    hidden = (tests.groupBy("a", "e", "k", "b")
+              .agg((F.sum(q.crosses_ray(zero, zero)) % 2 == 1).alias("inside"),
+                   F.max(on & (along > 0)).alias("same"), F.max(on & (along < 0)).alias("against"))
+              .where(F.when(F.col("same") | F.col("against"), F.col("against") | (F.col("b") < F.col("a")))
+                     .otherwise(F.col("inside")))
+              .select("a", "e", "k").distinct())
+    return cut.join(hidden, ["a", "e", "k"], "left_anti").select("comp", "ax", "ay", "bx", "by")
+
+
+def boundary_measures(boundary: DataFrame) -> DataFrame:
+    """``(comp, u_area, u_perim)`` of dissolved components."""
+    origin = boundary.groupBy("comp").agg(F.min("ax").alias("_ox"), F.min("ay").alias("_oy"))
+    ax, ay, bx, by = (F.col(c) - F.col("_ox" if c[1] == "x" else "_oy") for c in ("ax", "ay", "bx", "by"))
+    return (boundary.join(origin, "comp").groupBy("comp")
+            .agg(F.round(F.sum(ax * by - bx * ay) / 2, 9).alias("u_area"),
+                 F.round(F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))), 9).alias("u_perim")))
+
+
+def boundary_overlap(pairs: DataFrame, boundary: DataFrame, shapes: DataFrame, strip: float) -> DataFrame:
+    """``(comp, b, inter)``: area that component and shape ``(id, edges)`` share,
+    for ``pairs (comp, b)``. Both boundaries meet in vertical strips of the
+    plane, clipped there, so a large component costs each shape a column of
+    it and no key holds it whole."""
+    span = lambda x0, x1: F.explode(F.sequence(F.floor(F.least(x0, x1) / strip), F.floor(F.greatest(x0, x1) / strip)))
+    u = (boundary.join(pairs.select("comp").distinct(), "comp", "left_semi").where("ax <> bx")
+         .withColumn("cx", span(F.col("ax"), F.col("bx"))))
+    b = (pairs.join(shapes.select(F.col("id").alias("b"), "edges"), "b")
+         .withColumn("_ox", F.col("edges")[0]["ax"]).withColumn("_oy", F.col("edges")[0]["ay"])
+         .select("comp", "b", "_ox", "_oy", F.explode("edges").alias("_b")).where("_b.ax <> _b.bx")
+         .withColumn("cx", span(F.col("_b.ax"), F.col("_b.bx"))))
+    shift = lambda v, c: v - F.col("_ox" if c[1] == "x" else "_oy")
+    p = E.Edge(*[shift(F.col(c), c) for c in ("ax", "ay", "bx", "by")])
+    q = E.Edge(*[shift(F.col("_b")[c], c) for c in ("ax", "ay", "bx", "by")])
+    lo, hi = F.col("cx") * strip - F.col("_ox"), (F.col("cx") + 1) * strip - F.col("_ox")
+    return (u.join(b, ["comp", "cx"]).groupBy("comp", "b")
+            .agg(F.round(F.sum(E.below_both(p, q, lo, hi)), 9).alias("inter")))

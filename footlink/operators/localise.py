@@ -11,7 +11,7 @@ from footlink.functions import crs
 from footlink.functions.geometry import from_wkt, point_from_wkt, with_measures
 from footlink.operators import worktables as W
 from footlink.operators.precision import GRID, reduce_precision
-from footlink.operators.spatial import pair_measures
+from footlink.operators.spatial import edge_measures
 from footlink.session import cut_lineage
 from footlink.sources.territories import locate
 
@@ -35,11 +35,10 @@ def moved_flag(rows: DataFrame, key: list[str], new: str, old: str, tolerance: f
     have = rows.filter(F.col(new).isNotNull() & F.col(old).isNotNull())
     a = with_measures(have.select(*key, F.col(new).alias("_n"), F.col(old).alias("_o")), "_n", "l_")
     a = with_measures(a, "_o", "r_")
-    d = pair_measures(a, ["dist"], key)
-    flag = F.when(F.col("dist") > tolerance, F.lit("to_link")).otherwise(F.lit(""))
-    flags = d.select(*key, flag.alias("commentaire_centralise"))
-    return (rows.join(flags, key, "left")
-            .withColumn("commentaire_centralise", F.coalesce("commentaire_centralise", F.lit(""))))
+    near = edge_measures(a, ["dist"], key).filter(F.col("dist") <= tolerance).select(*key, F.lit(True).alias("_near"))
+    far = F.col(new).isNotNull() & F.col(old).isNotNull() & F.col("_near").isNull()
+    return (rows.join(near, key, "left")
+            .withColumn("commentaire_centralise", F.when(far, F.lit("to_link")).otherwise(F.lit(""))).drop("_near"))
 
 
 def changed_to_update(last_changes: DataFrame, link_table: DataFrame, terr: DataFrame) -> DataFrame:

@@ -8,27 +8,24 @@ Pool layouts (built by ``footlink.sources.boxes`` or any caller):
   informations_rnb`` + measures of the envelope (``with_measures``);
 * B: ``cleabs, geometrie`` + measures.
 
-Plan shape of every geometric stage: grid join on cells → exact bbox
-filter → cheap measure filters (no pair geometry needed) → numpy kernel on
-the survivors → group by registry id. The kernels never see more than one
-pair; the group-by pre-aggregates map side.
+Plan shape of every geometric stage: cell join of ids and boxes → exact
+bbox filter → cheap measure filters (no pair geometry needed) → edge pairs
+of the survivors, summed back to one row a pair → group by registry id. All
+of it is DataFrame expressions; no stage starts a Python worker.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footlink.functions import planar as P
 from footlink.functions.geometry import point_distance
 from footlink.functions.lists import agg_distinct_sorted, to_array
-from footlink.operators.components import connected_components, covered_fraction, union_measures
-from footlink.operators.spatial import (DEFAULT_CELL, GEO, candidate_pairs, cover_intervals, pair_measures, side,
-                                        spread)
+from footlink.operators.components import boundary_measures, boundary_overlap, connected_components, union_boundary
+from footlink.operators.erosion import holds_eroded
+from footlink.operators.spatial import DEFAULT_CELL, GEO, candidate_pairs, pair_measures, side
 from footlink.session import cut_lineage
 from footlink.sources.fixtures import LABELS
 
@@ -45,7 +42,8 @@ class Params:
 
 
 def _fl(c):
-    return F.floor(F.col(c)).cast("long")
+    """``floor`` of a measure, which is exact to a billionth."""
+    return F.floor(F.round(F.col(c), 9)).cast("long")
 
 
 def _claims(matched: DataFrame, label: str) -> DataFrame:
@@ -54,46 +52,62 @@ def _claims(matched: DataFrame, label: str) -> DataFrame:
             .select("liens_vers_batiment", "identifiant_rnb", F.lit(label).alias("traitement")))
 
 
-def _rb_pairs(R: DataFrame, B: DataFrame, p: Params, distance: float = 0.0) -> DataFrame:
-    left = side(R, "l_", "cleabs", ["identifiant_rnb", "area", "perim", "npts"])
-    right = side(B, "r_", "cleabs", ["area", "perim", "npts"])
-    return candidate_pairs(left, right, distance, p.cell)
+@dataclass(frozen=True)
+class _Sides:
+    """Both pools as the sides of a spatial join."""
+    left: DataFrame
+    right: DataFrame
+
+    def pairs(self, p: Params, distance: float = 0.0) -> DataFrame:
+        return candidate_pairs(self.left, self.right, distance, p.cell)
+
+    def measured(self, pairs: DataFrame, measures: list[str], keep: list[str]) -> DataFrame:
+        return pair_measures(pairs, self.left, self.right, measures, keep)
+
+
+def _sides(R: DataFrame, B: DataFrame) -> _Sides:
+    return _Sides(side(R, "l_", "cleabs", ["identifiant_rnb", "area", "perim", "npts"]),
+                  side(B, "r_", "cleabs", ["area", "perim", "npts"]))
 
 
 _KEEP = ["l_identifiant_rnb", "r_id"]
 
 
 def equal(R, B, p: Params = Params()):
-    """M1 ``ST_Equals(b, env)``."""
-    m = pair_measures(_rb_pairs(R, B, p), ["equal"], _KEEP)
-    return _claims(m.filter("equal"), LABELS["equal"])
+    """M1 ``ST_Equals(b, env)``: equal areas first, they need no geometry."""
+    s = _sides(R, B)
+    pairs = s.pairs(p).filter(F.abs(F.col("l_area") - F.col("r_area")) < 1e-3)
+    return _claims(s.measured(pairs, ["equal"], _KEEP).filter("equal"), LABELS["equal"])
 
 
 def identical(R, B, p: Params = Params()):
     """M2: intersects and floor(area ∩) = floor(area b) = floor(area env)."""
-    pairs = _rb_pairs(R, B, p)
-    m = pair_measures(pairs, ["hits", "inter"], _KEEP + ["l_area", "r_area"])
-    fi = _fl("inter")
-    return _claims(m.filter(F.col("hits") & (fi == _fl("r_area")) & (fi == _fl("l_area"))), LABELS["identical"])
+    s = _sides(R, B)
+    pairs = s.pairs(p).filter(_fl("l_area") == _fl("r_area"))
+    m = s.measured(pairs, ["hits", "inter"], _KEEP + ["l_area", "r_area"])
+    return _claims(m.filter(F.col("hits") & (_fl("inter") == _fl("r_area"))), LABELS["identical"])
 
 
 def similar(R, B, p: Params = Params(), same_npoints: bool = True):
     """M3 (``same_npoints``) / M4: |floor ∩| > 3, floor areas and floor
     perimeters within 3, vertex counts equal (M3) or different (M4).
     The three measure filters run before any pair geometry is touched."""
-    pairs = _rb_pairs(R, B, p)
+    s = _sides(R, B)
     npt = (F.col("l_npts") == F.col("r_npts")) if same_npoints else (F.col("l_npts") != F.col("r_npts"))
-    pre = pairs.filter((F.abs(_fl("r_area") - _fl("l_area")) < 3)
-                       & (F.abs(_fl("r_perim") - _fl("l_perim")) < 3) & npt)
-    m = pair_measures(pre, ["hits", "inter"], _KEEP)
-    ok = m.filter(F.col("hits") & (F.abs(_fl("inter")) > 3))
+    pre = s.pairs(p).filter((F.abs(_fl("r_area") - _fl("l_area")) < 3)
+                            & (F.abs(_fl("r_perim") - _fl("l_perim")) < 3) & npt)
+    ok = s.measured(pre, ["inter"], _KEEP).filter(F.abs(_fl("inter")) > 3)
     return _claims(ok, LABELS["similar" if same_npoints else "similar_nbp"])
 
 
 def contained(R, B, p: Params = Params()):
     """M6 ``ST_Contains(b, ST_Buffer(env, -0.5))``, envelopes of any shape."""
-    m = pair_measures(_rb_pairs(R, B, p), ["contains"], _KEEP, erosion=p.erosion)
-    return _claims(m.filter("contains"), LABELS["contained"])
+    s = _sides(R, B)
+    shapes = s.left.select("l_id", "l_edges").join(
+        R.select(F.col("cleabs").alias("l_id"), "geometrie_enveloppe"), "l_id")
+    pairs = cut_lineage(s.pairs(p).select("l_id", "r_id", "r_xmin", "r_ymin", "r_xmax", "r_ymax"))
+    held = holds_eroded(pairs, shapes, "geometrie_enveloppe", s.right, p.erosion)
+    return _claims(held.join(s.left.select("l_id", "l_identifiant_rnb"), "l_id"), LABELS["contained"])
 
 
 def balcony_pool(R: DataFrame, RT: DataFrame) -> DataFrame:
@@ -106,9 +120,9 @@ def balcony(R, B, p: Params = Params(), RT: DataFrame | None = None):
     """M7: small B (floor area < 25) smaller than env, touching it with
     less than 3 m² of overlap. Pool is R ∪ RT."""
     pool = R if RT is None else balcony_pool(R, RT)
-    pairs = _rb_pairs(pool, B, p)
-    pre = pairs.filter((F.abs(_fl("r_area")) < 25) & (_fl("r_area") < _fl("l_area")))
-    m = pair_measures(pre, ["hits", "inter"], _KEEP)
+    s = _sides(pool, B)
+    pre = s.pairs(p).filter((F.abs(_fl("r_area")) < 25) & (_fl("r_area") < _fl("l_area")))
+    m = s.measured(pre, ["hits", "inter"], _KEEP)
     return _claims(m.filter(F.col("hits") & (F.abs(_fl("inter")) < 3)), LABELS["balcony"])
 
 
@@ -128,8 +142,9 @@ def point_pairs(R, B, distance: float, p: Params = Params(), keep_geometry: bool
                     F.col("geometrie.x").alias("l_xmin"), F.col("geometrie.x").alias("l_xmax"),
                     F.col("geometrie.y").alias("l_ymin"), F.col("geometrie.y").alias("l_ymax")) \
         .filter(F.col("l_px").isNotNull())
-    right = side(B, "r_", "cleabs", ["geometrie"])
-    pairs = candidate_pairs(left, right, distance, p.cell)
+    right = side(B, "r_", "cleabs", [])
+    shapes = B.select(F.col("cleabs").alias("r_id"), F.col("geometrie").alias("r_geometrie"), F.col("edges").alias("r_edges"))
+    pairs = candidate_pairs(left, right, distance, p.cell).join(shapes, "r_id")
     exact = point_distance("l_px", "l_py", "r_geometrie")
     if distance > 0:
         # every point of a polygon lies in its bbox, so the farthest bbox
@@ -141,7 +156,7 @@ def point_pairs(R, B, distance: float, p: Params = Params(), keep_geometry: bool
             exact = F.when(far <= distance, F.lit(0.0)).otherwise(exact)
     out = pairs.withColumn("pdist", exact).drop("r_geometrie")
     if not keep_geometry:
-        out = out.drop("r_xs", "r_ys", "r_rs", "r_rk")
+        out = out.drop("r_edges")
     return out
 
 
@@ -179,11 +194,10 @@ def explode_parts(pool: DataFrame, key: str, geom: str) -> DataFrame:
 class Dissolved:
     parts: DataFrame    # id, row_key, comp, measures
     attach: DataFrame   # row_key, comp  (rows intersecting the component)
-    covers: DataFrame   # id, e, t0, t1  (boundary pieces hidden by other parts)
+    touching: DataFrame  # a, b: parts that share area or boundary
 
 
-def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params(),
-             with_covers: bool = False) -> Dissolved:
+def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params()) -> Dissolved:
     """Components of parts sharing a piece of area or boundary (a
     single touching point does not merge), and the attachment of every
     row to each component it intersects (point touch included)."""
@@ -191,39 +205,43 @@ def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params(),
     sp = side(parts, "l_", "id", ["row_key"])
     sq = side(parts, "r_", "id", ["row_key"])
     pairs = candidate_pairs(sp, sq, 0.0, p.cell, self_join=True)
-    if with_covers:
-        pairs = pairs.cache()
-    rel = pair_measures(pairs, ["hits", "contact"], ["l_id", "r_id", "l_row_key", "r_row_key"])
-    rel = rel.filter("hits").cache()
-    edges = rel.filter("contact").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
-    comp = connected_components(parts.select("id"), edges)
-    parts_c = parts.join(comp, "id")
+    rel = pair_measures(pairs, sp, sq, ["hits", "contact"], ["l_id", "r_id", "l_row_key", "r_row_key"])
+    rel = cut_lineage(rel.filter("hits"))
+    touching = rel.filter("contact").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    comp = connected_components(parts.select("id"), touching)
+    parts_c = cut_lineage(parts.join(comp, "id"))
     pc = parts_c.select("id", "comp")
     own = parts_c.select("row_key", "comp")
     lr = rel.join(pc.withColumnRenamed("id", "r_id"), "r_id").select(F.col("l_row_key").alias("row_key"), "comp")
     rl = rel.join(pc.withColumnRenamed("id", "l_id"), "l_id").select(F.col("r_row_key").alias("row_key"), "comp")
-    attach = own.unionByName(lr).unionByName(rl).distinct()
-    covers = cover_intervals(pairs.join(
-        edges.select(F.col("a").alias("l_id"), F.col("b").alias("r_id")), ["l_id", "r_id"], "left_semi")) \
-        if with_covers else None
-    return Dissolved(parts_c, attach, covers)
+    return Dissolved(parts_c, own.unionByName(lr).unionByName(rl).distinct(), touching)
+
+
+def near_components(parts: DataFrame, other: DataFrame, other_key: str, p: Params) -> DataFrame:
+    """Components with a part within ``far`` m of a footprint of the other
+    pool. Boxes that lie within it corner to corner decide without geometry;
+    only components that no box decides are measured."""
+    ps = side(parts, "l_", "id", ["comp"])
+    os_ = side(other, "r_", other_key)
+    pairs = cut_lineage(candidate_pairs(ps, os_, p.far, p.cell))
+    wide = [F.greatest(F.col(f"r_{c}max") - F.col(f"l_{c}min"), F.col(f"l_{c}max") - F.col(f"r_{c}min")) for c in "xy"]
+    sure = pairs.filter(F.hypot(*wide) <= p.far).select(F.col("l_comp").alias("comp")).distinct()
+    open_ = pairs.join(sure.withColumnRenamed("comp", "l_comp"), "l_comp", "left_anti")
+    near = pair_measures(open_, ps, os_, ["dist"], ["l_comp"]).filter(F.col("dist") <= p.far)
+    return sure.unionByName(near.select(F.col("l_comp").alias("comp"))).distinct()
 
 
 def unmatchable(R, B, p: Params = Params()):
     """Dissolve each pool by contact; a component within ``far`` m of
     any footprint of the other pool marks every row attached to it as
     near. Rows not near are claimed alone, one label per side."""
-    def far_rows(pool, key, geom, other, other_key):
+    def near_rows(pool, key, geom, other, other_key):
         d = dissolve(pool, key, geom, p)
-        ps = side(d.parts, "l_", "id", ["comp"])
-        os_ = side(other, "r_", other_key)
-        near = pair_measures(candidate_pairs(ps, os_, p.far, p.cell), ["dist"], ["l_comp"])
-        near_comps = near.filter(F.col("dist") <= p.far).select(F.col("l_comp").alias("comp")).distinct()
-        near_rows = d.attach.join(near_comps, "comp", "left_semi").select("row_key").distinct()
-        return near_rows
-
-    near_r = far_rows(R, "cleabs", "geometrie_enveloppe", B, "cleabs")
-    near_b = far_rows(B, "cleabs", "geometrie", R.withColumnRenamed("geometrie", "_pt"), "cleabs")
+        near = near_components(d.parts, other, other_key, p)
+        return d.attach.join(near, "comp", "left_semi").select("row_key").distinct()
+
+    near_r = near_rows(R, "cleabs", "geometrie_enveloppe", B, "cleabs")
+    near_b = near_rows(B, "cleabs", "geometrie", R.withColumnRenamed("geometrie", "_pt"), "cleabs")
     r_ids = R.select(F.col("identifiant_rnb"))
     near_ids = R.join(near_r.withColumnRenamed("row_key", "cleabs"), "cleabs", "left_semi").select("identifiant_rnb")
     far_r = r_ids.subtract(near_ids)
@@ -240,67 +258,21 @@ def dissolved(R, B, p: Params = Params()):
     B it intersects: |floor area(U∩b)| > 3, floor areas and floor
     perimeters within 3; every row attached to U is claimed with b.
 
-    Union measures come from the exposed boundary of each part; area(U∩b)
-    = area(b) + Δ − E where Δ is the extra boundary of U that b hides and
-    E the share of b's boundary left exposed by U (Green's theorem, b's
-    first vertex as origin). Work is per part or per (part, b) pair, then
-    summed per (component, b) — no component is gathered in one task.
+    Area and perimeter of U are sums over its boundary pieces; they rule out
+    almost every (U, b) before the two boundaries meet.
     """
-    d = dissolve(R, "cleabs", "geometrie_enveloppe", p, with_covers=True)
-    origin = d.parts.groupBy("comp").agg(F.min("xmin").alias("ox"), F.min("ymin").alias("oy"))
-    parts = d.parts.join(origin, "comp")
-    um = union_measures(parts, d.covers)
-    cov = d.covers.groupBy("id").agg(F.collect_list(F.struct("e", "t0", "t1")).alias("cov"))
-    ps = side(parts, "l_", "id", ["comp"]).join(
-        cov.select(F.col("id").alias("l_id"), F.col("cov").alias("l_cov")), "l_id", "left")
+    d = dissolve(R, "cleabs", "geometrie_enveloppe", p)
+    boundary = cut_lineage(union_boundary(d.parts, d.touching))
+    um = boundary_measures(boundary)
     bs = side(B, "r_", "cleabs", ["area", "perim"])
-    pairs = candidate_pairs(ps, bs, 0.0, p.cell)
-    schema = ("comp string, b string, b_area double, b_perim double, hit boolean, delta double, "
-              "bcov array<struct<e:int,t0:double,t1:double>>")
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                ox, oy = float(r["r_xs"][0]), float(r["r_ys"][0])
-                a = P.Poly(r["l_xs"], r["l_ys"], r["l_rs"], r["l_rk"], ox, oy)
-                b = P.Poly(r["r_xs"], r["r_ys"], r["r_rs"], r["r_rk"], ox, oy)
-                hit = P.intersects(a, b)
-                own = covered_fraction(a.n, r["l_cov"])
-                ei, t0, t1 = P.cover_pieces(a, b, False)
-                both = covered_fraction(a.n, r["l_cov"], list(zip(ei.tolist(), t0.tolist(), t1.tolist())))
-                cross, _ = P.edge_terms(a)
-                delta = float(np.sum((both - own) * cross))
-                bj, u0, u1 = P.cover_pieces(b, a, True)
-                out.append((r["l_comp"], r["r_id"], r["r_area"], r["r_perim"], hit, delta,
-                            [{"e": int(e), "t0": float(x), "t1": float(y)} for e, x, y in zip(bj, u0, u1)]))
-            yield pd.DataFrame(out, columns=["comp", "b", "b_area", "b_perim", "hit", "delta", "bcov"])
-
-    per_pair = spread(pairs).mapInPandas(run, schema)
-    per_cb = (per_pair.groupBy("comp", "b")
-              .agg(F.max("hit").alias("hit"), F.sum("delta").alias("delta"),
-                   F.flatten(F.collect_list("bcov")).alias("bcov"),
-                   F.first("b_area").alias("b_area"), F.first("b_perim").alias("b_perim"))
-              .filter("hit"))
-    bgeo = B.select(F.col("cleabs").alias("b"), "xs", "ys", "rs", "rk")
-    rows = per_cb.join(bgeo, "b")
-    schema2 = "comp string, b string, b_area double, b_perim double, inter double"
-
-    def expose(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                ox, oy = float(r["xs"][0]), float(r["ys"][0])
-                b = P.Poly(r["xs"], r["ys"], r["rs"], r["rk"], ox, oy)
-                cross, _ = P.edge_terms(b)
-                exposed = float(np.sum((1 - covered_fraction(b.n, r["bcov"])) * cross))
-                out.append((r["comp"], r["b"], r["b_area"], r["b_perim"], r["b_area"] + r["delta"] - exposed))
-            yield pd.DataFrame(out, columns=["comp", "b", "b_area", "b_perim", "inter"])
-
-    inter = spread(rows).mapInPandas(expose, schema2).join(um, "comp")
-    ok = inter.filter((F.abs(_fl("inter")) > 3)
-                      & (F.abs(_fl("b_area") - _fl("u_area")) < 3)
-                      & (F.abs(_fl("b_perim") - _fl("u_perim")) < 3))
+    pairs = (candidate_pairs(side(d.parts, "l_", "id", ["comp"]), bs, 0.0, p.cell)
+             .select(F.col("l_comp").alias("comp"), F.col("r_id").alias("b"), F.col("r_area").alias("b_area"),
+                     F.col("r_perim").alias("b_perim"))
+             .join(um, "comp")
+             .filter((F.abs(_fl("b_area") - _fl("u_area")) < 3) & (F.abs(_fl("b_perim") - _fl("u_perim")) < 3))
+             .select("comp", "b").distinct())
+    shapes = B.select(F.col("cleabs").alias("id"), "edges")
+    ok = boundary_overlap(cut_lineage(pairs), boundary, shapes, p.cell).filter(F.abs(_fl("inter")) > 3)
     members = d.attach.join(R.select(F.col("cleabs").alias("row_key"), "identifiant_rnb"), "row_key")
     claimed = ok.join(members, "comp").select(F.col("identifiant_rnb").alias("l_identifiant_rnb"),
                                               F.col("b").alias("r_id"))

@@ -212,8 +212,8 @@ def pairs_intersect(spark, sf_dir):
     """J5 + G10 + G11: every intersecting (registry, building) pair with the
     area of the intersection."""
     R, B = _pools(spark, sf_dir)
-    pairs = S.candidate_pairs(S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs"))
-    m = S.pair_measures(pairs, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
+    left, right = S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs")
+    m = S.pair_measures(S.candidate_pairs(left, right), left, right, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
     return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), _r4("inter").alias("inter"))
 
 
@@ -221,8 +221,9 @@ def pairs_intersect(spark, sf_dir):
 def pairs_within_20(spark, sf_dir):
     """J6 + G12: every (registry, building) pair within 20 m, with distance."""
     R, B = _pools(spark, sf_dir)
-    pairs = S.candidate_pairs(S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs"), 20.0)
-    m = S.pair_measures(pairs, ["dist"], ["l_id", "r_id"]).filter(F.col("dist") <= 20.0)
+    left, right = S.side(R, "l_", "cleabs"), S.side(B, "r_", "cleabs")
+    m = S.pair_measures(S.candidate_pairs(left, right, 20.0), left, right, ["dist"],
+                        ["l_id", "r_id"]).filter(F.col("dist") <= 20.0)
     return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), _r4("dist").alias("dist"))
 
 
@@ -256,8 +257,8 @@ def match_contained_shapes(spark, sf_dir):
 def pairs_shapes(spark, sf_dir):
     """G10, G11 on the same shapes."""
     R, B = _shape_pools(spark, sf_dir)
-    pairs = S.candidate_pairs(S.side(R, "l_", "identifiant_rnb"), S.side(B, "r_", "cleabs"))
-    m = S.pair_measures(pairs, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
+    left, right = S.side(R, "l_", "identifiant_rnb"), S.side(B, "r_", "cleabs")
+    m = S.pair_measures(S.candidate_pairs(left, right), left, right, ["hits", "inter"], ["l_id", "r_id"]).filter("hits")
     return m.select(F.col("l_id").alias("r_key"), F.col("r_id").alias("b_key"), F.round("inter", 3).alias("inter"))
 
 

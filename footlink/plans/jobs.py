@@ -11,6 +11,7 @@ Stage order is semantic and fixed.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import date
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from footlink.functions.dates import days_before
 from footlink.operators import matching as M
 from footlink.operators.links import destroyed_since, drop_destroyed_links, merge_links, merge_links_with_labels
+from footlink.operators.spatial import edge_measures
 from footlink.session import cut_lineage
 
 
@@ -94,31 +96,16 @@ def _within(pairs: DataFrame, distance: float, compat_buffer: bool) -> DataFrame
     ``compat_buffer`` the buffer is the inscribed 32-gon the source builds:
     pairs closer than its inner radius are in, farther than ``distance``
     out, and only the thin annulus between goes to an exact polygon test."""
-    import math
-
-    from footlink.functions import planar as P
-    from footlink.session import ship_package
-
     if not compat_buffer:
         return pairs.filter(F.col("pdist") <= distance)
     inner = distance * math.cos(math.pi / 32)
-    sure = pairs.filter(F.col("pdist") <= inner)
-    ring = pairs.filter((F.col("pdist") > inner) & (F.col("pdist") <= distance))
-    ship_package(pairs.sparkSession)
-    keep = [c for c in ring.columns if not c.startswith("r_") or c == "r_id"]
-    schema = ring.select(*keep).schema
-
-    def run(batches):
-        for pdf in batches:
-            ok = []
-            for px, py, xs, ys, rs, rk in zip(pdf["l_px"], pdf["l_py"], pdf["r_xs"], pdf["r_ys"],
-                                              pdf["r_rs"], pdf["r_rk"]):
-                b = P.Poly(xs, ys, rs, rk, px, py)
-                ok.append(P.intersects(P.buffer_polygon(0.0, 0.0, distance), b))
-            yield pdf.loc[ok, keep] if len(pdf) else pdf[keep]
-
-    exact = ring.mapInPandas(run, schema)
-    return sure.select(*keep).unionByName(exact)
+    keep = ["l_id", "l_identifiant_rnb", "r_id", "pdist"]
+    sure = pairs.filter(F.col("pdist") <= inner).select(*keep)
+    at = lambda i: [F.col(c) + distance * f(F.lit(2 * math.pi) * (i % 32) / 32) for c, f in (("l_px", F.cos), ("l_py", F.sin))]
+    sides = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.struct(
+        *[v.alias(n) for v, n in zip(at(i) + at(i + 1), ("ax", "ay", "bx", "by"), strict=True)]))
+    ring = pairs.filter((F.col("pdist") > inner) & (F.col("pdist") <= distance)).withColumn("l_edges", sides)
+    return sure.unionByName(edge_measures(ring, ["hits"], keep).filter("hits").select(*keep))
 
 
 def near_registry_points(R: DataFrame, buildings: DataFrame, distance: float,
