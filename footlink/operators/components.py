@@ -62,42 +62,36 @@ def union_boundary(parts: DataFrame, touching: DataFrame) -> DataFrame:
     pairs are rows; nothing of a component is gathered.
     """
     sym = touching.select("a", "b").unionByName(touching.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = parts.select(F.col("id").alias("a"), F.col("edges").alias("l_edges"))
-    other = parts.select(F.col("id").alias("b"), F.col("edges").alias("r_edges"))
-    pairs = cut_lineage(sym.join(own, "a").join(other, "b"))
-    ox, oy = F.col("l_edges")[0]["ax"], F.col("l_edges")[0]["ay"]
-    rows = (pairs.withColumn("_ox", ox).withColumn("_oy", oy)
-            .select("a", "r_edges", "_ox", "_oy", F.posexplode("l_edges").alias("e", "_a"))
-            .select("a", "e", "_ox", "_oy", "_a", F.explode("r_edges").alias("_b")))
+    # everything below is grouped and joined by the part, so it moves once
+    own = parts.select("comp", F.col("id").alias("a"), "edges").repartition("a")
+    other = sym.join(parts.select(F.col("id").alias("b"), F.col("edges").alias("r_edges")), "b").repartition("a")
+    rows = (own.join(other, "a", "left")
+            .withColumn("_ox", F.col("edges")[0]["ax"]).withColumn("_oy", F.col("edges")[0]["ay"])
+            .select("comp", "a", "r_edges", "_ox", "_oy", F.posexplode("edges").alias("e", "_a"))
+            .select("comp", "a", "e", "_ox", "_oy", "_a", F.explode_outer("r_edges").alias("_b")))
     edge = lambda n: E.Edge(*[F.col(n)[c] - F.col("_ox" if c[1] == "x" else "_oy") for c in ("ax", "ay", "bx", "by")])
-    cuts = (rows.select("a", "e", "_a", F.explode(E.cuts(edge("_a"), edge("_b"))).alias("t"))
-            .where("t > 0 AND t < 1").groupBy("a", "e").agg(F.sort_array(F.collect_set("t")).alias("ts")))
-    alone = parts.select("comp", F.col("id").alias("a"), F.posexplode("edges").alias("e", "_a"))
-    ends = F.concat(F.array(F.lit(0.0)), F.coalesce("ts", F.array().cast("array<double>")), F.array(F.lit(1.0)))
-    at = lambda t, c: F.col("_a")["a" + c] + t * (F.col("_a")["b" + c] - F.col("_a")["a" + c])
-    corner = lambda t, c: F.when(t == 1.0, F.col("_a")["b" + c]).otherwise(at(t, c))
-    pieces = F.transform(F.sequence(F.lit(0), F.size("_ts") - 2), lambda i: F.struct(
-        corner(F.col("_ts")[i], "x").alias("ax"), corner(F.col("_ts")[i], "y").alias("ay"),
-        corner(F.col("_ts")[i + 1], "x").alias("bx"), corner(F.col("_ts")[i + 1], "y").alias("by")))
-    cut = (alone.join(cuts, ["a", "e"], "left").withColumn("_ts", ends)
-           .select("comp", "a", "e", F.posexplode(pieces).alias("k", "p")).select("comp", "a", "e", "k", "p.*")
-           .where(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")) > E.EPS))
-    cut = cut_lineage(cut)
-    mx, my = (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2
-    tests = (cut.join(pairs.select("a", "b", "r_edges"), "a")
-             .select("a", "e", "k", "b", mx.alias("_mx"), my.alias("_my"), (F.col("bx") - F.col("ax")).alias("_dx"),
-                     (F.col("by") - F.col("ay")).alias("_dy"), F.explode("r_edges").alias("_b")))
-    q = E.Edge(*[F.col("_b")[c] - F.col("_mx" if c[1] == "x" else "_my") for c in ("ax", "ay", "bx", "by")])
+    cuts = (rows.withColumn("t", E.cuts(edge("_a"), edge("_b"))).groupBy("comp", "a", "e", "_a")
+            .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("t")))).alias("ts")))
+    ends = F.concat(F.array(F.lit(0.0)), F.filter("ts", lambda t: (t > 0) & (t < 1)), F.array(F.lit(1.0)))
+    at = lambda t, c: F.when(t == 1.0, F.col("_a")["b" + c]).otherwise(
+        F.col("_a")["a" + c] + t * (F.col("_a")["b" + c] - F.col("_a")["a" + c]))
+    pieces = F.transform(F.sequence(F.lit(0), F.size("_ts") - 2), lambda i: F.struct(*[
+        at(F.col("_ts")[i + k], c).alias(n + c) for n, k in (("a", 0), ("b", 1)) for c in "xy"]))
+    cut = (cuts.withColumn("_ts", ends).select("comp", "a", F.explode(pieces).alias("p"))
+           .where(F.hypot(F.col("p")["bx"] - F.col("p")["ax"], F.col("p")["by"] - F.col("p")["ay"]) > E.EPS))
+    p = lambda c: F.col("p")[c]
+    tests = (cut.join(other, "a", "left")
+             .select("comp", "a", "b", "p", F.explode_outer("r_edges").alias("_b")))
+    q = E.Edge(*[F.col("_b")[c] - (p("a" + c[1]) + p("b" + c[1])) / 2 for c in ("ax", "ay", "bx", "by")])
     zero = F.lit(0.0)
     on = q.distance2(zero, zero) <= (10 * E.EPS) ** 2
-    along = q.dx * F.col("_dx") + q.dy * F.col("_dy")
-    hidden = (tests.groupBy("a", "e", "k", "b")
-              .agg((F.sum(q.crosses_ray(zero, zero)) % 2 == 1).alias("inside"),
-                   F.max(on & (along > 0)).alias("same"), F.max(on & (along < 0)).alias("against"))
-              .where(F.when(F.col("same") | F.col("against"), F.col("against") | (F.col("b") < F.col("a")))
-                     .otherwise(F.col("inside")))
-              .select("a", "e", "k").distinct())
-    return cut.join(hidden, ["a", "e", "k"], "left_anti").select("comp", "ax", "ay", "bx", "by")
+    along = q.dx * (p("bx") - p("ax")) + q.dy * (p("by") - p("ay"))
+    hidden = F.when(F.col("same") | F.col("against"), F.col("against") | (F.col("b") < F.col("a"))).otherwise(F.col("inside"))
+    return (tests.groupBy("comp", "a", "p", "b")
+            .agg((F.sum(q.crosses_ray(zero, zero)) % 2 == 1).alias("inside"),
+                 F.max(on & (along > 0)).alias("same"), F.max(on & (along < 0)).alias("against"))
+            .groupBy("comp", "a", "p").agg(F.max(F.coalesce(hidden, F.lit(False))).alias("hidden"))
+            .where("NOT hidden").select("comp", "p.*"))
 
 
 def boundary_measures(boundary: DataFrame) -> DataFrame:

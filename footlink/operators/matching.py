@@ -46,7 +46,8 @@ def _fl(c):
     return F.floor(F.round(F.col(c), 9)).cast("long")
 
 
-def _claims(matched: DataFrame, label: str) -> DataFrame:
+def claims_of(matched: DataFrame, label: str) -> DataFrame:
+    """X of matched pairs ``(l_identifiant_rnb, r_id)``."""
     return (matched.groupBy(F.col("l_identifiant_rnb").alias("identifiant_rnb"))
             .agg(agg_distinct_sorted("r_id").alias("liens_vers_batiment"))
             .select("liens_vers_batiment", "identifiant_rnb", F.lit(label).alias("traitement")))
@@ -77,7 +78,7 @@ def equal(R, B, p: Params = Params()):
     """M1 ``ST_Equals(b, env)``: equal areas first, they need no geometry."""
     s = _sides(R, B)
     pairs = s.pairs(p).filter(F.abs(F.col("l_area") - F.col("r_area")) < 1e-3)
-    return _claims(s.measured(pairs, ["equal"], _KEEP).filter("equal"), LABELS["equal"])
+    return claims_of(s.measured(pairs, ["equal"], _KEEP).filter("equal"), LABELS["equal"])
 
 
 def identical(R, B, p: Params = Params()):
@@ -85,7 +86,21 @@ def identical(R, B, p: Params = Params()):
     s = _sides(R, B)
     pairs = s.pairs(p).filter(_fl("l_area") == _fl("r_area"))
     m = s.measured(pairs, ["hits", "inter"], _KEEP + ["l_area", "r_area"])
-    return _claims(m.filter(F.col("hits") & (_fl("inter") == _fl("r_area"))), LABELS["identical"])
+    return claims_of(m.filter(F.col("hits") & (_fl("inter") == _fl("r_area"))), LABELS["identical"])
+
+
+def _alike():
+    """M3 and M4 without geometry: floor areas and perimeters within 3."""
+    return (F.abs(_fl("r_area") - _fl("l_area")) < 3) & (F.abs(_fl("r_perim") - _fl("l_perim")) < 3)
+
+
+def _same_npoints():
+    return F.col("l_npts") == F.col("r_npts")
+
+
+def _small():
+    """M7 without geometry: b under 25 m² and smaller than the envelope."""
+    return (F.abs(_fl("r_area")) < 25) & (_fl("r_area") < _fl("l_area"))
 
 
 def similar(R, B, p: Params = Params(), same_npoints: bool = True):
@@ -93,21 +108,44 @@ def similar(R, B, p: Params = Params(), same_npoints: bool = True):
     perimeters within 3, vertex counts equal (M3) or different (M4).
     The three measure filters run before any pair geometry is touched."""
     s = _sides(R, B)
-    npt = (F.col("l_npts") == F.col("r_npts")) if same_npoints else (F.col("l_npts") != F.col("r_npts"))
-    pre = s.pairs(p).filter((F.abs(_fl("r_area") - _fl("l_area")) < 3)
-                            & (F.abs(_fl("r_perim") - _fl("l_perim")) < 3) & npt)
-    ok = s.measured(pre, ["inter"], _KEEP).filter(F.abs(_fl("inter")) > 3)
-    return _claims(ok, LABELS["similar" if same_npoints else "similar_nbp"])
+    npt = _same_npoints() if same_npoints else ~_same_npoints()
+    ok = s.measured(s.pairs(p).filter(_alike() & npt), ["inter"], _KEEP).filter(F.abs(_fl("inter")) > 3)
+    return claims_of(ok, LABELS["similar" if same_npoints else "similar_nbp"])
 
 
-def contained(R, B, p: Params = Params()):
-    """M6 ``ST_Contains(b, ST_Buffer(env, -0.5))``, envelopes of any shape."""
-    s = _sides(R, B)
+def _held(s: _Sides, R: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
     shapes = s.left.select("l_id", "l_edges").join(
         R.select(F.col("cleabs").alias("l_id"), "geometrie_enveloppe"), "l_id")
-    pairs = cut_lineage(s.pairs(p).select("l_id", "r_id", "r_xmin", "r_ymin", "r_xmax", "r_ymax"))
+    pairs = pairs.select("l_id", "r_id", "r_xmin", "r_ymin", "r_xmax", "r_ymax")
     held = holds_eroded(pairs, shapes, "geometrie_enveloppe", s.right, p.erosion)
-    return _claims(held.join(s.left.select("l_id", "l_identifiant_rnb"), "l_id"), LABELS["contained"])
+    return held.join(s.left.select("l_id", "l_identifiant_rnb"), "l_id")
+
+
+def contained(R, B, p: Params = Params()):
+    """M6 ``ST_Contains(b, ST_Buffer(env, -0.5))``, envelopes of any shape."""
+    s = _sides(R, B)
+    return claims_of(_held(s, R, s.pairs(p), p), LABELS["contained"])
+
+
+#: Stages that only look at one pair, by their number in the cascade.
+PAIR_STAGES = {3: "similar", 4: "similar_nbp", 6: "contained", 7: "balcony"}
+
+
+def qualifying_pairs(R: DataFrame, B: DataFrame, p: Params = Params()) -> DataFrame:
+    """``(stage, l_id, l_identifiant_rnb, r_id)``: the pairs that satisfy M3, M4,
+    M6 or M7, whatever the pools hold when the stage runs. One cell join and
+    one edge relation serve all four."""
+    s = _sides(R, B)
+    pairs = cut_lineage(s.pairs(p))
+    keep = ["l_id", *_KEEP, "l_area", "r_area", "l_perim", "r_perim", "l_npts", "r_npts"]
+    m = s.measured(pairs.filter(_alike() | _small()), ["hits", "inter"], keep)
+    inter = F.abs(_fl("inter"))
+    stages = F.array_compact(F.array(F.when(_alike() & _same_npoints() & (inter > 3), 3),
+                                     F.when(_alike() & ~_same_npoints() & (inter > 3), 4),
+                                     F.when(_small() & F.col("hits") & (inter < 3), 7)))
+    cols = ["stage", "l_id", "l_identifiant_rnb", "r_id"]
+    held = _held(s, R, pairs, p).withColumn("stage", F.lit(6))
+    return cut_lineage(m.withColumn("stage", F.explode(stages)).select(*cols).unionByName(held.select(*cols)))
 
 
 def balcony_pool(R: DataFrame, RT: DataFrame) -> DataFrame:
@@ -121,15 +159,14 @@ def balcony(R, B, p: Params = Params(), RT: DataFrame | None = None):
     less than 3 m² of overlap. Pool is R ∪ RT."""
     pool = R if RT is None else balcony_pool(R, RT)
     s = _sides(pool, B)
-    pre = s.pairs(p).filter((F.abs(_fl("r_area")) < 25) & (_fl("r_area") < _fl("l_area")))
-    m = s.measured(pre, ["hits", "inter"], _KEEP)
-    return _claims(m.filter(F.col("hits") & (F.abs(_fl("inter")) < 3)), LABELS["balcony"])
+    m = s.measured(s.pairs(p).filter(_small()), ["hits", "inter"], _KEEP)
+    return claims_of(m.filter(F.col("hits") & (F.abs(_fl("inter")) < 3)), LABELS["balcony"])
 
 
 def point_in_building(R, B, p: Params = Params()):
     """M8 ``ST_Intersects(b, r.geometrie)`` (registry point in building)."""
     m = point_pairs(R, B, 0.0, p)
-    return _claims(m.filter(F.col("pdist") <= 0.0), LABELS["point"])
+    return claims_of(m.filter(F.col("pdist") <= 0.0), LABELS["point"])
 
 
 def point_pairs(R, B, distance: float, p: Params = Params(), keep_geometry: bool = False) -> DataFrame:
@@ -194,7 +231,12 @@ def explode_parts(pool: DataFrame, key: str, geom: str) -> DataFrame:
 class Dissolved:
     parts: DataFrame    # id, row_key, comp, measures
     attach: DataFrame   # row_key, comp  (rows intersecting the component)
-    touching: DataFrame  # a, b: parts that share area or boundary
+    meeting: DataFrame  # l_id, r_id, l_row_key, r_row_key, contact: parts that intersect
+
+    @property
+    def touching(self) -> DataFrame:
+        """Pairs (a, b) of parts that share area or boundary."""
+        return self.meeting.filter("contact").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
 
 
 def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params()) -> Dissolved:
@@ -206,15 +248,28 @@ def dissolve(pool: DataFrame, key: str, geom: str, p: Params = Params()) -> Diss
     sq = side(parts, "r_", "id", ["row_key"])
     pairs = candidate_pairs(sp, sq, 0.0, p.cell, self_join=True)
     rel = pair_measures(pairs, sp, sq, ["hits", "contact"], ["l_id", "r_id", "l_row_key", "r_row_key"])
-    rel = cut_lineage(rel.filter("hits"))
-    touching = rel.filter("contact").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
-    comp = connected_components(parts.select("id"), touching)
-    parts_c = cut_lineage(parts.join(comp, "id"))
-    pc = parts_c.select("id", "comp")
-    own = parts_c.select("row_key", "comp")
-    lr = rel.join(pc.withColumnRenamed("id", "r_id"), "r_id").select(F.col("l_row_key").alias("row_key"), "comp")
-    rl = rel.join(pc.withColumnRenamed("id", "l_id"), "l_id").select(F.col("r_row_key").alias("row_key"), "comp")
-    return Dissolved(parts_c, own.unionByName(lr).unionByName(rl).distinct(), touching)
+    return _grouped(parts, cut_lineage(rel.filter("hits")))
+
+
+def _grouped(parts: DataFrame, meeting: DataFrame) -> Dissolved:
+    out = Dissolved(parts, parts, meeting)
+    comp = connected_components(parts.select("id"), out.touching)
+    out.parts = cut_lineage(parts.join(comp, "id"))
+    pc = out.parts.select("id", "comp")
+    own = out.parts.select("row_key", "comp")
+    lr = meeting.join(pc.withColumnRenamed("id", "r_id"), "r_id").select(F.col("l_row_key").alias("row_key"), "comp")
+    rl = meeting.join(pc.withColumnRenamed("id", "l_id"), "l_id").select(F.col("r_row_key").alias("row_key"), "comp")
+    out.attach = own.unionByName(lr).unionByName(rl).distinct()
+    return out
+
+
+def regrouped(d: Dissolved, pool: DataFrame, key: str) -> Dissolved:
+    """The dissolve of what is left of a pool, from that of the whole: parts
+    and the pairs that meet are known, only the components are new."""
+    alive = pool.select(F.col(key).alias("row_key")).distinct()
+    of = lambda p: alive.withColumnRenamed("row_key", f"{p}_row_key")
+    meeting = d.meeting.join(of("l"), "l_row_key", "left_semi").join(of("r"), "r_row_key", "left_semi")
+    return _grouped(d.parts.drop("comp").join(alive, "row_key", "left_semi"), cut_lineage(meeting))
 
 
 def near_components(parts: DataFrame, other: DataFrame, other_key: str, p: Params) -> DataFrame:
@@ -231,17 +286,17 @@ def near_components(parts: DataFrame, other: DataFrame, other_key: str, p: Param
     return sure.unionByName(near.select(F.col("l_comp").alias("comp"))).distinct()
 
 
-def unmatchable(R, B, p: Params = Params()):
+def unmatchable(R, B, p: Params = Params(), of_r: Dissolved | None = None):
     """Dissolve each pool by contact; a component within ``far`` m of
     any footprint of the other pool marks every row attached to it as
-    near. Rows not near are claimed alone, one label per side."""
-    def near_rows(pool, key, geom, other, other_key):
-        d = dissolve(pool, key, geom, p)
+    near. Rows not near are claimed alone, one label per side. ``of_r``:
+    the dissolve of R, if it is known."""
+    def near_rows(d, other, other_key):
         near = near_components(d.parts, other, other_key, p)
         return d.attach.join(near, "comp", "left_semi").select("row_key").distinct()
 
-    near_r = near_rows(R, "cleabs", "geometrie_enveloppe", B, "cleabs")
-    near_b = near_rows(B, "cleabs", "geometrie", R.withColumnRenamed("geometrie", "_pt"), "cleabs")
+    near_r = near_rows(of_r or dissolve(R, "cleabs", "geometrie_enveloppe", p), B, "cleabs")
+    near_b = near_rows(dissolve(B, "cleabs", "geometrie", p), R.withColumnRenamed("geometrie", "_pt"), "cleabs")
     r_ids = R.select(F.col("identifiant_rnb"))
     near_ids = R.join(near_r.withColumnRenamed("row_key", "cleabs"), "cleabs", "left_semi").select("identifiant_rnb")
     far_r = r_ids.subtract(near_ids)
@@ -253,15 +308,16 @@ def unmatchable(R, B, p: Params = Params()):
     return xb.unionByName(xr).distinct()
 
 
-def dissolved(R, B, p: Params = Params()):
+def dissolved(R, B, p: Params = Params(), of_r: Dissolved | None = None):
     """M5: dissolve R by contact, then compare each component U with every
     B it intersects: |floor area(U∩b)| > 3, floor areas and floor
     perimeters within 3; every row attached to U is claimed with b.
 
     Area and perimeter of U are sums over its boundary pieces; they rule out
-    almost every (U, b) before the two boundaries meet.
+    almost every (U, b) before the two boundaries meet. ``of_r``: the
+    dissolve of a pool that holds R, if it is known.
     """
-    d = dissolve(R, "cleabs", "geometrie_enveloppe", p)
+    d = regrouped(of_r, R, "cleabs") if of_r else dissolve(R, "cleabs", "geometrie_enveloppe", p)
     boundary = cut_lineage(union_boundary(d.parts, d.touching))
     um = boundary_measures(boundary)
     bs = side(B, "r_", "cleabs", ["area", "perim"])
@@ -276,7 +332,7 @@ def dissolved(R, B, p: Params = Params()):
     members = d.attach.join(R.select(F.col("cleabs").alias("row_key"), "identifiant_rnb"), "row_key")
     claimed = ok.join(members, "comp").select(F.col("identifiant_rnb").alias("l_identifiant_rnb"),
                                               F.col("b").alias("r_id"))
-    return _claims(claimed, LABELS["dissolved"])
+    return claims_of(claimed, LABELS["dissolved"])
 
 
 # -- pool updates ---------------------------------------------------------------

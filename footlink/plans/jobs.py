@@ -2,11 +2,9 @@
 after topographic creations (O2), plus the candidate restrictions
 (M13-M15) that build their pools.
 
-The cascade is a driver loop over stage functions; the pools are
-immutable DataFrames replaced after each stage and checkpointed to the
-cluster's checkpoint folder, so each stage plans against materialised
-inputs (no plan growth, and a lost executor only replays one stage).
-Stage order is semantic and fixed.
+The cascade measures the pools once and then resolves stage precedence on
+ids; each stage's claims are written to the cluster's checkpoint folder, so
+plans stay short and a lost executor only replays one stage.
 """
 
 from __future__ import annotations
@@ -19,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footlink.functions.dates import days_before
+from footlink.functions.lists import to_array
 from footlink.operators import matching as M
 from footlink.operators.links import destroyed_since, drop_destroyed_links, merge_links, merge_links_with_labels
-from footlink.operators.spatial import edge_measures
+from footlink.operators.spatial import edge_measures, union_all
 from footlink.session import cut_lineage
 
 
@@ -36,43 +35,80 @@ class CascadeResult:
     claims: DataFrame      # every stage's X with its stage number
 
 
-# (stage number, name, function) in the order the source runs them
-CASCADE = [
-    (1, "unmatchable", M.unmatchable),
-    (2, "semantic", M.semantic),
-    (3, "similar", lambda R, B, p: M.similar(R, B, p, True)),
-    (4, "similar_nbp", lambda R, B, p: M.similar(R, B, p, False)),
-    (5, "dissolved", M.dissolved),
-    (6, "contained", M.contained),
-]
+class _Left:
+    """What earlier stages have left of the pools, from their claims alone:
+    claims are a few ids, the pools are never rewritten."""
 
+    def __init__(self, R: DataFrame, B: DataFrame):
+        self.R, self.B, self.claims = R, B, []
 
-def _cut(pools: M.Pools) -> M.Pools:
-    """Checkpoint the pools the next stage reads (R, B). RT and BT are
-    unions of per-stage additions whose inputs are already checkpointed,
-    so their lineage stays one level deep per stage."""
-    return M.Pools(cut_lineage(pools.R), cut_lineage(pools.B), pools.RT, pools.BT)
+    def claim(self, stage: int, X: DataFrame) -> None:
+        self.claims.append(cut_lineage(X.withColumn("stage", F.lit(stage))))
+
+    def all(self) -> DataFrame:
+        return union_all(self.claims)
+
+    def r_ids(self) -> DataFrame:
+        return self.all().select("identifiant_rnb").filter("identifiant_rnb <> ''").distinct()
+
+    def b_keys(self) -> DataFrame:
+        return (self.all().select(F.explode(to_array("liens_vers_batiment")).alias("cleabs"))
+                .filter("cleabs <> ''").distinct())
+
+    def rows_r(self) -> DataFrame:
+        return self.R.join(self.r_ids(), "identifiant_rnb", "left_anti").select(*self.R.columns)
+
+    def rows_b(self) -> DataFrame:
+        """A claimed building without geometry stays (M11 moves none)."""
+        gone = self.b_keys().withColumn("_gone", F.lit(True))
+        return (self.B.join(gone, "cleabs", "left").filter(F.col("_gone").isNull() | F.col("geometrie").isNull())
+                .select(*self.B.columns))
+
+    def pairs(self, found: DataFrame, stage: int) -> DataFrame:
+        """The qualifying pairs of a stage whose two sides are left. The balcony
+        stage takes claimed registry rows too, but not those that M11 lost
+        because they have no point."""
+        of = found.filter(F.col("stage") == stage)
+        of = of.join(self.b_keys().withColumnRenamed("cleabs", "r_id"), "r_id", "left_anti")
+        gone = self.r_ids()
+        if stage == 7:
+            gone = (self.R.filter(F.col("geometrie").isNull()).select("identifiant_rnb")
+                    .join(gone, "identifiant_rnb", "left_semi"))
+        return of.join(gone.withColumnRenamed("identifiant_rnb", "l_identifiant_rnb"), "l_identifiant_rnb", "left_anti")
 
 
 def run_cascade(R: DataFrame, B: DataFrame, p: M.Params = M.Params(),
                 compat_delete: bool = False) -> CascadeResult:
     """Stages M10, M9, M3, M4, M5, M6 each followed by M11, then M7 with
-    its own update (M12)."""
+    its own update (M12). Stage order is semantic.
+
+    Geometry is looked at once: the parts of R that meet (M10, reused by M5)
+    and the pairs that qualify for M3, M4, M6 and M7. After that a stage is a
+    join of ids: its pairs, less what earlier stages claimed."""
+    left = _Left(R, B)
+    of_r = M.dissolve(R, "cleabs", "geometrie_enveloppe", p)
+    left.claim(1, M.unmatchable(R, B, p, of_r))
+    near_r = left.rows_r()
+    left.claim(2, M.semantic(near_r, left.rows_b(), p))
+    found = M.qualifying_pairs(cut_lineage(near_r), cut_lineage(left.rows_b()), p)
+    for stage in (3, 4, 5, 6):
+        X = (M.dissolved(left.rows_r(), left.rows_b(), p, of_r) if stage == 5
+             else M.claims_of(left.pairs(found, stage), M.LABELS[M.PAIR_STAGES[stage]]))
+        left.claim(stage, X)
+    after = M.Pools(left.rows_r(), left.rows_b(), *_treated(R, B, left.all()))
+    X = cut_lineage(M.claims_of(left.pairs(found, 7), M.LABELS[M.PAIR_STAGES[7]]).withColumn("stage", F.lit(7)))
+    pools = M.update_pools_balcony(after, X.drop("stage"), compat_delete)
+    return CascadeResult(M.Pools(pools.R, pools.B, cut_lineage(pools.RT), pools.BT), left.all().unionByName(X))
+
+
+def _treated(R: DataFrame, B: DataFrame, X: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """K4: RT and BT after all updates of M11, from all claims at once (a row
+    is claimed in one stage only)."""
     RT, BT = M.empty_treated(R, B)
-    pools = _cut(M.Pools(R, B, RT, BT))
-    claims = []
-    for n, _name, fn in CASCADE:
-        X = cut_lineage(fn(pools.R, pools.B, p))
-        claims.append(X.withColumn("stage", F.lit(n)))
-        pools = _cut(M.update_pools(pools, X))
-    X = cut_lineage(M.balcony(pools.R, pools.B, p, RT=pools.RT))
-    claims.append(X.withColumn("stage", F.lit(7)))
-    pools = M.update_pools_balcony(pools, X, compat_delete)
-    pools = M.Pools(pools.R, pools.B, cut_lineage(pools.RT), pools.BT)
-    allx = claims[0]
-    for c in claims[1:]:
-        allx = allx.unionByName(c)
-    return CascadeResult(pools, allx)
+    xb = X.select(F.explode(to_array("liens_vers_batiment")).alias("cleabs"), "traitement", "identifiant_rnb").distinct()
+    bt = xb.join(B.select("cleabs", "geometrie").filter(F.col("geometrie").isNotNull()), "cleabs")
+    rt = X.join(R.filter(F.col("geometrie").isNotNull()), "identifiant_rnb").select(*RT.columns).distinct()
+    return rt, bt.select(*BT.columns)
 
 
 def _distinct_on(df: DataFrame, key: str) -> DataFrame:
