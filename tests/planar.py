@@ -1,7 +1,5 @@
-"""Pair kernels in numpy, run inside ``mapInPandas`` tasks on candidate
-pairs that Spark has already partitioned (grid join) and pre-filtered
-(bounding boxes, cheap measure filters). Nothing here sees more than one
-pair (or one polygon) at a time.
+"""Plain numpy geometry of one pair of polygons, which the tests hold the
+edge relations of the library against.
 
 Core idea: cut every edge of one polygon at its crossings with the other
 polygon's boundary and classify each piece (inside, outside, on the other
@@ -519,3 +517,22 @@ def buffer_polygon(x: float, y: float, d: float, quad_segs: int = 8) -> Poly:
     ys = y + d * np.sin(ang)
     xs[-1], ys[-1] = xs[0], ys[0]
     return Poly(xs, ys, [n + 1], [1])
+
+
+def covered_fraction(n: int, cov, extra=None) -> np.ndarray:
+    """Covered fraction per edge: the union length of its intervals."""
+    out = np.zeros(n)
+    iv = [] if cov is None else [(int(c["e"]), float(c["t0"]), float(c["t1"])) for c in cov]
+    iv = sorted(iv + list(extra or []))
+    if not iv:
+        return out
+    cur_e, lo, hi = None, 0.0, 0.0
+    for e, a, b in iv:
+        if e != cur_e or a > hi:
+            if cur_e is not None:
+                out[cur_e] += hi - lo
+            cur_e, lo, hi = e, a, b
+        else:
+            hi = max(hi, b)
+    out[cur_e] += hi - lo
+    return np.clip(out, 0, 1)

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import planar as P
 from footlink.functions import geometry as G
-from footlink.functions import planar as P
 
 
 def poly(xs, ys, rs=None, rk=None):
@@ -188,7 +188,6 @@ def test_convex_fast_path_matches_general():
     ([(0, 0, 1, 1), (1, 1, 2, 2)], 2, 8),                      # corner touch
 ])
 def test_union_measures_from_pair_covers(boxes, area, perim):
-    from footlink.operators.components import covered_fraction
     polys = [box(*b) for b in boxes]
     a_tot = p_tot = 0.0
     for i, p in enumerate(polys):
@@ -197,7 +196,7 @@ def test_union_measures_from_pair_covers(boxes, area, perim):
             if i != j:
                 ei, t0, t1 = P.cover_pieces(p, q, q_first=j < i)
                 iv += list(zip(ei.tolist(), t0.tolist(), t1.tolist()))
-        cov = covered_fraction(p.n, None, iv)
+        cov = P.covered_fraction(p.n, None, iv)
         cr, ln = P.edge_terms(p)
         a_tot += float(np.sum((1 - cov) * cr))
         p_tot += float(np.sum((1 - cov) * ln))
