@@ -2,8 +2,9 @@
 
 Each distinct shingle hash is used once: its top bits choose one of ``BINS``
 bins, the rest competes for the bin's minimum. An empty bin takes the value
-of a filled one, found by a sequence of bins that depends on the empty bin
-and the attempt alone (optimal densification, Shrivastava, ICML 2017).
+of a filled one, the first that a sequence of bins meets which depends on the
+empty bin and the attempt alone (optimal densification, Shrivastava, ICML
+2017), however long it takes.
 ``BITS`` low-order bits of each bin are packed; two fingerprints agree by
 chance in 2 ** -BITS of their bins, and ``likeness`` corrects for it.
 
@@ -35,17 +36,20 @@ from footlink.llm.frames import NULL_ID, cut_lineage, table
 BINS = 512
 BITS = 4
 SHINGLE = 5
-ATTEMPTS = 64
+ATTEMPTS = 64          # in one step; the steps go on until a filled bin is met
 ROWS_PER_CHUNK = 2000
-MOST_CHUNKS = 50_000
 SAMPLE_PER_CHUNK = 20
 
 
+def _probes(block: int, bins: np.ndarray) -> np.ndarray:
+    """Bins tried in the ``ATTEMPTS`` attempts of a block, for each empty bin."""
+    at = np.arange(block * ATTEMPTS, (block + 1) * ATTEMPTS, dtype=np.uint64)
+    return (T.mix(at[:, None] * T.U64(BINS) + bins.astype(np.uint64) + T.U64(0xD0F)) % T.U64(BINS)).astype(np.int64)
+
+
 @functools.cache
-def _probes() -> np.ndarray:
-    """Bin tried for each (attempt, empty bin)."""
-    grid = np.arange(ATTEMPTS * BINS, dtype=np.uint64).reshape(ATTEMPTS, BINS)
-    return (T.mix(grid + T.U64(0xD0F)) % T.U64(BINS)).astype(np.int64)
+def _first_probes() -> np.ndarray:
+    return _probes(0, np.arange(BINS))
 
 
 def bins_of(shingle_set: np.ndarray) -> np.ndarray:
@@ -56,17 +60,17 @@ def bins_of(shingle_set: np.ndarray) -> np.ndarray:
     np.minimum.at(out, at, T.mix(shingle_set))
     filled = np.zeros(BINS, bool)
     filled[at] = True
-    empty = np.flatnonzero(~filled)
-    for row in _probes():
-        if not len(empty):
-            break
-        from_bin = row[empty]
-        hit = filled[from_bin]
-        out[empty[hit]] = out[from_bin[hit]]
-        empty = empty[~hit]
-    if len(empty):                      # never tried a filled bin: the next one round the circle
-        order = np.flatnonzero(filled)
-        out[empty] = out[order[np.searchsorted(order, empty) % len(order)]]
+    empty, block = np.flatnonzero(~filled), 0
+    if len(shingle_set) == 1:                  # whatever is tried, it is this bin
+        out[:] = out[at[0]]
+        return out
+    while len(empty):
+        tried = _first_probes()[:, empty] if block == 0 else _probes(block, empty)
+        hit = filled[tried]
+        found = hit.any(axis=0)
+        from_bin = tried[hit.argmax(axis=0), np.arange(len(empty))]
+        out[empty[found]] = out[from_bin[found]]
+        empty, block = empty[~found], block + 1
     return out
 
 
@@ -130,8 +134,7 @@ def with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFram
 
     spark = docs.sparkSession
     n = docs.count()
-    # Chunk bounds go through the driver, so beyond MOST_CHUNKS chunks grow instead.
-    chunks = max(1, min(-(-n // rows_per_chunk), MOST_CHUNKS))
+    chunks = max(1, -(-n // rows_per_chunk))
     # Bounds from a sample of the keys, as a range exchange takes them. Every
     # bound gives the same pairs; only the sizes of the chunks depend on it.
     cuts = np.zeros(0, np.int64), np.zeros(0, np.int64)

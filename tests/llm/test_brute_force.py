@@ -174,3 +174,30 @@ def test_pipeline_runs_all_stages(spark):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "source", "lang", "ids", "decoded", "n_tokens"] and out.count() > 100
+
+
+def test_bins_are_densified_as_published(texts):
+    """Every empty bin takes the first filled bin of its own probes, for all
+    texts and for sets of one, two and three shingles."""
+    from footlink.llm import text as T
+    raw = [t.encode() for t in texts.values()] + [b"one two", b"a b c d e f", b"a b c d e f g"]
+    import pyarrow as pa
+    _, _, buf, bounds = next(T.text_chunks(pa.array(raw[-40:], pa.large_binary()), 1 << 30))
+    _, _, h, first = T.words(buf, bounds)
+    for s in T.shingles(h, first, fingerprints.SHINGLE):
+        if not len(s):
+            continue
+        low: dict = {}
+        for x in s.tolist():
+            b, v = x >> 55, int(T.mix(np.array([x], np.uint64))[0])
+            low[b] = min(low.get(b, v), v)
+        got = fingerprints.bins_of(s)
+        filled = np.array(sorted(low))
+        for b in [*range(0, fingerprints.BINS, 37), *filled[:5].tolist()]:
+            if b not in low:
+                k = np.arange(40_000, dtype=np.uint64)
+                tried = T.mix(k * np.uint64(fingerprints.BINS) + np.uint64(b) + np.uint64(0xD0F)) % np.uint64(fingerprints.BINS)
+                want = low[int(tried[np.isin(tried, filled)][0])]
+            else:
+                want = low[b]
+            assert int(got[b]) == want
