@@ -7,9 +7,10 @@ is the mean log ratio of its n-grams; it is kept when no base rule fails and
 the score reaches ``THRESHOLD``. There is no random draw: every document is
 judged by the same threshold.
 
-The target is smoothed towards the raw distribution (``PRIOR`` pseudo
-n-grams), so with little or no trusted text all scores tend to 0 and the
-method rejects nothing.
+The target is smoothed towards the raw distribution: ``PRIOR_SHARE`` pseudo
+n-grams for each of its own, so an n-gram that the target lacks weighs the same
+whatever the size of the tables. Without trusted text all scores are 0 and
+the method rejects nothing.
 
 Edge cases: a null text counts as empty (no words: ``base_failed``); a text
 without n-grams scores 0; an empty labels table gives score 0 everywhere;
@@ -29,7 +30,7 @@ from footlink.llm.frames import cut_lineage, map_batches, smallest_by_hash
 
 BUCKET_BITS = 14
 TRUSTED_ROWS = 20_000
-PRIOR = 20_000.0
+PRIOR_SHARE = 0.05
 THRESHOLD = -0.4
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -82,8 +83,10 @@ def log_ratio(counts: list[tuple[int, int, int]]) -> np.ndarray:
     if not counts:
         return out
     b, t, r = (np.array(c) for c in zip(*counts, strict=True))
-    p_raw = r / r.sum()
-    p_target = (t + PRIOR * p_raw) / (t.sum() + PRIOR)
+    if not t.sum():
+        return out
+    p_raw, prior = r / r.sum(), PRIOR_SHARE * t.sum()
+    p_target = (t + prior * p_raw) / (t.sum() + prior)
     out[b] = np.log(p_target) - np.log(p_raw)
     return out
 
