@@ -125,7 +125,8 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES,
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The training stream: ``docs`` rows, repeated as the mix takes them, in
-    order of position. A copy taken in part keeps its leading words."""
+    order of position. Documents stay whole: of a source's last copy, which the
+    plan takes in part, the stream has all or nothing, whichever is nearer."""
     columns = docs.columns
     todo = cut_lineage(plan(docs, weights, slopes, max_repeats)
                        .withColumn("twin", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("taken"))))
@@ -139,16 +140,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, max_r
     twin = F.row_number().over(Window.partitionBy("row").orderBy(F.lit(0)))
     keyed = (keyed.where("again IS NULL").withColumn("twin", F.lit(1))
              .unionByName(keyed.where("again").withColumn("twin", twin)))
-    todo = todo.where("taken > 0").drop("taken")
-    rows = keyed.join(todo, ["row", "twin"]).select("doc", "size", F.explode("copies").alias("copy"))
-    part = F.col("copy.words") < F.col("size")
-    lead = F.array_join(F.slice(F.regexp_extract_all("doc.text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
-                                F.lit(1), F.col("copy.words").cast("int")), "")
-    rows = rows.withColumn("text", F.when(part, lead).otherwise(F.col("doc.text")))
-    out = {c: F.col(f"doc.`{c}`") for c in columns} | {"text": F.col("text")}
-    if "n_chars" in columns:
-        out["n_chars"] = F.when(part, F.length("text")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
-    return rows.orderBy("copy.position", "doc.doc_id").select(*[e.alias(c) for c, e in out.items()])
+    whole = F.filter("copies", lambda c: 2 * c["words"] >= F.col("size"))
+    todo = todo.where("taken > 0").drop("taken").withColumn("copies", whole)
+    rows = keyed.join(todo, ["row", "twin"]).select("doc", F.explode("copies").alias("copy"))
+    return rows.orderBy("copy.position", "doc.doc_id").select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,11 +137,12 @@ def without_rows(docs: DataFrame, removed: DataFrame, repeated: DataFrame) -> Da
                           .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"))
                           .agg(F.max("_gone").alias("_gone")))
     may = bloom_column(bloom(touched.select("_h")))
-    marked = docs.select("*", *key).withColumn("_may", may("_h"))
-    plain = marked.where("NOT _may").select(*docs.columns)
+    # The document rides in one struct, so no column name of it can clash.
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    marked = docs.select(doc, *key).withColumn("_may", may("_h"))
     checked = marked.where("_may").join(touched, ["_id", "_h"], "left")
-    once = checked.where("_gone IS NULL").select(*docs.columns)
-    single = checked.where("NOT _gone").dropDuplicates(["_id", "_h"]).select(*docs.columns)
+    rows = [marked.where("NOT _may"), checked.where("_gone IS NULL"), checked.where("NOT _gone").dropDuplicates(["_id", "_h"])]
+    plain, once, single = (r.select("_doc.*") for r in rows)
     return plain.unionByName(once).unionByName(single)
 
 
