@@ -98,8 +98,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
                            for a, c in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
                 names=["quality", "bucket", "share"])
 
-    # Bound: 2 * PER_CLASS ids, then the buckets of as many texts.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("quality").cast("int"), "text")
+    # Bound: 2 * PER_CLASS ids, then the buckets of as many texts (the least
+    # text of an id that repeats, combined before the shuffle).
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id", F.col("quality").cast("int").alias("quality")).agg(F.min("text").alias("text"))
+              .select("quality", "text"))
     got = map_batches(sample, of, "quality int, bucket binary, share binary").toArrow()
     rows = sorted(zip(got["quality"].to_pylist(), got["bucket"].to_pylist(), got["share"].to_pylist(), strict=True))
     return train([(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32)) for _, b, s in rows],

@@ -18,8 +18,8 @@ Training reads a bounded sample: at most ``POSITIVES`` positive and
 
 Edge cases: null, empty and wordless texts have no features and get the
 score of the bias alone; without positives every score is below 0.5; a null
-doc_id counts as held out; repeated rows score alike; extra columns are
-ignored.
+doc_id counts as held out; repeated rows score alike; of rows that share a
+sampled doc_id the least text is learnt from; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -157,8 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                  pa.array([low[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
                 names=["positive", "features"])
 
-    # Bound: POSITIVES + UNLABELLED ids, then the features of as many texts.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("positive", "text")
+    # Bound: POSITIVES + UNLABELLED ids, then the features of as many texts
+    # (the least text of an id that repeats, combined before the shuffle).
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id", "positive").agg(F.min("text").alias("text")).select("positive", "text"))
     got = map_batches(sample, of, "positive boolean, features binary").toArrow()
     rows = sorted(zip(got["positive"].to_pylist(), got["features"].to_pylist(), strict=True), key=lambda r: r[1])
     return train([np.frombuffer(f, np.uint32) for _, f in rows], np.array([p for p, _ in rows], bool),
