@@ -12,8 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POINT_T = "struct<x:double,y:double>"
-GEOM_T = f"array<array<array<{POINT_T}>>>"
+from footlink.functions import wkb
+from footlink.functions.wkb import GEOM_T, POINT_T
+
+# Geometry types other than the ones read, which give NULL.
+OTHER_TYPES = ["POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON",
+               "GEOMETRYCOLLECTION", "CIRCULARSTRING", "COMPOUNDCURVE", "CURVEPOLYGON", "MULTICURVE",
+               "MULTISURFACE", "POLYHEDRALSURFACE", "TIN", "TRIANGLE"]
 
 _NUM = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 
@@ -35,8 +40,8 @@ def _strip(wkt) -> Column:
 def from_wkt(wkt) -> Column:
     """G1 + G2 + G6: (E)WKT ``POLYGON``/``MULTIPOLYGON`` (2-D or Z/M) →
     multipolygon column; the third/fourth ordinate is dropped (force 2-D)
-    and a polygon becomes a one-part multipolygon. Empty or other types →
-    NULL; a polygon that does not parse, or hex WKB, raises."""
+    and a polygon becomes a one-part multipolygon. Blank, empty or other
+    types → NULL; what does not parse, hex WKB included, raises."""
     t = _strip(wkt)
     kind = F.regexp_extract(t, r"^(MULTIPOLYGON|POLYGON)", 1)
     body = F.regexp_replace(t, r"^(MULTIPOLYGON|POLYGON)\s*(ZM|Z|M)?\s*", "")
@@ -44,18 +49,44 @@ def from_wkt(wkt) -> Column:
     js = F.translate(pts, "()", "[]")
     js = F.when(kind == "POLYGON", F.concat(F.lit("["), js, F.lit("]"))).otherwise(js)
     ok = (kind != "") & ~body.startswith("EMPTY")
-    broken = F.raise_error(F.concat(F.lit("cannot read geometry: "), F.left(t, F.lit(80))))
-    return (F.when(ok, F.coalesce(F.from_json(js, GEOM_T), broken.cast(GEOM_T)))
-            .when(t.rlike("^0[01][0-9A-F]{8}"), broken.cast(GEOM_T)))
+    return (F.when(ok, F.coalesce(F.from_json(js, GEOM_T), _broken(t, GEOM_T)))
+            .when(_unknown(t), _broken(t, GEOM_T)))
+
+
+def _broken(t: Column, to: str) -> Column:
+    return F.raise_error(F.concat(F.lit("cannot read geometry: "), F.left(t, F.lit(80)))).cast(to)
+
+
+def _unknown(t: Column) -> Column:
+    return (t != "") & ~t.rlike(rf"^({'|'.join(OTHER_TYPES)})\s*(ZM|Z|M)?\s*(\(|EMPTY)")
 
 
 def point_from_wkt(wkt) -> Column:
-    """G1 for ``POINT``: (E)WKT → ``struct<x,y>`` (z dropped)."""
+    """G1 for ``POINT``: (E)WKT → ``struct<x,y>`` (z dropped). Blank,
+    empty or other types → NULL; what does not parse raises."""
     t = _strip(wkt)
-    pat = rf"^POINT\s*(?:ZM|Z|M)?\s*\(\s*({_NUM})\s+({_NUM})"
-    ok = t.rlike(pat)
-    return F.when(ok, F.struct(F.regexp_extract(t, pat, 1).cast("double").alias("x"),
-                               F.regexp_extract(t, pat, 2).cast("double").alias("y")))
+    pat = rf"^POINT\s*(?:ZM|Z|M)?\s*\(\s*({_NUM})\s+({_NUM})(?:\s+{_NUM})*\s*\)\s*$"
+    return (F.when(t.rlike(pat), F.struct(F.regexp_extract(t, pat, 1).cast("double").alias("x"),
+                                          F.regexp_extract(t, pat, 2).cast("double").alias("y")))
+            .when(_unknown(t) | t.rlike(r"^POINT\s*(ZM|Z|M)?\s*\("), _broken(t, POINT_T)))
+
+
+# Columns of outside tables hold (E)WKT or the hex (E)WKB of a database dump.
+# The binary reader is a large expression, so only the doors have it.
+
+def read_geometry(text) -> Column:
+    t = _col(text)
+    return F.when(wkb.is_hex(t), wkb.geometry_from_hex(t)).otherwise(from_wkt(t))
+
+
+def read_point(text) -> Column:
+    t = _col(text)
+    return F.when(wkb.is_hex(t), wkb.point_from_hex(t)).otherwise(point_from_wkt(t))
+
+
+def read_srid(text) -> Column:
+    t = _col(text)
+    return F.when(wkb.is_hex(t), wkb.srid_from_hex(t)).otherwise(srid_of(t))
 
 
 def box(x0, y0, x1, y1) -> Column:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footlink.functions.geometry import srid_of
+
 
 def unique_violations(df: DataFrame, keys: list[str], check: str) -> DataFrame:
     """Key values seen more than once (NULL keys are exempt, as in a
@@ -36,3 +38,41 @@ def srid_violations(df: DataFrame, key: str, srid_col: str, expected: int = 0,
     return (df.filter(F.col(srid_col).isNotNull() & (F.col(srid_col) != expected))
             .select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"),
                     F.lit(1).cast("long").alias("n")))
+
+
+# What the schema declares of the two tables.
+DECLARED = {
+    "links": {
+        "unique": [["cleabs"], ["identifiant_rnb", "gcms_numrec"], ["identifiant_rnb"]],
+        "not_null": ["cleabs", "gcms_detruit", "diffusion", "gcms_numrec", "gcms_territoire", "geometrie"],
+        "srid": ["gcvs_empreinte", "geometrie"],
+    },
+    "buildings": {
+        "unique": [["cleabs"]],
+        "not_null": ["cleabs", "gcms_detruit", "diffusion", "gcms_numrec", "gcms_territoire", "geometrie"],
+        "srid": ["gcvs_empreinte", "geometrie"],
+    },
+}
+
+
+def schema_violations(df: DataFrame, declared: dict, srid=srid_of) -> DataFrame:
+    """C1-C4 in one pass: every declared constraint's violations as ``(check,
+    key, n)``, where ``key`` is the key seen n times, the column holding n
+    NULLs, or the ``cleabs`` of the row whose geometry text has an SRID other
+    than 0.
+
+    Each row is expanded to what it has to say (its keys; its NULLs and
+    SRIDs only where they violate), and one aggregate counts all of it, with
+    map-side partial sums, so the table is scanned and shuffled once."""
+    says = lambda check, key, least: F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
+                                              F.lit(least).alias("least"))
+    said = []
+    for keys in declared["unique"]:
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        said.append(F.when(known, says("unique:" + ",".join(keys), key, 2)))
+    said += [F.when(F.col(c).isNull(), says(f"not_null:{c}", F.lit(c), 1)) for c in declared["not_null"]]
+    said += [F.when(srid(F.col(c)) != 0, says(f"srid:{c}", F.col("cleabs"), 1)) for c in declared["srid"]]
+    return (df.select(F.explode(F.array_compact(F.array(*said))).alias("s")).select("s.*")
+            .groupBy("check", "key", "least").agg(F.count(F.lit(1)).alias("n"))
+            .where("n >= least").select("check", "key", "n"))

@@ -384,6 +384,54 @@ def sync_csv(spark, sf_dir):
                     F.coalesce("removed", F.lit(False)).alias("removed")))
 
 
+@query
+def links_load(spark, sf_dir):
+    """S3: the link CSV with bad values at fixed places, good rows typed and
+    refused ones with their first problem."""
+    path = _scratch(spark, "links")
+    SK.export_csv(FX.link_rows(spark, sf_dir), path)
+    good, bad = FD.split_link_rows(spark, path)
+    p = F.col("problems")[0]
+    null = F.lit(None).cast("string")
+    return (good.select("cleabs", "liens_vers_batiment", "gcms_detruit",
+                        F.date_format("gcms_date_creation", "yyyy-MM-dd").alias("created"), "gcms_numrec",
+                        "parent_buildings", null.alias("refused"), null.alias("reason"), F.lit(0).alias("problems"))
+            .unionByName(bad.select(
+                null.alias("cleabs"), null.alias("liens_vers_batiment"), F.lit(None).cast("boolean").alias("gcms_detruit"),
+                null.alias("created"), F.lit(None).cast("int").alias("gcms_numrec"), null.alias("parent_buildings"),
+                F.concat_ws("=", p.getField("column"), p.getField("value")).alias("refused"),
+                p.getField("reason").alias("reason"), F.size("problems").alias("problems"))))
+
+
+@query
+def schema_violations(spark, sf_dir):
+    """Every declared key, NOT NULL and SRID of the link table, one scan."""
+    return C.schema_violations(FX.link_rows(spark, sf_dir), C.DECLARED["links"])
+
+
+@query
+def wkb_load(spark, sf_dir):
+    """G1: all boxes written as hex EWKB (both byte orders, with and without
+    SRID and Z) and read back."""
+    from footlink.functions import geometry as G
+    from footlink.functions import wkb
+    r = BX.registry_rows(spark, sf_dir).select(F.col("cleabs").alias("id"), F.col("shape_wkt").alias("w"))
+    b = BX.topo_rows(spark, sf_dir).select(F.col("cleabs").alias("id"), F.col("geometrie_wkt").alias("w"))
+    k = F.regexp_extract("id", r"([0-9]+)", 1).cast("long")
+    g = r.unionByName(b).select("id", G.from_wkt("w").alias("g"), k.alias("k"))
+    text = wkb.to_hex("g", F.when(F.col("k") % 3 == 0, 2154).when(F.col("k") % 3 == 1, 4326), F.col("k") % 5 < 2,
+                      F.col("k") % 2 == 0)
+    # The exchange keeps writer and reader apart: neither is folded into the other.
+    t = g.select("id", text.alias("hex")).repartition("id")
+    back = t.select("id", "hex", G.read_geometry("hex").alias("g"), G.read_srid("hex").alias("srid"))
+    back = back.select("id", F.length("hex").cast("long").alias("hex_chars"), "srid", "g")
+    xy = lambda field: F.flatten(F.transform(F.flatten("g"), lambda ring: F.transform(ring, lambda p: p.getField(field))))
+    return back.select("id", "hex_chars", "srid", F.size(xy("x")).cast("long").alias("npts"),
+                       F.round(G.area("g"), 4).alias("area"),
+                       F.array_min(xy("x")).alias("xmin"), F.array_max(xy("x")).alias("xmax"),
+                       F.array_min(xy("y")).alias("ymin"), F.array_max(xy("y")).alias("ymax"))
+
+
 def _staging(spark, sf_dir):
     """49 text columns derived from ``events`` (blanks and spellings as in
     ``diff_text``; geometry as lon/lat WKT, every 5th with an SRID prefix,

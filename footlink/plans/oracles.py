@@ -524,3 +524,69 @@ SELECT k, CASE WHEN c IN (4, 6) THEN 2 ELSE 1 END AS parts,
          lambda p: [' ', '/', '|'][p[1] + 1] || CAST(x + p[2] AS VARCHAR) || ',' || CAST(y + p[3] AS VARCHAR)),
          lambda a, b: a || b)[2:] AS rings
 FROM lots"""
+
+
+# Whole link rows as text: the fixture's rule in SQL.
+LINK_ROWS = """lr AS (
+  SELECT o_orderkey AS k,
+         'L' || CASE WHEN o_orderkey % 89 = 3 THEN 'ABCDEFGHIJKLMNOPQRSTUVWX' ELSE '' END
+             || CASE WHEN o_orderkey % 97 = 0 THEN o_orderkey % 194 ELSE o_orderkey END AS cleabs,
+         CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS identifiant_rnb,
+         CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'B' || o_orderkey || '/B1' END AS liens_vers_batiment,
+         CASE WHEN o_orderkey % 53 = 7 THEN 'maybe' WHEN o_orderkey % 107 <> 8 THEN 'false' END AS gcms_detruit,
+         CASE WHEN o_orderkey % 59 = 9 THEN '2024-13-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS created,
+         CASE WHEN o_orderkey % 61 = 11 THEN '12x' WHEN o_orderkey % 101 <> 12 THEN CAST(o_orderkey % 50 AS VARCHAR) END AS gcms_numrec,
+         CASE WHEN o_orderkey % 103 <> 14 THEN 'FXX' END AS gcms_territoire,
+         CASE WHEN o_orderkey % 223 = 15 THEN 4326 ELSE 0 END AS srid_empreinte,
+         CASE WHEN o_orderkey % 199 = 16 THEN NULL WHEN o_orderkey % 211 = 17 THEN 2154 ELSE 0 END AS srid_geometrie,
+         CASE WHEN o_orderkey % 67 = 18 THEN '{broken' WHEN o_orderkey % 4 = 3 THEN '["a"]' END AS parent_buildings
+  FROM orders)"""
+
+ORACLES["links_load"] = _with(LINK_ROWS) + """, found AS (
+  SELECT *, list_filter([
+      CASE WHEN length(cleabs) > 24 THEN {'refused': 'cleabs=' || cleabs, 'reason': 'longer than 24'} END,
+      CASE WHEN gcms_detruit IS NULL THEN {'refused': 'gcms_detruit', 'reason': 'null'}
+           WHEN TRY_CAST(gcms_detruit AS BOOLEAN) IS NULL THEN {'refused': 'gcms_detruit=' || gcms_detruit, 'reason': 'boolean'} END,
+      CASE WHEN TRY_CAST(created AS TIMESTAMP) IS NULL
+           THEN {'refused': 'gcms_date_creation=' || created, 'reason': 'timestamp_ntz'} END,
+      CASE WHEN gcms_numrec IS NULL THEN {'refused': 'gcms_numrec', 'reason': 'null'}
+           WHEN TRY_CAST(gcms_numrec AS INTEGER) IS NULL THEN {'refused': 'gcms_numrec=' || gcms_numrec, 'reason': 'int'} END,
+      CASE WHEN gcms_territoire IS NULL THEN {'refused': 'gcms_territoire', 'reason': 'null'} END,
+      CASE WHEN srid_geometrie IS NULL THEN {'refused': 'geometrie', 'reason': 'null'} END,
+      CASE WHEN parent_buildings = '{broken' THEN {'refused': 'parent_buildings={broken', 'reason': 'json'} END],
+    lambda x: x IS NOT NULL) AS p FROM lr)
+SELECT cleabs, liens_vers_batiment, CAST(gcms_detruit AS BOOLEAN) AS gcms_detruit, left(created, 10) AS created,
+       CAST(gcms_numrec AS INTEGER) AS gcms_numrec, parent_buildings,
+       CAST(NULL AS VARCHAR) AS refused, CAST(NULL AS VARCHAR) AS reason, CAST(0 AS INTEGER) AS problems
+FROM found WHERE len(p) = 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, p[1].refused, p[1].reason, CAST(len(p) AS INTEGER) FROM found WHERE len(p) > 0"""
+
+ORACLES["schema_violations"] = _with(LINK_ROWS) + """
+SELECT 'unique:cleabs' AS "check", cleabs AS key, count(*) AS n FROM lr GROUP BY cleabs HAVING count(*) > 1
+UNION ALL
+SELECT 'unique:identifiant_rnb', identifiant_rnb, count(*) FROM lr
+WHERE identifiant_rnb IS NOT NULL GROUP BY identifiant_rnb HAVING count(*) > 1
+UNION ALL
+SELECT 'unique:identifiant_rnb,gcms_numrec', identifiant_rnb || '|' || gcms_numrec, count(*) FROM lr
+WHERE identifiant_rnb IS NOT NULL AND gcms_numrec IS NOT NULL GROUP BY identifiant_rnb, gcms_numrec HAVING count(*) > 1
+UNION ALL
+SELECT 'not_null:' || c, c, n FROM (
+  SELECT 'gcms_detruit' AS c, count(*) FILTER (WHERE gcms_detruit IS NULL) AS n FROM lr
+  UNION ALL SELECT 'gcms_numrec', count(*) FILTER (WHERE gcms_numrec IS NULL) FROM lr
+  UNION ALL SELECT 'gcms_territoire', count(*) FILTER (WHERE gcms_territoire IS NULL) FROM lr
+  UNION ALL SELECT 'geometrie', count(*) FILTER (WHERE srid_geometrie IS NULL) FROM lr) WHERE n > 0
+UNION ALL
+SELECT 'srid:gcvs_empreinte', cleabs, count(*) FROM lr WHERE srid_empreinte <> 0 GROUP BY cleabs
+UNION ALL
+SELECT 'srid:geometrie', cleabs, count(*) FROM lr WHERE srid_geometrie <> 0 GROUP BY cleabs"""
+
+# One part, one ring: two headers, three counts, an SRID and the ordinates.
+ORACLES["wkb_load"] = _with(LOTS, RB, BB) + """, both_sides AS (
+  SELECT cleabs AS id, k, x0, y0, x1, y1, 5 AS npts FROM rb UNION ALL SELECT cleabs, k, x0, y0, x1, y1, npts FROM bb)
+SELECT id, CAST(2 * (5 + 5 + 4 + 4 + 4 + CASE WHEN k % 3 < 2 THEN 4 ELSE 0 END
+                     + npts * CASE WHEN k % 5 < 2 THEN 24 ELSE 16 END) AS BIGINT) AS hex_chars,
+       CASE k % 3 WHEN 0 THEN 2154 WHEN 1 THEN 4326 ELSE 0 END AS srid, CAST(npts AS BIGINT) AS npts,
+       round((x1 - x0) * (y1 - y0), 4) AS area,
+       CAST(x0 AS DOUBLE) AS xmin, CAST(x1 AS DOUBLE) AS xmax, CAST(y0 AS DOUBLE) AS ymin, CAST(y1 AS DOUBLE) AS ymax
+FROM both_sides"""

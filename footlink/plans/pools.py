@@ -1,8 +1,8 @@
 """Pool builders for real tables: parse and measure once, materialise.
 
-``links``: the link table (typed columns, geometries as (E)WKT text);
+``links``: the link table (typed columns, geometries as (E)WKT or hex (E)WKB text);
 ``buildings``: the typed building table (``geometrie`` parsed by
-``typed_buildings`` or still WKT text). Filters that do not need geometry
+``typed_buildings`` or still text). Filters that do not need geometry
 (destroyed flag) run before parsing, so they reach the scan.
 """
 
@@ -17,12 +17,12 @@ from footlink.session import cut_lineage
 
 def _geom(df: DataFrame, col: str):
     t = dict(df.dtypes)[col]
-    return G.from_wkt(col) if t == "string" else F.col(col)
+    return G.read_geometry(col) if t == "string" else F.col(col)
 
 
 def registry_pool(links: DataFrame) -> DataFrame:
     r = links.select("cleabs", "identifiant_rnb",
-                     G.point_from_wkt("geometrie").alias("geometrie"),
+                     G.read_point("geometrie").alias("geometrie"),
                      _geom(links, "geometrie_enveloppe").alias("geometrie_enveloppe"),
                      F.col("informations_rnb").cast("string").alias("informations_rnb"),
                      "gcms_detruit", "gcms_date_creation", "gcms_date_modification")

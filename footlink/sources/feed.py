@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from footlink.functions import casts as C
 from footlink.functions.dates import range_start
-from footlink.functions.geometry import from_wkt, srid_of
+from footlink.functions.geometry import read_geometry, read_srid
 
 # Change-feed header (the target table's columns without the
 # two derived dates).
@@ -86,10 +86,59 @@ LINK_SCHEMA = T.StructType([
 ])
 
 
-def read_link_table(spark: SparkSession, path: str) -> DataFrame:
-    """S3: typed CSV of the link table (geometries stay (E)WKT text until
-    parsed by the pool builders)."""
-    return spark.read.schema(LINK_SCHEMA).option("header", True).option("escape", '"').csv(path)
+# Declared as NOT NULL; the longest key; columns that hold JSON.
+LINK_NOT_NULL = ["cleabs", "gcms_detruit", "diffusion", "gcms_numrec", "gcms_territoire", "geometrie"]
+LINK_KEY_LENGTH = 24
+LINK_JSON = ["parent_buildings"]
+
+
+def split_link_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """S3 with a reject channel: the typed rows of the link CSV, and the rows
+    that a typed load refuses as ``(file, row, problems, line)`` where
+    ``problems`` lists (column, value, reason). Columns go by position.
+
+    One text scan: each value is cast on its own, and a row with a value that
+    does not cast, a NULL in a NOT NULL column, a key that is too long, text
+    that is not JSON, or too few or too many fields is set apart. An
+    unquoted empty field is NULL, a quoted one the empty string."""
+    fields = [f for f in LINK_SCHEMA if columns is None or f.name in columns]
+    names = [f.name for f in fields]
+    scan = (spark.read.schema(_strings([*names, "_line"])).option("header", True).option("escape", '"')
+            .option("nullValue", "\u0001").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line")
+            .csv(path))
+    problem = lambda column, value, reason: F.struct(F.lit(column).alias("column"), value.cast("string").alias("value"),
+                                                     F.lit(reason).alias("reason"))
+    found = [F.when(F.col("_line").isNotNull(), problem(None, F.lit(None), "number of fields"))]
+    for f in fields:
+        c = F.col(f.name)
+        if f.dataType != T.StringType():
+            found.append(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), problem(f.name, c, f.dataType.simpleString())))
+        if f.name in LINK_JSON:
+            found.append(F.when(c.isNotNull() & F.try_parse_json(c).isNull(), problem(f.name, c, "json")))
+        if f.name == "cleabs":
+            found.append(F.when(F.length(c) > LINK_KEY_LENGTH, problem(f.name, c, f"longer than {LINK_KEY_LENGTH}")))
+        if f.name in LINK_NOT_NULL:
+            found.append(F.when(c.isNull() & F.col("_line").isNull(), problem(f.name, c, "null")))
+    checked = scan.select("*", F.array_compact(F.array(*found)).alias("problems"),
+                          F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    good = checked.where(F.size("problems") == 0).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+    line = F.coalesce("_line", F.to_csv(F.struct(*names)))
+    return good, checked.where(F.size("problems") > 0).select("file", "row", "problems", line.alias("line"))
+
+
+def read_link_table(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    """S3: typed CSV of the link table (geometries stay text until parsed by
+    the pool builders). A row that a typed load refuses raises; with
+    ``rejects`` such rows are written to that folder (Parquet) instead."""
+    good, bad = split_link_rows(spark, path)
+    if rejects:
+        bad.write.mode("overwrite").parquet(rejects)
+        return good
+    first = bad.select("line", F.col("problems")[0].alias("p")).limit(1).collect()
+    if first:
+        p = first[0].p
+        raise ValueError(f"{path}: {p.column} = {p.value!r} ({p.reason}) in row {first[0].line}")
+    return good
 
 
 # Building staging columns in file order, each with the
@@ -124,7 +173,7 @@ def read_building_staging(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_buildings(staging: DataFrame) -> DataFrame:
     """The typed insert as one ``select`` (one codegen stage).
-    ``geometrie`` becomes a parsed multipolygon (Z dropped) plus its SRID;
+    ``geometrie`` ((E)WKT or hex (E)WKB) becomes a parsed multipolygon (Z dropped) plus its SRID;
     the outline ``gcvs_empreinte`` stays WKT text, NULL when blank."""
     out = []
     for name, kind in BUILDING_COLUMNS:
@@ -149,8 +198,8 @@ def typed_buildings(staging: DataFrame) -> DataFrame:
             p, s = kind[8:-1].split(",")
             e = C.numeric(c, int(p), int(s))
         elif kind == "geom":
-            out.append(F.when(C.text_or_null(c).isNotNull(), srid_of(c)).alias("geometrie_srid"))
-            e = F.when(C.text_or_null(c).isNotNull(), from_wkt(c))
+            out.append(F.when(C.text_or_null(c).isNotNull(), read_srid(c)).alias("geometrie_srid"))
+            e = F.when(C.text_or_null(c).isNotNull(), read_geometry(c))
         else:  # wkt kept as text
             e = C.text_or_null(c)
         out.append(e.alias(name))

@@ -162,6 +162,32 @@ def link_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole link rows as text from ``orders``, with values that a typed load
+    refuses at fixed places, repeated keys, NULLs and SRIDs (B4)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    at = lambda n, m, v, other: F.when(k % m == n, F.lit(v)).otherwise(other)
+    null = F.lit(None).cast("string")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd 00:00:00")
+    own = {
+        "cleabs": F.concat(F.lit("L"), at(3, 89, "ABCDEFGHIJKLMNOPQRSTUVWX", F.lit("")),
+                           F.when(k % 97 == 0, k % 194).otherwise(k).cast("string")),
+        "identifiant_rnb": at(0, 13, None, F.col("o_custkey").cast("string")),
+        "liens_vers_batiment": at(0, 5, "", at(1, 5, None, F.concat(F.lit("B"), k.cast("string"), F.lit("/B1")))),
+        "gcms_detruit": at(7, 53, "maybe", at(8, 107, None, F.lit("false"))),
+        "gcms_date_creation": at(9, 59, "2024-13-01 00:00:00", day),
+        "diffusion": F.lit("true"),
+        "gcms_numrec": at(11, 61, "12x", at(12, 101, None, (k % 50).cast("string"))),
+        "gcms_territoire": at(14, 103, None, F.lit("FXX")),
+        "gcvs_empreinte": at(15, 223, "SRID=4326;LINESTRING(0 0, 1 1)", null),
+        "geometrie": at(16, 199, None, at(17, 211, "SRID=2154;POINT(1 2)", F.lit("POINT(1 2)"))),
+        "parent_buildings": at(18, 67, "{broken", at(3, 4, '["a"]', null)),
+    }
+    from footlink.sources.feed import LINK_SCHEMA
+    return o.select(*[own.get(f.name, null).cast("string").alias(f.name) for f in LINK_SCHEMA])
+
+
 def link_table_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link table with the old localised envelope of each registry id: the
     footprint at the user's base position (no creep), projected in its

@@ -1,9 +1,13 @@
 """Sources and sinks: typed link-table CSV (S3), since-filter (S2), table
 replace with blanks as NULL and a run-date comment (K1, K9)."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+
 from footlink.sources import feed as FD
+from footlink.sources import fixtures as FX
 from footlink.sources import sinks as SK
 
 
@@ -20,6 +24,39 @@ def test_link_table_csv(spark, tmp_path):
     assert str(r.gcms_date_creation) == "2024-01-30 10:00:00"
 
 
+def test_link_rows_that_do_not_load(spark, tmp_path):
+    """Bad rows raise, or go to the reject folder with column, value and
+    reason; a quoted empty list is not NULL."""
+    names = [f.name for f in FD.LINK_SCHEMA.fields]
+    base = dict.fromkeys(names, "") | {"cleabs": "L1", "gcms_detruit": "f", "diffusion": "t", "gcms_numrec": "7",
+                                       "gcms_territoire": "FXX", "geometrie": "POINT(1 2)"}
+    rows = [{}, {"liens_vers_batiment": '""'}, {"gcms_detruit": "maybe"}, {"gcms_numrec": "12x"},
+            {"gcms_date_creation": "2024-13-01 00:00:00"}, {"gcms_territoire": ""}, {"cleabs": "L" * 25},
+            {"parent_buildings": "{no"}, {"gcms_numrec": "1.5", "gcms_detruit": "2"}]
+    lines = [",".join((base | r)[n] for n in names) for r in rows] + ["L9,too,few"]
+    p = tmp_path / "l.csv"
+    p.write_text("\n".join([",".join(names), *lines]) + "\n")
+    with pytest.raises(ValueError, match="maybe|12x|2024-13|null|longer|json|fields"):
+        FD.read_link_table(spark, str(p))
+    good = FD.read_link_table(spark, str(p), rejects=str(tmp_path / "bad")).collect()
+    assert sorted((r.liens_vers_batiment is None, r.gcms_numrec) for r in good) == [(False, 7), (True, 7)]
+    bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("row").collect()
+    assert [[(x.column, x.value, x.reason) for x in r.problems] for r in bad] == [
+        [("gcms_detruit", "maybe", "boolean")], [("gcms_numrec", "12x", "int")],
+        [("gcms_date_creation", "2024-13-01 00:00:00", "timestamp_ntz")], [("gcms_territoire", None, "null")],
+        [("cleabs", "L" * 25, "longer than 24")], [("parent_buildings", "{no", "json")],
+        [("gcms_detruit", "2", "boolean"), ("gcms_numrec", "1.5", "int")], [(None, None, "number of fields")]]
+    assert bad[-1].line == "L9,too,few"
+
+
+def test_declared_constraints_take_one_scan(spark):
+    from footlink.operators import constraints as C
+    df = FX.link_rows(spark, SF_SMALL)
+    out = C.schema_violations(df, C.DECLARED["links"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and len({r.check for r in out.select("check").distinct().collect()}) >= 7
+
+
 def test_since_filter(spark, tmp_path):
     head = ",".join(FD.FEED_COLUMNS)
     row = lambda rid, per: f'update,{rid},constructed,1,"{per}",,,,,,1,update'
