@@ -2,7 +2,7 @@
 ``spark-submit``). Each job reads real tables, runs on the session the
 cluster provides and writes Parquet tables under ``--out``.
 
-Jobs: ``sync`` (D8), ``work-tables`` (W1-W4), ``match-registry`` (O1),
+Jobs: ``sync`` (D8, with ``--csv`` K7), ``upsert`` (K8), ``work-tables`` (W1-W4), ``match-registry`` (O1),
 ``match-topo`` (O2), ``drop-destroyed`` (O3).
 """
 
@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from footlink.operators import diff as D
 from footlink.operators import localise as LO
 from footlink.operators import worktables as W
 from footlink.plans import jobs as JB
@@ -21,7 +22,9 @@ from footlink.plans import sync as SY
 from footlink.session import SCALE_CONF, ensure_checkpoint_dir, ship_package
 from footlink.sources import feed as FD
 from footlink.sources.sinks import replace_table
+from footlink.sources.stock import BUCKETS, upsert_stock
 from footlink.sources.territories import territories
+from footlink.streaming.landing import STOCK_DROP
 
 
 def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -43,6 +46,12 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--strict", action="store_true")
     s.add_argument("--run-date")
+    s.add_argument("--csv", action="store_true", help="also write the three CSV files of the run")
+    u = sub.add_parser("upsert", help="K8: latest rows of a feed into the bucketed stock under --out")
+    u.add_argument("--feed", required=True)
+    u.add_argument("--out", required=True)
+    u.add_argument("--strict", action="store_true")
+    u.add_argument("--buckets", type=int, default=BUCKETS, help="of a new stock")
     w = sub.add_parser("work-tables", help="W1-W4 from the published diff tables")
     w.add_argument("--diff", required=True, help="--out folder of a sync run")
     w.add_argument("--links", required=True)
@@ -73,7 +82,11 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     out = a.out.rstrip("/")
 
     if a.job == "sync":
-        SY.sync_from_file(spark, a.feed, out, strict=a.strict, run_date=a.run_date)
+        SY.sync_from_file(spark, a.feed, out, strict=a.strict, run_date=a.run_date, csv=a.csv)
+        return
+    if a.job == "upsert":
+        latest = D.latest_per_key(FD.read_feed(spark, a.feed), strict=a.strict)
+        upsert_stock(spark, out, latest.drop(*STOCK_DROP), buckets=a.buckets)
         return
     if a.job == "work-tables":
         last, removed = SY.current_tables(spark, a.diff)
