@@ -165,36 +165,21 @@ def balcony(R, B, p: Params = Params(), RT: DataFrame | None = None):
 
 def point_in_building(R, B, p: Params = Params()):
     """M8 ``ST_Intersects(b, r.geometrie)`` (registry point in building)."""
-    m = point_pairs(R, B, 0.0, p)
+    m = point_pairs(R, B, p)
     return claims_of(m.filter(F.col("pdist") <= 0.0), LABELS["point"])
 
 
-def point_pairs(R, B, distance: float, p: Params = Params(), keep_geometry: bool = False) -> DataFrame:
-    """Registry points against building polygons, boxes grown by
-    ``distance``. ``pdist`` is the exact point-to-polygon distance (a JVM
-    expression: no Python on this path), except that pairs certainly within
-    ``distance`` get 0 — callers only test ``pdist <= distance``."""
+def point_pairs(R, B, p: Params = Params()) -> DataFrame:
+    """Registry points against the building polygons whose box holds them, with
+    ``pdist``, the distance of point and polygon (a JVM expression)."""
     left = R.select(F.col("cleabs").alias("l_id"), F.col("identifiant_rnb").alias("l_identifiant_rnb"),
                     F.col("geometrie.x").alias("l_px"), F.col("geometrie.y").alias("l_py"),
                     F.col("geometrie.x").alias("l_xmin"), F.col("geometrie.x").alias("l_xmax"),
                     F.col("geometrie.y").alias("l_ymin"), F.col("geometrie.y").alias("l_ymax")) \
         .filter(F.col("l_px").isNotNull())
-    right = side(B, "r_", "cleabs", [])
-    shapes = B.select(F.col("cleabs").alias("r_id"), F.col("geometrie").alias("r_geometrie"), F.col("edges").alias("r_edges"))
-    pairs = candidate_pairs(left, right, distance, p.cell).join(shapes, "r_id")
-    exact = point_distance("l_px", "l_py", "r_geometrie")
-    if distance > 0:
-        # every point of a polygon lies in its bbox, so the farthest bbox
-        # corner bounds the distance: pairs inside that bound skip the exact
-        # (per-vertex) evaluation; CASE evaluates the exact branch lazily.
-        far = F.sqrt(F.greatest((F.col("l_px") - F.col("r_xmin")) ** 2, (F.col("l_px") - F.col("r_xmax")) ** 2)
-                     + F.greatest((F.col("l_py") - F.col("r_ymin")) ** 2, (F.col("l_py") - F.col("r_ymax")) ** 2))
-        if not keep_geometry:
-            exact = F.when(far <= distance, F.lit(0.0)).otherwise(exact)
-    out = pairs.withColumn("pdist", exact).drop("r_geometrie")
-    if not keep_geometry:
-        out = out.drop("r_edges")
-    return out
+    shapes = B.select(F.col("cleabs").alias("r_id"), F.col("geometrie").alias("r_geometrie"))
+    pairs = candidate_pairs(left, side(B, "r_", "cleabs", []), 0.0, p.cell).join(shapes, "r_id")
+    return pairs.withColumn("pdist", point_distance("l_px", "l_py", "r_geometrie")).drop("r_geometrie")
 
 
 EXT_IDS_T = "array<map<string,string>>"

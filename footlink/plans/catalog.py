@@ -179,6 +179,7 @@ from footlink.operators import matching as M  # noqa: E402
 from footlink.operators import spatial as S  # noqa: E402
 from footlink.plans import jobs as JB  # noqa: E402
 from footlink.sources import boxes as BX  # noqa: E402
+from footlink.sources import limits as LM  # noqa: E402
 from footlink.sources import shapes as SH  # noqa: E402
 
 
@@ -282,6 +283,29 @@ def candidates_registry_100m(spark, sf_dir):
     return JB.registry_near_buildings(R, B, 100.0).select("cleabs")
 
 
+def _limit_pools(spark, sf_dir):
+    from footlink.session import cut_lineage
+    return cut_lineage(LM.registry_pool(spark, sf_dir)), cut_lineage(LM.topo_pool(spark, sf_dir))
+
+
+@query
+def near_limit_100m(spark, sf_dir):
+    """M14 with buildings on both sides of 100 m, beside edges and corners."""
+    return JB.near_registry_points(*_limit_pools(spark, sf_dir), 100.0).select("cleabs")
+
+
+@query
+def near_limit_500m(spark, sf_dir):
+    """M13 on the same lots, with buildings on both sides of 500 m."""
+    return JB.near_registry_points(*_limit_pools(spark, sf_dir), 500.0).select("cleabs")
+
+
+@query
+def near_limit_registry_100m(spark, sf_dir):
+    """M15 on the same lots: rows whose point is on either side of 100 m."""
+    return JB.registry_near_buildings(*_limit_pools(spark, sf_dir), 100.0).select("cleabs")
+
+
 def _link_table(spark, sf_dir):
     return BX.registry_rows(spark, sf_dir).select("cleabs", "liens_vers_batiment")
 

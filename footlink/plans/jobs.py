@@ -17,9 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footlink.functions.dates import days_before
+from footlink.functions.edges import edges
+from footlink.functions.geometry import point_distance
 from footlink.functions.lists import to_array
 from footlink.operators import matching as M
 from footlink.operators.links import destroyed_since, drop_destroyed_links, merge_links, merge_links_with_labels
+from footlink.operators.nearby import Near, within
 from footlink.operators.spatial import edge_measures, union_all
 from footlink.session import cut_lineage
 
@@ -127,40 +130,48 @@ def changed_registry(link_rows: DataFrame, as_of: str, days: int = 2) -> DataFra
         (F.col("gcms_date_creation") >= since) | (F.col("gcms_date_modification") >= since)))
 
 
-def _within(pairs: DataFrame, distance: float, compat_buffer: bool) -> DataFrame:
-    """Pairs whose building lies within ``distance`` of the point. With
-    ``compat_buffer`` the buffer is the inscribed 32-gon the source builds:
-    pairs closer than its inner radius are in, farther than ``distance``
-    out, and only the thin annulus between goes to an exact polygon test."""
-    if not compat_buffer:
-        return pairs.filter(F.col("pdist") <= distance)
+def _in_polygon_buffer(distance: float):
+    """The exact test of ``compat_buffer``, where the buffer is the inscribed
+    32-gon the source builds round the point: nearer than its inner radius is
+    in, farther than ``distance`` out, and only the thin annulus between goes
+    to a polygon test."""
     inner = distance * math.cos(math.pi / 32)
-    keep = ["l_id", "l_identifiant_rnb", "r_id", "pdist"]
-    sure = pairs.filter(F.col("pdist") <= inner).select(*keep)
-    at = lambda i: [F.col(c) + distance * f(F.lit(2 * math.pi) * (i % 32) / 32) for c, f in (("l_px", F.cos), ("l_py", F.sin))]
-    sides = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.struct(
-        *[v.alias(n) for v, n in zip(at(i) + at(i + 1), ("ax", "ay", "bx", "by"), strict=True)]))
-    ring = pairs.filter((F.col("pdist") > inner) & (F.col("pdist") <= distance)).withColumn("l_edges", sides)
-    return sure.unionByName(edge_measures(ring, ["hits"], keep).filter("hits").select(*keep))
+
+    def test(rows: DataFrame) -> DataFrame:
+        keep = ["b_id", "p_id", "px", "py"] if "p_id" in rows.columns else ["b_id", "px", "py"]
+        pairs = cut_lineage(rows.withColumn("pdist", point_distance("px", "py", "geom")).where(F.col("pdist") <= distance))
+        at = lambda i: [F.col(c) + distance * f(F.lit(2 * math.pi) * (i % 32) / 32) for c, f in (("px", F.cos), ("py", F.sin))]
+        sides = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.struct(
+            *[v.alias(n) for v, n in zip(at(i) + at(i + 1), ("ax", "ay", "bx", "by"), strict=True)]))
+        ring = pairs.where(F.col("pdist") > inner).withColumn("l_edges", sides).withColumn("r_edges", edges("geom"))
+        return (pairs.where(F.col("pdist") <= inner).select(*keep)
+                .unionByName(edge_measures(ring, ["hits"], keep).where("hits").select(*keep)))
+    return test
+
+
+def _near(rows: DataFrame, buildings: DataFrame, distance: float, compat_buffer: bool):
+    points = rows.select(F.col("cleabs").alias("p_id"), F.col("geometrie.x").alias("px"), F.col("geometrie.y").alias("py"))
+    shapes = buildings.select(F.col("cleabs").alias("b_id"), F.col("geometrie").alias("geom"), "xmin", "ymin", "xmax", "ymax")
+    if not compat_buffer:
+        return Near(points, shapes, distance), within(distance)
+    return Near(points, shapes, distance, distance * math.cos(math.pi / 32)), _in_polygon_buffer(distance)
 
 
 def near_registry_points(R: DataFrame, buildings: DataFrame, distance: float,
                          p: M.Params = M.Params(), compat_buffer: bool = False) -> DataFrame:
-    """Live buildings within ``distance`` of a registry point
-    (the union of point buffers only removes duplicates → ``distinct``)."""
+    """Live buildings within ``distance`` of a registry point (the
+    union of point buffers only removes duplicates)."""
     live = buildings.filter(~F.col("gcms_detruit"))
-    near = _within(M.point_pairs(R, live, distance, p, keep_geometry=compat_buffer), distance, compat_buffer)
-    keys = near.select(F.col("r_id").alias("cleabs")).distinct()
-    return live.join(keys, "cleabs", "left_semi")
+    near, exact = _near(R, live, distance, compat_buffer)
+    return live.join(near.buildings(exact).withColumnRenamed("b_id", "cleabs"), "cleabs", "left_semi")
 
 
 def registry_near_buildings(link_rows: DataFrame, B: DataFrame, distance: float,
                             p: M.Params = M.Params(), compat_buffer: bool = False) -> DataFrame:
     """Live link rows whose point is within ``distance`` of a building."""
     live = link_rows.filter(~F.col("gcms_detruit"))
-    near = _within(M.point_pairs(live, B, distance, p, keep_geometry=compat_buffer), distance, compat_buffer)
-    keys = near.select(F.col("l_id").alias("cleabs")).distinct()
-    return live.join(keys, "cleabs", "left_semi")
+    near, exact = _near(live, B, distance, compat_buffer)
+    return live.join(near.near_points(exact).withColumnRenamed("p_id", "cleabs"), "cleabs", "left_semi")
 
 
 def job_registry_change(link_rows: DataFrame, link_table: DataFrame, buildings: DataFrame,

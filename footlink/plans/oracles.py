@@ -383,6 +383,23 @@ SELECT DISTINCT r.cleabs FROM rb r, bb b
 WHERE sqrt(greatest(0, b.x0 - (r.x0 + r.x1) / 2, (r.x0 + r.x1) / 2 - b.x1) ** 2
          + greatest(0, b.y0 - (r.y0 + r.y1) / 2, (r.y0 + r.y1) / 2 - b.y1) ** 2) <= 100"""
 
+LIMIT_LOTS = """lim AS (
+  SELECT p_partkey AS k, p_partkey % 10 AS c, 3000.0 * (p_partkey % 100) AS x, 3000.0 * floor(p_partkey / 100) AS y,
+         8.0 + p_partkey % 7 AS w FROM part)
+, pt AS (SELECT k, 'L' || k || '_' || j AS cleabs, x - 40.0 * j AS px, y - 30.0 * j AS py
+         FROM lim, (SELECT unnest([0, 1, 2]) AS j) WHERE j <= k % 3)
+, box AS (SELECT k, 'B' || k AS cleabs, x + gx AS x0, y + gy AS y0, x + gx + CASE WHEN c = 8 THEN 6000.0 ELSE w END AS x1, y + gy + 6 AS y1
+          FROM (SELECT *, CASE c WHEN 0 THEN 99.5 WHEN 1 THEN 100.5 WHEN 2 THEN 59.5 WHEN 3 THEN 60.5 WHEN 4 THEN 499.5
+                                 WHEN 5 THEN 500.5 WHEN 6 THEN 299.5 WHEN 7 THEN 300.5 WHEN 8 THEN 100.0 ELSE 60.0 END AS gx,
+                          CASE WHEN c IN (2, 3, 9) THEN 80.0 WHEN c IN (6, 7) THEN 400.0 WHEN c = 8 THEN -3.0 ELSE -2.0 END AS gy
+                FROM lim))
+, gap AS (SELECT pt.cleabs AS l, box.cleabs AS b,
+                 sqrt(greatest(0, x0 - px, px - x1) ** 2 + greatest(0, y0 - py, py - y1) ** 2) AS dist FROM pt, box)"""
+
+ORACLES["near_limit_100m"] = _with(LIMIT_LOTS) + "SELECT DISTINCT b AS cleabs FROM gap WHERE dist <= 100"
+ORACLES["near_limit_500m"] = _with(LIMIT_LOTS) + "SELECT DISTINCT b AS cleabs FROM gap WHERE dist <= 500"
+ORACLES["near_limit_registry_100m"] = _with(LIMIT_LOTS) + "SELECT DISTINCT l AS cleabs FROM gap WHERE dist <= 100"
+
 # Expected cascade outcome by case (the stage each case is built for).
 EXPECTED = """expected AS (
   SELECT r.cleabs, r.k, 'B' || r.k AS link,

@@ -60,6 +60,8 @@ def upsert_stock(spark: SparkSession, stock_dir: str, changes: DataFrame, key: s
     version of a stock may be empty. ``buckets`` counts for a new stock only."""
     ptr = _pointer(spark, stock_dir)
     n = int(ptr["buckets"]) if ptr else buckets
+    if ptr and ptr["key"] != key:
+        raise ValueError(f"the buckets of {stock_dir} are by {ptr['key']}")
     if BUCKET in changes.columns:
         raise ValueError(f"{BUCKET} is the name of the bucket column")
     ch = cut_lineage(changes.withColumn(BUCKET, bucket_of(key, n)))

@@ -15,7 +15,8 @@ FAST = ["diff_range_start", "diff_latest", "diff_latest_ties", "diff_removed", "
         "candidates_100m", "candidates_registry_100m", "sync_csv", "staging_load", "srid_violations",
         "work_new", "work_changed", "match_dissolved", "unmatchable", "job_registry_change",
         "job_topo_created", "stage_counts", "match_contained_shapes", "pairs_shapes", "candidates_500m",
-        "initial_pool", "stream_upsert", "reduce_precision", "links_load", "schema_violations", "wkb_load"]
+        "initial_pool", "stream_upsert", "reduce_precision", "links_load", "schema_violations", "wkb_load",
+        "near_limit_100m", "near_limit_500m", "near_limit_registry_100m"]
 
 
 @pytest.fixture(scope="module")
