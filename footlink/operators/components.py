@@ -59,11 +59,15 @@ def union_boundary(parts: DataFrame, touching: DataFrame) -> DataFrame:
     part meets them; a piece is hidden when its middle is inside another
     part, or on its boundary with that part on the other side, or on the same
     side of a part with a smaller id (so a shared piece stays once). Edge
-    pairs are rows; nothing of a component is gathered.
+    pairs are rows; nothing of a component is gathered. A part that touches no
+    other keeps its edges as they are.
     """
     sym = touching.select("a", "b").unionByName(touching.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    met = sym.select(F.col("a").alias("id")).distinct()
+    alone = (parts.join(met, "id", "left_anti").select("comp", F.explode(F.array_distinct("edges")).alias("p"))
+             .where(F.hypot(F.col("p")["bx"] - F.col("p")["ax"], F.col("p")["by"] - F.col("p")["ay"]) > E.EPS))
     # everything below is grouped and joined by the part, so it moves once
-    own = parts.select("comp", F.col("id").alias("a"), "edges").repartition("a")
+    own = parts.join(met, "id", "left_semi").select("comp", F.col("id").alias("a"), "edges").repartition("a")
     other = sym.join(parts.select(F.col("id").alias("b"), F.col("edges").alias("r_edges")), "b").repartition("a")
     rows = (own.join(other, "a", "left")
             .withColumn("_ox", F.col("edges")[0]["ax"]).withColumn("_oy", F.col("edges")[0]["ay"])
@@ -91,7 +95,7 @@ def union_boundary(parts: DataFrame, touching: DataFrame) -> DataFrame:
             .agg((F.sum(q.crosses_ray(zero, zero)) % 2 == 1).alias("inside"),
                  F.max(on & (along > 0)).alias("same"), F.max(on & (along < 0)).alias("against"))
             .groupBy("comp", "a", "p").agg(F.max(F.coalesce(hidden, F.lit(False))).alias("hidden"))
-            .where("NOT hidden").select("comp", "p.*"))
+            .where("NOT hidden").select("comp", "p.*").unionByName(alone.select("comp", "p.*")))
 
 
 def boundary_measures(boundary: DataFrame) -> DataFrame:

@@ -87,7 +87,8 @@ def run_cascade(R: DataFrame, B: DataFrame, p: M.Params = M.Params(),
 
     Geometry is looked at once: the parts of R that meet (M10, reused by M5)
     and the pairs that qualify for M3, M4, M6 and M7. After that a stage is a
-    join of ids: its pairs, less what earlier stages claimed."""
+    join of ids: its pairs, less what earlier stages claimed. The pools are read
+    in every stage, so callers pass written ones."""
     left = _Left(R, B)
     of_r = M.dissolve(R, "cleabs", "geometrie_enveloppe", p)
     left.claim(1, M.unmatchable(R, B, p, of_r))
@@ -195,10 +196,10 @@ def job_topo_created(link_rows: DataFrame, link_table: DataFrame, buildings: Dat
     if enforce_weekday and not on_weekday(as_of, 5):
         return None, None
     since = days_before(as_of, 8)
-    B = (buildings.filter(~F.col("gcms_detruit") & (F.col("gcms_date_creation") >= since))
-         .select("cleabs", "geometrie", *M.MEAS).distinct())
-    R = _distinct_on(registry_near_buildings(link_rows, B, 100.0, p, compat_buffer), "cleabs") \
-        .select(*M.R_COLS, *M.MEAS)
+    B = cut_lineage(buildings.filter(~F.col("gcms_detruit") & (F.col("gcms_date_creation") >= since))
+                    .select("cleabs", "geometrie", *M.MEAS).distinct())
+    R = cut_lineage(_distinct_on(registry_near_buildings(link_rows, B, 100.0, p, compat_buffer), "cleabs")
+                    .select(*M.R_COLS, *M.MEAS))
     res = run_cascade(R, B, p, compat_delete)
     return merge_links(res.pools.RT, link_table), res
 
