@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from footlink.functions import geometry as G
 from footlink.operators import matching as M
 from footlink.operators.components import boundary_measures, union_boundary
+from footlink.operators.localise import new_to_insert
 from footlink.operators.nearby import Near, within
 from footlink.plans import catalog, jobs
 from footlink.sources.fixtures import AS_OF
@@ -44,6 +45,18 @@ def test_the_cascade_reads_written_pools(spark, monkeypatch, job):
         assert "Join" not in _plan(pool) and "Aggregate" not in _plan(pool)
 
 
+def test_the_feed_is_reduced_once_for_both_lists(spark, monkeypatch):
+    plans = []
+
+    def insert(lc, *rest):
+        plans.append(_plan(lc))
+        return new_to_insert(lc, *rest)
+
+    monkeypatch.setattr(catalog.LO, "new_to_insert", insert)
+    assert catalog.initial_pool(spark, SF).count() > 0
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
+
+
 def test_boxes_settle_a_cell_without_geometry(spark):
     """A building 14 m from a lone point needs no shape; one between the bounds does."""
     points = spark.createDataFrame([("p", 0.0, 0.0), ("q", 1000.0, 0.0)], "p_id string, px double, py double")
