@@ -28,7 +28,7 @@ def _pool(spark, rows, key, geom):
     return G.with_measures(df.select(key, G.from_wkt("t").alias(geom)), geom)
 
 
-@pytest.mark.parametrize("job", ["job_topo_created"])
+@pytest.mark.parametrize("job", ["job_registry_change", "job_topo_created"])
 def test_the_cascade_reads_written_pools(spark, monkeypatch, job):
     got = []
 
